@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return stored(spark, sf_dir, name, lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def v_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_variants(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Line items as variants; REF and ALT from the two flags."""
     line = table(spark, sf_dir, "lineitem")
     return line.select(
@@ -49,7 +49,7 @@ def v_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", "CT")
         .otherwise("G").alias("ref"),
         F.when(F.col("l_linestatus") == "O", "C").otherwise("CTT").alias("alt"),
-        (F.col("l_discount") * 10).alias("af"),
+        (F.col("l_discount") * 10).alias("af"), *extra,
     )
 
 
@@ -174,44 +174,51 @@ def v_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotation documents, one per user, transcripts ordered by event."""
     t = v_transcripts(spark, sf_dir)
     text = F.lit(None).cast("string")
-    transcript = F.struct(
-        F.array("term").alias("consequence_terms"),
-        "biotype",
-        F.when(F.col("k") % 3 == 0, F.col("k")).cast("bigint").alias("protein_start"),
-        F.when(F.col("k") % 2 == 0, F.lit("A/T")).otherwise(F.lit("")).alias("amino_acids"),
-        F.concat(F.lit("p."), F.col("k").cast("string")).alias("hgvsp"),
-        F.col("gene").alias("gene_symbol"),
-        F.concat(F.lit("ENSG"), F.col("gene")).alias("gene_id"),
-        F.concat(F.lit("ENST"), F.col("event_id").cast("string")).alias("transcript_id"),
-        F.when(F.col("k") % 7 == 0, 1).alias("canonical"),
-        text.alias("hgnc_id"),
-        F.when(F.col("term") == "missense_variant", "MODERATE").otherwise("MODIFIER").alias("impact"),
-        text.alias("sift_prediction"),
-        text.alias("polyphen_prediction"),
-    )
-    located = F.struct(
-        F.when(F.col("k") % 4 == 0, F.concat(F.lit("rs"), F.col("event_id").cast("string")))
-        .otherwise(F.concat(F.lit("COSV"), F.col("event_id").cast("string"))).alias("id"),
-        F.when(F.col("k") % 5 == 0, F.array(F.when(F.col("k") % 2 == 0, "benign").otherwise("pathogenic")))
-        .alias("clin_sig"),
-        F.when(
-            F.col("k") % 3 == 0,
-            F.create_map(
-                F.when(F.col("k") % 2 == 0, "T").otherwise("C"),
-                F.create_map(F.lit("gnomadg"), F.col("value") / 1000, F.lit("gnomadg_afr"), F.col("value") / 2000),
-            ),
-        ).alias("frequencies"),
-    )
+
+    def transcript(r: Column) -> Column:
+        return F.struct(
+            F.array(r["term"]).alias("consequence_terms"),
+            r["biotype"].alias("biotype"),
+            F.when(r["k"] % 3 == 0, r["k"]).cast("bigint").alias("protein_start"),
+            F.when(r["k"] % 2 == 0, F.lit("A/T")).otherwise(F.lit("")).alias("amino_acids"),
+            F.concat(F.lit("p."), r["k"].cast("string")).alias("hgvsp"),
+            r["gene"].alias("gene_symbol"),
+            F.concat(F.lit("ENSG"), r["gene"]).alias("gene_id"),
+            F.concat(F.lit("ENST"), r["event_id"].cast("string")).alias("transcript_id"),
+            F.when(r["k"] % 7 == 0, 1).alias("canonical"),
+            text.alias("hgnc_id"),
+            F.when(r["term"] == "missense_variant", "MODERATE").otherwise("MODIFIER").alias("impact"),
+            text.alias("sift_prediction"),
+            text.alias("polyphen_prediction"),
+        )
+
+    def located(r: Column) -> Column:
+        return F.struct(
+            F.when(r["k"] % 4 == 0, F.concat(F.lit("rs"), r["event_id"].cast("string")))
+            .otherwise(F.concat(F.lit("COSV"), r["event_id"].cast("string"))).alias("id"),
+            F.when(r["k"] % 5 == 0, F.array(F.when(r["k"] % 2 == 0, "benign").otherwise("pathogenic")))
+            .alias("clin_sig"),
+            F.when(
+                r["k"] % 3 == 0,
+                F.create_map(
+                    F.when(r["k"] % 2 == 0, "T").otherwise("C"),
+                    F.create_map(F.lit("gnomadg"), r["value"] / 1000, F.lit("gnomadg_afr"), r["value"] / 2000),
+                ),
+            ).alias("frequencies"),
+        )
+
     docs = t.groupBy("user_id").agg(
-        F.array_sort(F.collect_list(F.struct("event_id", transcript.alias("t"), located.alias("c")))).alias("rows"),
+        F.array_sort(
+            F.collect_list(F.struct("event_id", "k", "value", "term", "biotype", "gene"))
+        ).alias("rows"),
         F.min_by("term", "event_id").alias("most"),
     )
     record = F.struct(
         F.col("most").alias("most_severe_consequence"),
         F.lit("A").alias("input_ref_allele"),
         F.lit("T").alias("input_alt_allele"),
-        F.transform("rows", lambda r: r["t"]).alias("transcript_consequences"),
-        F.transform("rows", lambda r: r["c"]).alias("colocated_variants"),
+        F.transform("rows", transcript).alias("transcript_consequences"),
+        F.transform("rows", located).alias("colocated_variants"),
     )
     key = F.concat(
         (F.col("user_id") % 22 + 1).cast("string"), F.lit(":"),

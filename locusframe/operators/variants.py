@@ -64,23 +64,28 @@ def locus_dataset_cross(regions: DataFrame, datasets: list[str]) -> DataFrame:
     return regions.withColumn("dataset", F.explode(names))
 
 
-def sample_variant_counts(dosage: DataFrame) -> DataFrame:
-    """n_sample (distinct iid) and n_snps (distinct CHROM:POS) per locus.
-
-    Two plain distincts instead of one multi-distinct aggregate: each reads
-    only its own columns, combines before the shuffle and spreads a heavy
-    locus over its ids or positions.
-    """
-    samples = (
+def sample_counts(dosage: DataFrame) -> DataFrame:
+    """Distinct individuals per locus. The distinct combines before the
+    shuffle and spreads a heavy locus over its individuals."""
+    return (
         dosage.select("locus", "iid").distinct().groupBy("locus").agg(F.count("iid").alias("n_sample"))
     )
-    sites = (
+
+
+def site_counts(dosage: DataFrame) -> DataFrame:
+    """Distinct CHROM:POS per locus."""
+    return (
         dosage.select("locus", position_key(F.col("chrom"), F.col("pos")).alias("site"))
         .distinct()
         .groupBy("locus")
         .agg(F.count("site").alias("n_snps"))
     )
-    return samples.join(sites, "locus")
+
+
+def sample_variant_counts(dosage: DataFrame) -> DataFrame:
+    """n_sample and n_snps per locus: two plain distincts, each reading only
+    its own columns, instead of one multi-distinct aggregate."""
+    return sample_counts(dosage).join(site_counts(dosage), "locus")
 
 
 def allele_count_derive(dosage: DataFrame, n_samples: DataFrame, ploidy_factor: int = 1) -> DataFrame:
