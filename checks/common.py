@@ -17,11 +17,11 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def phenotypes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Two datasets: money traits and the order count."""
+    """Two datasets of two traits each."""
     wide = v_traits(spark, sf_dir)
     return {
         DATASETS[0]: wide.select("iid", "acct_bal", "order_total"),
-        DATASETS[1]: wide.select("iid", "order_count"),
+        DATASETS[1]: wide.select("iid", "order_count", "founder_score"),
     }
 
 

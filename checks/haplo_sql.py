@@ -82,7 +82,8 @@ def _model_ctes() -> list[tuple[str, str]]:
     ctes = [
         ("traits", """SELECT iid, 'clinical' AS dataset, 'acct_bal' AS trait_name, acct_bal AS y FROM v_traits
             UNION ALL SELECT iid, 'clinical', 'order_total', order_total FROM v_traits
-            UNION ALL SELECT iid, 'proteomics', 'order_count', order_count FROM v_traits"""),
+            UNION ALL SELECT iid, 'proteomics', 'order_count', order_count FROM v_traits
+            UNION ALL SELECT iid, 'proteomics', 'founder_score', founder_score FROM v_traits"""),
         ("nt", "SELECT locus, count(*) AS k FROM terms GROUP BY locus"),
         ("xs", f"""SELECT locus, iid, 0 AS i, 1.0::DOUBLE AS x FROM members
             UNION ALL SELECT m.locus, m.iid, t.position, coalesce(c.copies, 0) FROM members m

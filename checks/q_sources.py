@@ -79,12 +79,12 @@ def _export_table(df: DataFrame, path: str, sep: str) -> None:
 
 
 @query(with_views("v_traits") + """
-    SELECT iid, round(acct_bal, 4) AS acct_bal, round(order_total, 4) AS order_total, order_count
-    FROM v_traits""")
+    SELECT iid, acct_bal, round(order_total, 6) AS order_total, order_count,
+           round(founder_score, 6) AS founder_score FROM v_traits""")
 def phenotype_scan(spark, sf_dir):
     path = new_path(spark, "phenotypes")
     _export_table(v_traits(spark, sf_dir), path, ",")
-    return rounded(tables.scan_phenotypes(spark, path), 4, "acct_bal", "order_total")
+    return rounded(tables.scan_phenotypes(spark, path), 6, "order_total", "founder_score")
 
 
 @query(with_views("v_covariates") + 'SELECT iid, "Age", "Sex" FROM v_covariates')
@@ -291,8 +291,8 @@ def write_dosage(spark, sf_dir):
 
 
 @query(with_views("v_dosage", "v_traits", "v_covariates", extra=[("pats", PATTERN_CTE)]) + """
-    SELECT p.locus, 'clinical' AS dataset, p.iid, p.pattern, round(t.acct_bal, 4) AS acct_bal,
-           round(t.order_total, 4) AS order_total, c."Age", c."Sex"
+    SELECT p.locus, 'clinical' AS dataset, p.iid, p.pattern, t.acct_bal,
+           round(t.order_total, 6) AS order_total, c."Age", c."Sex"
     FROM pats p JOIN v_traits t ON p.iid = t.iid JOIN v_covariates c ON p.iid = c.iid""")
 def write_merged(spark, sf_dir):
     path = new_path(spark, "merged")
@@ -301,7 +301,7 @@ def write_merged(spark, sf_dir):
         genotype_phenotype_join(association(spark, sf_dir).genotypes, wide), v_covariates(spark, sf_dir)
     )
     sinks.write_merged(merged, path)
-    return rounded(spark.read.parquet(path), 4, "acct_bal", "order_total")
+    return rounded(spark.read.parquet(path), 6, "order_total")
 
 
 def merged(spark: SparkSession, sf_dir: str, min_ac: float = 150) -> DataFrame:
@@ -319,7 +319,7 @@ MERGED_CTE = """
                FROM v_dosage v JOIN (SELECT locus, count(DISTINCT iid) n FROM v_dosage GROUP BY locus) c
                  ON v.locus = c.locus
                WHERE v.af * c.n > 150 AND v.af * c.n < c.n - 150 GROUP BY v.locus) k ON a.locus = k.locus
-    CROSS JOIN (VALUES ('clinical', 2), ('proteomics', 1)) d(dataset, n_traits)"""
+    CROSS JOIN (VALUES ('clinical', 2), ('proteomics', 2)) d(dataset, n_traits)"""
 
 
 @query(with_views("v_dosage", extra=[("m", MERGED_CTE)]) + """
@@ -371,7 +371,7 @@ def write_signif_csv(spark, sf_dir):
     sinks.write_significant_csv(significant_results(association(spark, sf_dir).results), path)
     back = spark.read.csv(
         path, header=True,
-        schema="trait_name string, haplo string, estimate double, `std.error` double, "
+        schema="locus string, dataset string, trait_name string, haplo string, estimate double, `std.error` double, "
         "`p.value` double, associated string",
     )
     return back.select(

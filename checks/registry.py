@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import q_sources
+from checks import q_relational, q_sources
 
-QUERIES = {**q_sources.Q}
-ORACLE = {**q_sources.SQL}
+QUERIES = {**q_sources.Q, **q_relational.Q}
+ORACLE = {**q_sources.SQL, **q_relational.SQL}

@@ -120,8 +120,16 @@ def dosage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide phenotype table: account balance, order total, order count."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    """Wide phenotype table: account balance, order total, order count, and
+    a score that depends on two founders of the first locus."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    key = F.col("c_custkey")
+    one, two = (key * 7 + 3) % 16, (key * 11 + F.col("c_nationkey")) % 16
+    score = (
+        F.col("c_acctbal") / 1000
+        + F.when((one >= 6) & (one < 10), 2).otherwise(0)
+        + F.when(two == 15, -3).otherwise(0)
+    )
     o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.sum("o_totalprice").alias("order_total"), F.count("*").alias("order_count")
     )
@@ -130,6 +138,7 @@ def v_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("acct_bal"),
         (F.col("order_total") / 1000).alias("order_total"),
         F.col("order_count").cast("double").alias("order_count"),
+        score.alias("founder_score"),
     )
 
 
@@ -276,7 +285,10 @@ SQL = {
         FROM v_calls c JOIN v_frequencies f ON c.locus = f.locus AND c.pos = f.pos""",
     "v_traits": """
         SELECT '0' || c.c_custkey AS iid, c.c_acctbal AS acct_bal,
-               o.t / 1000 AS order_total, CAST(o.n AS DOUBLE) AS order_count
+               o.t / 1000 AS order_total, CAST(o.n AS DOUBLE) AS order_count,
+               c.c_acctbal / 1000
+               + CASE WHEN (c.c_custkey * 7 + 3) % 16 BETWEEN 6 AND 9 THEN 2 ELSE 0 END
+               + CASE WHEN (c.c_custkey * 11 + c.c_nationkey) % 16 = 15 THEN -3 ELSE 0 END AS founder_score
         FROM customer c JOIN (SELECT o_custkey, sum(o_totalprice) t, count(*) n
                               FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey""",
     "v_covariates": """
