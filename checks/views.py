@@ -180,6 +180,13 @@ def v_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annotation documents, written once per application."""
+    return stored(
+        spark, sf_dir, "v_annotation", lambda: materialize(annotation_rows(spark, sf_dir), "documents")
+    )
+
+
+def annotation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotation documents, one per user, transcripts ordered by event."""
     t = v_transcripts(spark, sf_dir)
     text = F.lit(None).cast("string")

@@ -95,10 +95,19 @@ def distinct_per_site(cells: DataFrame) -> DataFrame:
 
 
 def reference_self_join(cells: DataFrame) -> DataFrame:
-    """Each cell beside the reference haplotype's code at the same site."""
-    reference = cells.filter(F.col("haplotype") == REFERENCE).select(
-        *MODEL, "snpid",
-        F.col("haplotype").alias("haplotype_ref"), F.col("code").alias("code_ref"),
+    """Each cell beside the reference haplotype's code at the same site.
+
+    Equal reference rows (several annotations of a site) are counted first,
+    in ``ref_copies``, instead of being matched one by one: a plain
+    many-to-many join would square the annotations of a site.
+    """
+    reference = (
+        cells.filter(F.col("haplotype") == REFERENCE)
+        .groupBy(
+            *MODEL, "snpid",
+            F.col("haplotype").alias("haplotype_ref"), F.col("code").alias("code_ref"),
+        )
+        .agg(F.count("*").alias("ref_copies"))
     )
     return cells.join(reference, [*MODEL, "snpid"], "left")
 
