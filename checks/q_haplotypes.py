@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from checks.common import LIMITS, association, rounded
 from checks.haplo_sql import ASSOCIATION_CTES, EM_SQL, HAPLOTYPES_ONLY, PATTERN_CTE
+from checks.q_relational import CLEAN_SQL
+from checks.q_sources import MERGED_CTE as MERGED_SQL
 from checks.q_sources import merged
+from checks.summary_sql import PARTS as SUMMARY_PARTS
 from checks.views import SQL as VIEW_SQL
 from checks.views import (
     N_SITES,
@@ -138,10 +141,13 @@ def model_glance(spark, sf_dir):
     return rounded(out, 4, "log_lik", "aic", "bic")
 
 
-@query()
+@query(ASSOCIATION_CTES + """
+    SELECT locus, dataset, trait_name, term, round(estimate, 4) AS estimate,
+           round(std_error, 4) AS std_error FROM coefs""")
 def posterior_reweight(spark, sf_dir):
-    """Joint phase and regression fit; iterative per trait, so it is checked
-    against a plain implementation in the tests."""
+    """Joint phase and regression fit. Every pattern of the driver's tables
+    has one pair left, so the joint fit must meet the plain one; ambiguous
+    phase is checked against a plain implementation in the tests."""
     a = association(spark, sf_dir)
     fitted = joint.fit_joint(a.genotypes, a.responses, a.fit)
     return rounded(
@@ -494,7 +500,31 @@ def is_snp(spark, sf_dir):
 # -- report ------------------------------------------------------------------
 
 
-@query()
+def _report_sql() -> str:
+    """Row counts of every section, each from its own members above."""
+    extra = [
+        ("v_transcripts", VIEW_SQL["v_transcripts"]), *SUMMARY_PARTS, *_CELLS, ("merged_rows", MERGED_SQL),
+        ("folded", """SELECT locus, CASE WHEN af <= 0.5 THEN af ELSE 1 - af END AS afc FROM v_frequencies"""),
+        ("spans", "SELECT locus, min(afc) AS lo, (max(afc) - min(afc)) / 29 AS w FROM folded GROUP BY locus"),
+        ("sections", f"""
+            SELECT 'histogram' AS section, f.locus,
+                   count(DISTINCT greatest(ceil((afc - lo) / w + 0.5 - 1e-8), 1)) AS n_rows
+            FROM folded f JOIN spans s ON f.locus = s.locus GROUP BY f.locus
+            UNION ALL SELECT 'annotation', locus, count(DISTINCT ({CLEAN_SQL.format('most_severe_consequence')},
+              gene_symbol)) FROM summary_by_locus GROUP BY locus
+            UNION ALL SELECT 'summary', locus, count(*) FROM merged_rows GROUP BY locus
+            UNION ALL SELECT 'haplotypes', locus, count(*) FROM marked GROUP BY locus
+            UNION ALL SELECT 'haplotypes_shrunk', locus, count(*) FROM marked
+              WHERE n_allele = 2 AND length(nr) = 1 AND length(na) = 1 GROUP BY locus
+            UNION ALL SELECT unnest(['effects', 'results']), locus, count(*) FROM results
+              WHERE haplo <> 'Ref.' GROUP BY locus
+            UNION ALL SELECT 'significant', locus, count(*) FROM results WHERE significant GROUP BY locus"""),
+    ]
+    members = ",\n".join(f"{n} AS MATERIALIZED ({q})" for n, q in extra)
+    return ASSOCIATION_CTES.rstrip() + ",\n" + members + "\nSELECT * FROM sections"
+
+
+@query(_report_sql())
 def report_bundle(spark, sf_dir):
     """Rows per section and locus of a written report."""
     path = new_path(spark, "report")

@@ -270,9 +270,9 @@ def merged_summary(spark, sf_dir):
     return merged(spark, sf_dir)
 
 
-_CLEAN = ("replace(replace(replace(replace({0}, '_variant', ''), '3_prime_UTR', 'UTR3'''), "
+CLEAN_SQL = ("replace(replace(replace(replace({0}, '_variant', ''), '3_prime_UTR', 'UTR3'''), "
           "'5_prime_UTR', 'UTR5'''), '_', ' ')")
-_GENE_COUNTS = [("gc", f"""SELECT locus, {_CLEAN.format('most_severe_consequence')} AS annot, gene_symbol AS gene,
+_GENE_COUNTS = [("gc", f"""SELECT locus, {CLEAN_SQL.format('most_severe_consequence')} AS annot, gene_symbol AS gene,
     count(*) AS count_snp FROM summary_by_locus GROUP BY ALL""")]
 _WITH_COUNTS = SUMMARY_CTE + ", gc AS (" + _GENE_COUNTS[0][1] + ")\n"
 
@@ -293,7 +293,7 @@ def _legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_views("v_transcripts") + f"""
-    SELECT locus, {_CLEAN.format('term')} AS annot, count(*) AS count_snp FROM v_transcripts GROUP BY ALL""")
+    SELECT locus, {CLEAN_SQL.format('term')} AS annot, count(*) AS count_snp FROM v_transcripts GROUP BY ALL""")
 def annotation_counts(spark, sf_dir):
     return annotate.consequence_counts(_legacy(spark, sf_dir))
 
@@ -448,7 +448,7 @@ def fold_af(spark, sf_dir):
 
 @query(with_views("v_transcripts") + f"""
     SELECT event_id, replace(replace(replace(term, '_variant', ''), '3_prime_UTR', 'UTR3'''), '5_prime_UTR', 'UTR5''') AS annot,
-           {_CLEAN.format('term')} AS annot_spaced FROM v_transcripts""")
+           {CLEAN_SQL.format('term')} AS annot_spaced FROM v_transcripts""")
 def clean_consequence(spark, sf_dir):
     annot = labels.clean_consequence(F.col("term"))
     return v_transcripts(spark, sf_dir).select(

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from checks.views import with_views
 
-_KEYS = "user_id, locus, variant"
-
-_PARTS = [
+PARTS = [
     ("t", "SELECT *, value / 1000 AS f, value / 2000 AS f_afr FROM v_transcripts"),
     ("documents_facts", """SELECT locus, variant, arg_min(term, event_id) AS most_severe_consequence,
         count(*) AS n_transcripts, 'ENST' || min(event_id) AS first_transcript,
@@ -39,5 +37,5 @@ _PARTS = [
     ("summary", "SELECT * EXCLUDE (locus) FROM summary_by_locus"),
 ]
 
-DOCUMENTS_CTE = with_views("v_transcripts", extra=_PARTS[:2])
-SUMMARY_CTE = with_views("v_transcripts", extra=_PARTS)
+DOCUMENTS_CTE = with_views("v_transcripts", extra=PARTS[:2])
+SUMMARY_CTE = with_views("v_transcripts", extra=PARTS)
