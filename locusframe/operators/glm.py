@@ -123,7 +123,7 @@ def pattern_design(fit: HaplotypeFit, pooled: DataFrame, terms: DataFrame) -> Da
         ),
     ).otherwise(F.array().cast("array<double>"))
     return (
-        packed.join(broadcast_if_small(sizes), keys, "left")
+        packed.join(sizes, keys, "left")
         .withColumn("_k", F.coalesce("_k", F.lit(0)))
         .select(*keys, "pattern", x.alias("x"))
     )
@@ -257,13 +257,13 @@ def solve_cells(cells: DataFrame, means: list[float]) -> DataFrame:
             F.max(F.when(F.col("kind") == "yy", F.col("s"))).alias("yy"),
         )
     )
-    inverse = materialize(_invert_groups(cells, GROUP, _GROUP_DDL, means), "inverse")
+    inverse = _invert_groups(cells, GROUP, _GROUP_DDL, means)
     p = F.size("xy")
     beta = F.transform(
         F.sequence(F.lit(0), p - 1),
         lambda i: _dot(F.slice("inverse", i * p + 1, p), F.col("xy")),
     )
-    solved = sums.join(broadcast_if_small(inverse), GROUP).withColumn("centred", beta)
+    solved = sums.join(inverse, GROUP).withColumn("centred", beta)
     return solved.select(
         *GROUP, "y_index", "n", "rank", "centred", "variance",
         (F.col("yy") - _dot(F.col("centred"), F.col("xy"))).alias("rss"),
@@ -285,7 +285,7 @@ def haplotype_models(
     patterns = genotype_patterns(_join_subjects(genotypes, members), GROUP)
     fit = em_haplotypes(patterns, GROUP, limits)
     pooled = materialize(pool_and_base(fit.haplotypes, GROUP, limits.min_freq), "pooled")
-    terms = materialize(haplotype_terms(pooled, GROUP), "terms")
+    terms = haplotype_terms(pooled, GROUP)
     design = materialize(pattern_design(fit, pooled, terms), "design")
     cells = materialize(gram_cells(_join_subjects(genotypes, responses.rows), design), "cells")
     models = _finish_models(solve_cells(cells, responses.means), responses)
@@ -323,7 +323,7 @@ def tidy_coefficients(fit: ModelFit, covariates: list[str]) -> DataFrame:
     )
     names = F.concat(F.array(entry("(Intercept)", "intercept")), middle, tail)
     sigma2 = F.col("rss") / F.col("df_residual")
-    rows = fit.models.join(broadcast_if_small(haps), GROUP, "left").select(
+    rows = fit.models.join(haps, GROUP, "left").select(
         *GROUP, "trait_name", "df_residual", sigma2.alias("_s2"),
         F.posexplode(F.arrays_zip(names.alias("t"), F.col("beta"), F.col("variance"))).alias("_i", "_z"),
     )

@@ -125,6 +125,12 @@ def _sides(pairs: DataFrame, keep: list[str]) -> DataFrame:
     return pairs.select(*keep, F.inline(F.when(F.col("h1") == F.col("h2"), one).otherwise(two)))
 
 
+def _totals(pairs: DataFrame, group: list[str]) -> DataFrame:
+    """Number of individuals of each group."""
+    counted = pairs.groupBy(*group, "pattern").agg(F.first("n").alias("n"))
+    return counted.groupBy(*group).agg(F.sum("n").alias("_total"))
+
+
 def _frequencies(pairs: DataFrame, group: list[str], totals: DataFrame) -> DataFrame:
     """M step from stored posteriors: expected copies over 2 N."""
     copies = _sides(pairs, [*group, "n", "post"]).groupBy(*group, "h").agg(
@@ -164,7 +170,7 @@ def _em_step(sides: DataFrame, freqs: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def _run_em(pairs: DataFrame, totals: DataFrame, group: list[str], max_haps: float) -> DataFrame:
+def _run_em(pairs: DataFrame, group: list[str], max_haps: float) -> DataFrame:
     """Frequencies at convergence for every group."""
     spark = pairs.sparkSession
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -177,6 +183,7 @@ def _run_em(pairs: DataFrame, totals: DataFrame, group: list[str], max_haps: flo
         .persist()
     )
     per_group = Window.partitionBy(*group)
+    totals = _totals(pairs, group)
     size = Observation()
     start = _frequencies(pairs, group, totals).join(totals, group)
     start = start.withColumn("_haps", F.count("*").over(per_group)).observe(
@@ -266,7 +273,7 @@ def _settle_group(max_haps: float, min_pp: float):
 
 
 def _settle(
-    grown: DataFrame, totals: DataFrame, group: list[str], limits: Thresholds, group_rows: int, rows: int
+    grown: DataFrame, group: list[str], limits: Thresholds, group_rows: int, rows: int
 ) -> DataFrame:
     """Trimmed posteriors of every group at convergence."""
     fields = [*group, "pattern", "n", "h1", "h2", "post"]
@@ -283,7 +290,7 @@ def _settle(
     if wide.isEmpty():
         return small
     large = grown.join(wide, group, "left_semi")
-    freqs = _run_em(large, totals, group, limits.max_haps)
+    freqs = _run_em(large, group, limits.max_haps)
     return small.unionByName(_trim(large.drop("pair"), freqs, group, limits.min_pp))
 
 
@@ -301,39 +308,35 @@ def em_haplotypes(
     attempt with the best likelihood wins, the earlier one on a tie.
     """
     group = [*keys, "attempt"]
-    longest = Observation()
-    patterns = materialize(
-        patterns.observe(longest, F.max(F.length("pattern")).alias("sites")), "patterns"
-    )
-    n_sites, batch = longest.get["sites"] or 0, int(limits.n_batch)
     attempts = F.sequence(F.lit(1), F.lit(int(limits.n_try)))
-    totals = (
-        patterns.groupBy(*keys).agg(F.sum("n").alias("_total"))
-        .select(*keys, F.explode(attempts).alias("attempt"), "_total")
-    )
     pairs = patterns.select(
         *keys, F.explode(attempts).alias("attempt"), "pattern", "n",
         F.lit("").alias("h1"), F.lit("").alias("h2"), F.lit(1.0).alias("post"),
         F.lit(1.0).alias("_sum"),
     )
     finished: list[DataFrame] = []
-    for first in range(0, n_sites, batch):
+    first, batch = 0, int(limits.n_batch)
+    while True:
         # One job per batch: the previous batch settles, the next is inserted.
-        grown, rows = _grow(pairs, group, first, min(batch, n_sites - first), limits, seed)
+        grown, rows, n_sites = _grow(pairs, group, first, batch, limits, seed)
         # Rows whose last site was in before this batch are final.
         finished.append(grown.filter(F.length("pattern") <= first).drop("pair"))
         growing = grown.filter(F.length("pattern") > first)
-        pairs = _settle(growing, totals, group, limits, group_rows, rows)
+        pairs = _settle(growing, group, limits, group_rows, rows)
+        first += batch
+        if first >= n_sites:
+            break
     final = materialize(pairs, "settled")
     for more in finished[1:]:
         final = final.unionByName(more)
-    return _choose(final, totals, keys)
+    return _choose(final, keys)
 
 
 def _grow(
     pairs: DataFrame, group: list[str], first: int, count: int, limits: Thresholds, seed: int
-) -> tuple[DataFrame, int]:
-    """Stored pairs after inserting a batch of sites, and their number."""
+) -> tuple[DataFrame, int, int]:
+    """Stored pairs after inserting a batch of sites, their number and the
+    number of sites of the longest pattern."""
     grown = insert_sites(pairs, first, count)
     if limits.n_try > 1:
         draw = F.when(F.col("attempt") == 1, F.lit(1.0)).otherwise(
@@ -347,29 +350,27 @@ def _grow(
     size = Observation()
     stored = materialize(
         grown.withColumn("pair", F.monotonically_increasing_id()).observe(
-            size, F.count("*").alias("rows")
+            size, F.count("*").alias("rows"), F.max(F.length("pattern")).alias("sites")
         ),
         "pairs",
     )
-    return stored, size.get["rows"]
+    return stored, size.get["rows"], size.get["sites"] or 0
 
 
-def _choose(final: DataFrame, totals: DataFrame, keys: list[str]) -> HaplotypeFit:
+def _choose(final: DataFrame, keys: list[str]) -> HaplotypeFit:
+    """Best attempt of each group, its pairs and haplotype frequencies."""
     group = [*keys, "attempt"]
     by_pattern = final.groupBy(*group, "pattern").agg(
         F.first("n").alias("n"), F.first("_sum").alias("like")
     )
     fits = by_pattern.groupBy(*group).agg(F.sum(F.col("n") * F.log("like")).alias("loglik"))
     best = Window.partitionBy(*keys).orderBy(F.round("loglik", 4).desc(), "attempt")
-    starts = materialize(fits.withColumn("chosen", F.row_number().over(best) == 1), "starts")
+    starts = fits.withColumn("chosen", F.row_number().over(best) == 1)
     winner = starts.filter("chosen").select(*group)
-    pairs = materialize(final.join(winner, group).drop("_sum"), "posteriors")
-    haplotypes = _frequencies(pairs, group, totals)
+    pairs = materialize(final.join(winner, group).select(*keys, "pattern", "n", "h1", "h2", "post"), "posteriors")
+    haplotypes = _frequencies(pairs, keys, _totals(pairs, keys))
     return HaplotypeFit(
-        keys,
-        materialize(haplotypes.select(*keys, F.col("h").alias("hap"), F.col("f").alias("freq")), "haps"),
-        pairs.drop("attempt"),
-        starts,
+        keys, haplotypes.select(*keys, F.col("h").alias("hap"), F.col("f").alias("freq")), pairs, starts
     )
 
 

@@ -70,11 +70,9 @@ def run_association(
     responses = prepare_responses(long_traits(phenotypes), covariates)
     fit = haplotype_models(genotypes, responses, limits)
     coefficients = materialize(tidy_coefficients(fit, responses.covariates), "coefficients")
-    haplotypes = materialize(
-        per_trait(haplotype_table(fit.pooled, GROUP), responses.traits), "haplotype-table"
-    )
+    haplotypes = per_trait(haplotype_table(fit.pooled, GROUP), responses.traits)
     dictionary = haplotype_dictionary(haplotypes)
-    results = materialize(haplotype_right_join(coefficients, dictionary), "results")
+    results = haplotype_right_join(coefficients, dictionary)
     return Association(
         sites, genotypes, responses, fit, coefficients, haplotypes, dictionary, results
     )
