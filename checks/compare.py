@@ -35,16 +35,23 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
+def kinds(columns, rows):
+    """Python types per column, to spot an integer on one side only."""
+    return {c: {type(r[i]).__name__ for r in rows if r[i] is not None} for i, c in enumerate(columns)}
+
+
 def compare(spark, sf_dir: str, name: str, con) -> tuple[str, int, float, float]:
     started = time.time()
     df = QUERIES[name](spark, sf_dir)
-    cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    raw = [tuple(r) for r in df.collect()]
+    cols, got = rows_of(df.columns, raw)
     spent = time.time() - started
     if name not in ORACLE:
         return "rows only", len(got), spent, 0.0
     started = time.time()
     cur = con.execute(ORACLE[name])
-    ocols, want = rows_of([c[0] for c in cur.description], cur.fetchall())
+    onames, oraw = [c[0] for c in cur.description], cur.fetchall()
+    ocols, want = rows_of(onames, oraw)
     oracle_spent = time.time() - started
     if cols != ocols:
         return f"COLUMNS {cols} / {ocols}", len(got), spent, oracle_spent
@@ -52,6 +59,10 @@ def compare(spark, sf_dir: str, name: str, con) -> tuple[str, int, float, float]
         more = [g for g in got if g not in want][:2] if len(got) < 20000 else got[:1]
         less = [w for w in want if w not in got][:2] if len(want) < 20000 else want[:1]
         return f"DIFF {len(got)}/{len(want)} {more} / {less}", len(got), spent, oracle_spent
+    ours, theirs = kinds(df.columns, raw), kinds(onames, oraw)
+    odd = [f"{c}: {ours[c]} / {theirs[c]}" for c in cols if ours[c] != theirs[c]]
+    if odd:
+        return f"TYPES {odd}", len(got), spent, oracle_spent
     return "ok", len(got), spent, oracle_spent
 
 

@@ -23,7 +23,7 @@ from checks.views import (
 from locusframe.functions import genotype
 from locusframe.operators import annotate, display, glm, haplotypes, joint, reshape, results
 from locusframe.operators.haplotypes import HaplotypeFit
-from locusframe.plans.association import kept_variants
+from locusframe.plans.association import kept_sites
 from locusframe.plans.report import report_sections
 from locusframe.session import new_path
 from locusframe.sinks.tables import write_report
@@ -46,9 +46,13 @@ def query(sql: str | None = None):
 # -- estimation --------------------------------------------------------------
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dosage = v_dosage(spark, sf_dir)
+    return reshape.genotype_vectors(dosage, kept_sites(dosage, LIMITS.min_ac))
+
+
 def patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = reshape.genotype_vectors(kept_variants(v_dosage(spark, sf_dir), LIMITS.min_ac))
-    return haplotypes.genotype_patterns(vectors, ["locus"])
+    return haplotypes.genotype_patterns(vectors(spark, sf_dir), ["locus"])
 
 
 def fit(spark: SparkSession, sf_dir: str) -> HaplotypeFit:
@@ -92,9 +96,8 @@ def rare_pool_and_base(spark, sf_dir):
     SELECT p.locus, p.iid, c.label, round(c.copies, 5) AS copies FROM pats p
     JOIN copies c ON p.locus = c.locus AND p.pattern = c.pattern WHERE c.kind <> 'base'""")
 def haplotype_design(spark, sf_dir):
-    vectors = reshape.genotype_vectors(kept_variants(v_dosage(spark, sf_dir), LIMITS.min_ac))
     copies = haplotypes.pattern_copies(fit(spark, sf_dir), pooled(spark, sf_dir))
-    return rounded(haplotypes.haplotype_design(vectors, copies, ["locus"]), 5, "copies")
+    return rounded(haplotypes.haplotype_design(vectors(spark, sf_dir), copies, ["locus"]), 5, "copies")
 
 
 @query(EM_SQL + "SELECT locus, haplotype, hap_pos, alleles, round(hap_freq, 5) AS hap_freq FROM haptable")

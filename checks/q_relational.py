@@ -25,7 +25,7 @@ from checks.views import (
 from locusframe.functions import genotype, keys, labels
 from locusframe.operators import annotate, freq, merge, reshape, variants
 from locusframe.operators.display import display_annotation
-from locusframe.plans.association import kept_variants, long_traits
+from locusframe.plans.association import kept_sites, kept_variants, long_traits
 from locusframe.sources import tables
 
 Q: dict = {}
@@ -180,7 +180,8 @@ def trait_unpivot(spark, sf_dir):
 @query(with_views("v_dosage", "v_traits", extra=[("pats", PATTERN_CTE)]) + """
     SELECT p.locus, p.iid, p.pattern, t.acct_bal, t.order_count FROM pats p JOIN v_traits t ON p.iid = t.iid""")
 def genotype_phenotype_join(spark, sf_dir):
-    vectors = reshape.genotype_vectors(kept_variants(v_dosage(spark, sf_dir), 1))
+    dosage = v_dosage(spark, sf_dir)
+    vectors = reshape.genotype_vectors(dosage, kept_sites(dosage, 1))
     wide = v_traits(spark, sf_dir).select("iid", "acct_bal", "order_count")
     return merge.genotype_phenotype_join(vectors, wide)
 
@@ -321,7 +322,7 @@ _AFC = [("x", "SELECT locus, CASE WHEN af <= 0.5 THEN af ELSE 1 - af END AS afc
     , s AS (SELECT locus, count(*) AS n, max(afc) - min(afc) AS span,
               2 * (quantile_cont(afc, 0.75) - quantile_cont(afc, 0.25)) / power(count(*), 1.0::DOUBLE / 3) AS width
             FROM x GROUP BY locus)
-    SELECT locus, n, round(width, 6) AS width, CASE WHEN width > 0 THEN ceil(span / width) END AS bins FROM s""")
+    SELECT locus, n, round(width, 6) AS width, CASE WHEN width > 0 THEN CAST(ceil(span / width) AS BIGINT) END AS bins FROM s""")
 def af_bin_width(spark, sf_dir):
     return rounded(freq.bin_width(region_variants(spark, sf_dir)), 6, "width")
 
@@ -364,7 +365,7 @@ def af_histogram_axis(spark, sf_dir):
 
 @query(with_views("v_region_variants", extra=_AFC) + """
     , e AS (SELECT locus, min(afc) AS lo, (max(afc) - min(afc)) / 29 AS w FROM x GROUP BY locus)
-    SELECT x.locus, greatest(ceil((afc - lo) / w + 0.5 - 1e-8), 1) AS bin, count(*) AS n
+    SELECT x.locus, CAST(greatest(ceil((afc - lo) / w + 0.5 - 1e-8), 1) AS BIGINT) AS bin, count(*) AS n
     FROM x JOIN e ON x.locus = e.locus GROUP BY ALL""")
 def af_histogram_30(spark, sf_dir):
     return freq.histogram_30(region_variants(spark, sf_dir))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.functions.genotype import round_dosage
@@ -19,48 +19,72 @@ def genotype_pivot(dosage: DataFrame, snp_ids: list[str]) -> DataFrame:
     return dosage.groupBy("locus", "iid").pivot("snp_id", snp_ids).agg(cell)
 
 
-def site_dictionary(kept: DataFrame) -> DataFrame:
-    """Kept variants of each locus with their 0-based index in file order."""
-    sites = kept.select("locus", "snp_id", "chrom", "pos", "ref", "alt").distinct()
-    packed = sites.groupBy("locus").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "ref", "alt", "chrom", "snp_id"))).alias("sites")
+SITE_KEY = ["locus", "chrom", "pos", "ref", "alt"]
+
+
+def site_dictionary(variants: DataFrame) -> DataFrame:
+    """Variants of each locus (one row each, with snp_id) and their 0-based
+    index in file order. A region's variants fit one row."""
+    packed = variants.groupBy("locus").agg(
+        F.array_sort(F.collect_set(F.struct("pos", "ref", "alt", "chrom", "snp_id"))).alias("sites")
     )
     return packed.select("locus", F.posexplode("sites").alias("site_index", "site")).select(
         "locus", "site_index", "site.snp_id", "site.chrom", "site.pos", "site.ref", "site.alt"
     )
 
 
-def genotype_vectors(kept: DataFrame, sites: DataFrame | None = None) -> DataFrame:
+# Sites per 64-bit word of packed genotypes, two bits each; the spare bits keep
+# sums of repeated cells from wrapping around.
+_WORD = 24
+_MISSING = 3
+
+
+def genotype_vectors(dosage: DataFrame, sites: DataFrame) -> DataFrame:
     """One row per locus and individual with ``pattern``: one character per
-    kept variant in file order, 0/1/2 copies or ``.`` for missing.
+    site in file order, 0/1/2 copies or ``.`` for missing.
 
-    Shuffles (index, code) pairs only, once, by locus and individual; a row
-    is as long as the region has variants. An individual that lacks a
-    variant gets ``.`` there, and a repeated (iid, variant) fails. ``sites``
-    may be given when the variant list is already at hand.
+    ``sites`` also selects the variants and is broadcast while small. Codes
+    are packed two bits each and added up per word of 24 sites, so tasks
+    combine a whole run of variants into one row per individual before the
+    shuffle. A word whose presence bits add up to more than their union has
+    a repeated (iid, variant), which fails. Absent sites read ``.``.
     """
-    if sites is None:
-        sites = site_dictionary(kept)
-    index = broadcast_if_small(sites.select("locus", "snp_id", "site_index"))
-    code = F.coalesce(round_dosage(F.col("dosage")).cast("string"), F.lit("."))
-    calls = (
-        kept.select("locus", "iid", "snp_id", code.alias("code"))
-        .join(index, ["locus", "snp_id"])
-        .groupBy("locus", "iid")
-        .agg(F.map_from_entries(F.collect_list(F.struct("site_index", "code"))).alias("calls"))
+    index = broadcast_if_small(sites.select(*SITE_KEY, "site_index"))
+    copies = round_dosage(F.col("dosage"))
+    code = F.when(copies.between(0, 2), copies).otherwise(F.lit(_MISSING)).cast("bigint")
+    shift = (F.col("site_index") % _WORD * 2).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)
+    words = (
+        dosage.select(*SITE_KEY, "iid", code.alias("code"))
+        .join(index, SITE_KEY)
+        .select(
+            "locus", "iid", F.floor(F.col("site_index") / _WORD).cast("int").alias("word"),
+            (F.col("code") * bit).alias("codes"), bit.alias("seen"),
+        )
+        .groupBy("locus", "iid", "word")
+        .agg(F.sum("codes").alias("codes"), F.sum("seen").alias("added"), F.bit_or("seen").alias("seen"))
+        .withColumn(
+            "codes",
+            F.when(F.col("added") == F.col("seen"), F.col("codes")).otherwise(
+                F.raise_error(F.lit("repeated individual and variant"))
+            ),
+        )
     )
-    sizes = sites.groupBy("locus").agg(F.count("*").cast("int").alias("n_sites"))
-    pattern = F.array_join(
-        F.transform(
-            F.sequence(F.lit(0), F.col("n_sites") - 1),
-            lambda i: F.coalesce(F.col("calls")[i], F.lit(".")),
-        ),
-        "",
-    )
-    return calls.join(broadcast_if_small(sizes), "locus").select(
-        "locus", "iid", pattern.alias("pattern")
+    people = words.groupBy("locus", "iid").agg(
+        F.map_from_entries(F.collect_list(F.struct("word", F.struct("codes", "seen")))).alias("words")
     )
 
+    def letter(i: Column) -> Column:
+        word = F.col("words")[F.floor(i / _WORD).cast("int")]
+        at = (i % _WORD * 2).cast("int")
+        present = F.call_function("shiftright", word["seen"], at).bitwiseAND(1) == 1
+        value = F.call_function("shiftright", word["codes"], at).bitwiseAND(3)
+        return F.when(present & (value != _MISSING), value.cast("string")).otherwise(F.lit("."))
+
+    sizes = sites.groupBy("locus").agg(F.count("*").cast("int").alias("n_sites"))
+    pattern = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n_sites") - 1), letter), "")
+    return people.join(broadcast_if_small(sizes), "locus").select("locus", "iid", pattern.alias("pattern"))
+
 
 def trait_unpivot(phenotypes: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Trait columns to (trait_name, trait) rows; ``keep`` columns stay."""

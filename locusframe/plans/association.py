@@ -41,10 +41,24 @@ class Association:
 
 def kept_variants(dosage: DataFrame, min_ac: float) -> DataFrame:
     """Dosage rows of the variants inside the allele count band."""
-    counts = materialize(sample_counts(dosage), "sample-counts")
+    counts = sample_counts(dosage)
     return allele_count_band_filter(allele_count_derive(dosage, counts), min_ac)
 
 
+def kept_sites(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
+    """Indexed sites inside the allele count band.
+
+    The band is a property of the variant, so it is decided on one row per
+    variant: on ``frequencies`` (locus, chrom, pos, ref, alt, af) when that
+    table is at hand, else on the distinct variants of the dosage rows.
+    """
+    source = dosage if frequencies is None else frequencies
+    variants = source.select("locus", "chrom", "pos", "ref", "alt", "af").distinct()
+    counts = sample_counts(dosage)
+    kept = allele_count_band_filter(allele_count_derive(variants, counts), min_ac)
+    return materialize(site_dictionary(kept), "sites")
+
+
 def long_traits(phenotypes: dict[str, DataFrame]) -> DataFrame:
     """Wide phenotype tables of all datasets as one long table."""
     parts = [
@@ -62,11 +76,11 @@ def run_association(
     phenotypes: dict[str, DataFrame],
     covariates: DataFrame | None,
     limits: Thresholds = Thresholds(),
+    frequencies: DataFrame | None = None,
 ) -> Association:
     """All loci and datasets in one go; see ``Association`` for the parts."""
-    kept = kept_variants(dosage, limits.min_ac)
-    sites = materialize(site_dictionary(kept), "sites")
-    genotypes = materialize(genotype_vectors(kept, sites), "genotypes")
+    sites = kept_sites(dosage, limits.min_ac, frequencies)
+    genotypes = materialize(genotype_vectors(dosage, sites), "genotypes")
     responses = prepare_responses(long_traits(phenotypes), covariates)
     fit = haplotype_models(genotypes, responses, limits)
     coefficients = materialize(tidy_coefficients(fit, responses.covariates), "coefficients")

@@ -59,14 +59,30 @@ def test_genotype_vectors_fill_gaps(spark):
         ("L", "10-3", "chr5_10_A_G", "5", 10, "A", "G", None),
         ("M", "10-3", "chr6_1_A_G", "6", 1, "A", "G", 1.0),
     ]
-    got = {(r.locus, r.iid): r.pattern for r in reshape.genotype_vectors(_kept(spark, rows)).collect()}
+    kept = _kept(spark, rows)
+    vectors = reshape.genotype_vectors(kept, reshape.site_dictionary(kept))
+    got = {(r.locus, r.iid): r.pattern for r in vectors.collect()}
     assert got == {("L", "007"): "20", ("L", "10-3"): "..", ("M", "10-3"): "1"}
 
 
+def test_genotype_vectors_over_several_words(spark):
+    rng = random.Random(9)
+    calls = {(i, k): rng.choice([0, 1, 2, None, "absent"]) for i in range(6) for k in range(100)}
+    rows = [
+        ("L", f"0{i}", f"chr5_{k}_A_G", "5", k, "A", "G", None if c is None else float(c))
+        for (i, k), c in calls.items() if c != "absent"
+    ]
+    kept = _kept(spark, rows)
+    got = {r.iid: r.pattern for r in reshape.genotype_vectors(kept, reshape.site_dictionary(kept)).collect()}
+    for i in range(6):
+        letters = ["." if calls[i, k] in (None, "absent") else str(calls[i, k]) for k in range(100)]
+        assert got[f"0{i}"] == "".join(letters)
+
+
 def test_repeated_cells_fail(spark):
     rows = [("L", "1", "chr5_9_A_G", "5", 9, "A", "G", 1.0)] * 2
-    with pytest.raises(Exception):
-        reshape.genotype_vectors(_kept(spark, rows)).collect()
+    with pytest.raises(Exception, match="repeated"):
+        reshape.genotype_vectors(_kept(spark, rows), reshape.site_dictionary(_kept(spark, rows))).collect()
     with pytest.raises(Exception, match="repeated"):
         reshape.genotype_pivot(_kept(spark, rows), ["chr5_9_A_G"]).collect()
 
