@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.functions.genotype import fold_frequency
-from locusframe.session import broadcast_if_small
+from locusframe.session import small_side
 
 # Cells of the coarse pass that locates order statistics. Folded frequencies
 # lie in [0, 0.5].
@@ -30,7 +30,7 @@ def _order_statistics(values: DataFrame, key: str, x: str, ranks: DataFrame) ->
         (F.col(x) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * COARSE_CELLS
     )).otherwise(F.lit(0))
     counted = (
-        values.join(broadcast_if_small(bounds), key)
+        values.join(small_side(bounds, "bounds"), key)
         .groupBy(key, cell.alias("_cell"), x)
         .agg(F.count("*").alias("_n"))
     )
@@ -41,7 +41,7 @@ def _order_statistics(values: DataFrame, key: str, x: str, ranks: DataFrame) ->
         (F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("_m"))
     )
     inside = counted.join(
-        broadcast_if_small(wanted.select(key, "_cell", "_before", "rank")), [key, "_cell"]
+        small_side(wanted.select(key, "_cell", "_before", "rank"), "cells"), [key, "_cell"]
     )
     run = Window.partitionBy(key, "_cell", "rank").orderBy(x)
     placed = inside.withColumn("_to", F.col("_before") + F.sum("_n").over(run))
@@ -130,7 +130,7 @@ def histogram_breaks(variants: DataFrame, n: int = 7) -> DataFrame:
     place = F.ceil(F.col("afc") / F.col("step") - F.col("first") - fuzz)
     bin_no = F.least(F.greatest(place, F.lit(1)), F.col("last") - F.col("first"))
     counts = (
-        values.join(broadcast_if_small(grid), "locus")
+        values.join(small_side(grid, "grid"), "locus")
         .groupBy("locus", bin_no.alias("bin"))
         .agg(F.count("*").alias("n"))
     )
@@ -168,7 +168,7 @@ def histogram_30(variants: DataFrame, bins: int = 30) -> DataFrame:
     )
     place = F.ceil((F.col("afc") - F.col("_lo")) / F.col("width") + 0.5 - 1e-8)
     return (
-        values.join(broadcast_if_small(grid), "locus")
+        values.join(small_side(grid, "grid"), "locus")
         .groupBy("locus", F.least(F.greatest(place, F.lit(1)), F.lit(bins)).alias("bin"))
         .agg(F.count("*").alias("n"))
     )

@@ -249,6 +249,7 @@ def _settle_group(max_haps: float, min_pp: float):
         ways = np.where(a == b, 1.0, 2.0)
         n = rows["n"].to_numpy(float)
         post = rows["post"].to_numpy(float)
+        post = post / np.bincount(pattern, post)[pattern]
         copies = 2.0 * (n / np.bincount(pattern)[pattern]).sum()
         f_old = None
         for _ in range(MAX_ROUNDS * STEPS_PER_ROUND):
@@ -289,7 +290,10 @@ def _settle(
     )
     if wide.isEmpty():
         return small
-    large = grown.join(wide, group, "left_semi")
+    within = Window.partitionBy(*group, "pattern")
+    large = grown.join(wide, group, "left_semi").withColumn(
+        "post", F.col("post") / F.sum("post").over(within)
+    )
     freqs = _run_em(large, group, limits.max_haps)
     return small.unionByName(_trim(large.drop("pair"), freqs, group, limits.min_pp))
 
@@ -343,10 +347,8 @@ def _grow(
             _uniform(F.lit(seed), F.col("attempt"), F.col("pattern"), F.col("h1"), F.col("h2"))
         )
         draw = F.when(F.length("pattern") > first, draw).otherwise(F.lit(1.0))
-        within = Window.partitionBy(*group, "pattern")
-        grown = grown.withColumn("post", F.col("post") * draw).withColumn(
-            "post", F.col("post") / F.sum("post").over(within)
-        )
+        # The shares of a pattern are scaled to 1 where they are used.
+        grown = grown.withColumn("post", F.col("post") * draw)
     size = Observation()
     stored = materialize(
         grown.withColumn("pair", F.monotonically_increasing_id()).observe(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions.genotype import fold_frequency
 from locusframe.functions.keys import is_snp_id, position_key, snp_id
-from locusframe.session import broadcast_if_small
+from locusframe.session import broadcast_if_small, small_side
 
 BIN_WIDTH = 1_000_000
 
@@ -95,7 +95,7 @@ def allele_count_derive(dosage: DataFrame, n_samples: DataFrame, ploidy_factor:
     is symmetric, so it acts on the ALT frequency.
     """
     af = F.col("af")
-    counts = broadcast_if_small(n_samples.select("locus", "n_sample"))
+    counts = small_side(n_samples.select("locus", "n_sample"), "sample-counts")
     return dosage.join(counts, "locus").select(
         *dosage.columns,
         "n_sample",

@@ -72,3 +72,9 @@ def plan_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast only when the estimated size is within ``limit``."""
     return F.broadcast(df) if plan_bytes(df) <= limit else df
+
+
+def small_side(df: DataFrame, label: str) -> DataFrame:
+    """An aggregate to be joined back to the rows it came from: stored first,
+    so that its true size, not that of its input, decides on a broadcast."""
+    return broadcast_if_small(materialize(df, label))
