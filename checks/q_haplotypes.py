@@ -25,7 +25,7 @@ from locusframe.operators import annotate, display, glm, haplotypes, joint, resh
 from locusframe.operators.haplotypes import HaplotypeFit
 from locusframe.plans.association import kept_sites
 from locusframe.plans.report import report_sections
-from locusframe.session import new_path
+from locusframe.session import materialize, new_path
 from locusframe.sinks.tables import write_report
 
 Q: dict = {}
@@ -378,10 +378,16 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The display table, written once: several reports read it."""
     a = association(spark, sf_dir)
-    return display.display_table(
-        a.haplotypes, a.sites, display_annotation(spark, sf_dir), v_frequencies(spark, sf_dir)
-    )
+
+    def build() -> DataFrame:
+        table = display.display_table(
+            a.haplotypes, a.sites, display_annotation(spark, sf_dir), v_frequencies(spark, sf_dir)
+        )
+        return materialize(table, "display")
+
+    return stored(spark, sf_dir, "display", build)
 
 
 def with_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from locusframe.config import Thresholds
 from locusframe.functions.labels import pad_haplotype_label
@@ -39,7 +40,7 @@ TOLERANCE = 1e-7
 STEPS_PER_ROUND = 5
 MAX_ROUNDS = 1000
 # Largest number of pair rows of a group that one task takes.
-GROUP_ROWS = 500_000
+GROUP_ROWS = 200_000
 
 
 @dataclass
@@ -278,7 +279,7 @@ def _settle(
 ) -> DataFrame:
     """Trimmed posteriors of every group at convergence."""
     fields = [*group, "pattern", "n", "h1", "h2", "post"]
-    schema = f"{grown.select(*fields).schema.simpleString()[7:-1]},_sum:double".replace(":", " ")
+    schema = StructType([grown.schema[f] for f in fields] + [StructField("_sum", DoubleType())])
     in_task = _settle_group(limits.max_haps, limits.min_pp)
     if rows <= group_rows:
         return grown.select(*fields).groupBy(*group).applyInPandas(in_task, schema)
