@@ -231,13 +231,13 @@ def haplotype_right_join(spark, sf_dir):
 
 @query(ASSOCIATION_CTES + """
     SELECT locus, dataset, haplo, trait_name, row_number() OVER (
-             ORDER BY locus, dataset, haplo, abs(statistic) DESC) AS place
+             PARTITION BY locus, dataset ORDER BY haplo, abs(statistic) DESC) AS place
     FROM results WHERE significant""")
 def result_order(spark, sf_dir):
-    """Position of each significant row in the sorted output."""
+    """Position of each significant row in the sorted output of its locus
+    and dataset."""
     ordered = results.significant_results(association(spark, sf_dir).results)
-    keys = ("locus", "dataset", "haplo", "p_value")
-    place = F.row_number().over(Window.orderBy(*keys))
+    place = F.row_number().over(Window.partitionBy("locus", "dataset").orderBy("haplo", "p_value"))
     return ordered.select("locus", "dataset", "haplo", "trait_name", place.alias("place"))
 
 

@@ -22,7 +22,9 @@ from locusframe.operators.results import haplotype_dictionary, haplotype_right_j
 from locusframe.operators.variants import (
     allele_count_band_filter,
     allele_count_derive,
+    non_variant_select,
     sample_counts,
+    variant_column_select,
 )
 from locusframe.session import materialize
 
@@ -45,8 +47,8 @@ def kept_variants(dosage: DataFrame, min_ac: float) -> DataFrame:
     return allele_count_band_filter(allele_count_derive(dosage, counts), min_ac)
 
 
-def kept_sites(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
-    """Indexed sites inside the allele count band.
+def banded_variants(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
+    """Variants inside the allele count band, one row each.
 
     The band is a property of the variant, so it is decided on one row per
     variant: on ``frequencies`` (locus, chrom, pos, ref, alt, af) when that
@@ -54,9 +56,21 @@ def kept_sites(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None =
     """
     source = dosage if frequencies is None else frequencies
     variants = source.select("locus", "chrom", "pos", "ref", "alt", "af").distinct()
-    counts = sample_counts(dosage)
-    kept = allele_count_band_filter(allele_count_derive(variants, counts), min_ac)
-    return materialize(site_dictionary(kept), "sites")
+    return allele_count_band_filter(allele_count_derive(variants, sample_counts(dosage)), min_ac)
+
+
+def kept_sites(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
+    """Indexed sites of the haplotypes: inside the band, with a genotype
+    column name (numbered chromosome, plain alleles)."""
+    banded = banded_variants(dosage, min_ac, frequencies)
+    return materialize(site_dictionary(variant_column_select(banded, "snp_id")), "sites")
+
+
+def rejected_variants(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
+    """Variants inside the band whose name keeps them out of the haplotypes
+    (such as those of chromosome X), counted per locus."""
+    banded = banded_variants(dosage, min_ac, frequencies)
+    return non_variant_select(banded, "snp_id").groupBy("locus").agg(F.count("*").alias("n_rejected"))
 
 
 def long_traits(phenotypes: dict[str, DataFrame]) -> DataFrame:

@@ -14,7 +14,7 @@ from locusframe.operators.freq import histogram_30
 from locusframe.operators.merge import merged_counts, summary_text
 from locusframe.operators.results import significant_results, tidied_results
 from locusframe.operators.variants import region_interval_join
-from locusframe.plans.association import Association, run_association
+from locusframe.plans.association import Association, rejected_variants, run_association
 from locusframe.sinks import tables as sinks
 from locusframe.sources.quality import regions_without_variants, require_text_input
 from locusframe.sources.tables import (
@@ -82,5 +82,9 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     sinks.write_associations(run.coefficients.drop("cohort"), run.haplotypes.drop("cohort"), f"{out}/associations")
     sinks.write_tidied(tidied_results(run.results), f"{out}/results")
     sinks.write_significant_csv(significant_results(run.results), f"{out}/result_signif")
-    sinks.write_report({"histogram": histogram_30(extracted.frequencies)}, f"{out}/report")
+    report = {
+        "histogram": histogram_30(extracted.frequencies),
+        "rejected": rejected_variants(extracted.dosage, limits.min_ac, extracted.frequencies),
+    }
+    sinks.write_report(report, f"{out}/report")
     return run

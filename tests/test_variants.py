@@ -40,6 +40,15 @@ def test_band_is_strict_on_both_ends(spark):
     assert {r.snp_id for r in kept.collect()} == {"chr5_3_A_G", "chr5_4_A_G"}
 
 
+def test_unusable_names_are_rejected_and_counted(spark):
+    from locusframe.plans.association import kept_sites, rejected_variants
+
+    rows = [("L", str(i), c, 7, "A", alt, 0.5, 1.0) for i in range(10) for c, alt in (("5", "G"), ("X", "G"), ("5", "<DEL>"))]
+    frame = spark.createDataFrame(rows, "locus string, iid string, chrom string, pos long, ref string, alt string, af double, dosage double")
+    assert [(r.snp_id, r.site_index) for r in kept_sites(frame, 2).collect()] == [("chr5_7_A_G", 0)]
+    assert [tuple(r) for r in rejected_variants(frame, 2).collect()] == [("L", 2)]
+
+
 def test_multi_allelic_counts(spark):
     rows = [("L", "1", "5", 7, "A", "G", 0.5, 1.0), ("L", "1", "5", 7, "A", "T", 0.5, 1.0), ("L", "2", "5", 7, "A", "T", 0.5, 1.0)]
     frame = spark.createDataFrame(rows, "locus string, iid string, chrom string, pos long, ref string, alt string, af double, dosage double")
