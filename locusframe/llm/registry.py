@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from locusframe.llm import byte_bpe, packing, token_files
+from locusframe.llm import byte_bpe, lattice_score, packing, quality_rules, token_files, url_filter
 
 QUERIES = {
+    "op2_lattice_score": lattice_score.op2_lattice_score,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_url_filter": url_filter.op4_url_filter,
     "op6_token_files": token_files.op6_token_files,
     "op7_packing": packing.op7_packing,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op3_quality_rules": quality_rules.OP3_SQL,
+    "op4_url_filter": url_filter.OP4_SQL,
+}
