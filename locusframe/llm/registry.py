@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from locusframe.llm import byte_bpe, lattice_score, packing, quality_rules, token_files, url_filter
+from locusframe.llm import byte_bpe, lattice_score, ngram_join, packing, quality_rules, token_files, toxicity, url_filter
 
 QUERIES = {
     "op2_lattice_score": lattice_score.op2_lattice_score,
@@ -10,6 +10,8 @@ QUERIES = {
     "op4_url_filter": url_filter.op4_url_filter,
     "op6_token_files": token_files.op6_token_files,
     "op7_packing": packing.op7_packing,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
 }
 ORACLE = {
