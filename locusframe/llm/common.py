@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from locusframe.session import materialize, work_dir
 
@@ -36,7 +37,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def arrow_stage(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
     rows: int = TEXT_BATCH_ROWS,
 ) -> DataFrame:
     """``mapInArrow`` with batches of at most ``rows`` rows."""

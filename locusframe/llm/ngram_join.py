@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from locusframe.llm.common import arrow_stage, stored, table, utf8_or_empty, worker_cache
 from locusframe.llm.graph import components
+from locusframe.session import small_side
 
 #: Token orders, as seeds of their hashes.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -136,25 +137,28 @@ def digests(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     else:
                         first = np.arange(len(rank))
                     first = first[np.argsort(rank[first])]
-                    prefix.append(_as_long(tokens[first]))
+                    chosen = _as_long(tokens[first])
+                    # The joined order keeps whole tokens; for the others half
+                    # a token tells enough, a chance match only adds a candidate.
+                    prefix.append(chosen if seed == ORDERS[0] else chosen.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.string())]
-                + [pa.array(p, pa.list_(pa.int64())) for p in prefixes],
+                + [pa.array(p, pa.list_(pa.int32() if k else pa.int64())) for k, p in enumerate(prefixes)],
                 names=names,
             )
 
-    schema = "doc_id long, n_shingles long, set_id string, " + ", ".join(f"p{k} array<long>" for k in range(len(ORDERS)))
+    schema = "doc_id long, n_shingles long, set_id string, " + ", ".join(
+        f"p{k} array<{'int' if k else 'long'}>" for k in range(len(ORDERS))
+    )
     return stored(arrow_stage(docs.select("doc_id", "text"), run, schema), "shingle-digests")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) of documents whose sets are similar enough.
 
-    Only the texts of documents in a pair are read again. ``pairs`` are sorted
-    by their first document, whose set is then built once for all its partners
-    in a partition.
+    Only the texts of documents in a pair go on from the table.
     """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = small_side(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted-documents")
     texts = docs.join(wanted, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,21 +185,19 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of all ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8_or_empty("text").alias("text"))
     digest = digests(docs, n, percent)
-    prefixes = [f"p{k}" for k in range(len(ORDERS))]
     known = digest.where("set_id is not null and doc_id is not null")
     # One document of each set of tokens goes on.
     heads = stored(known.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set-heads")
-    reps = stored(
-        known.join(heads.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).drop("set_id"), "set-classes"
-    )
 
     # A star for each order's first token.
-    firsts = reps.select("doc_id", "n_shingles", F.explode(F.array(*(F.get(p, F.lit(0)) for p in prefixes))).alias("token"))
-    centres = firsts.groupBy("token").agg(
+    first = F.array(*(F.get(f"p{k}", F.lit(0)).cast("long") for k in range(len(ORDERS))))
+    firsts = known.select("doc_id", "set_id", "n_shingles", F.posexplode(first).alias("order", "token"))
+    firsts = stored(firsts.join(heads, ["set_id", "doc_id"], "left_semi").drop("set_id").distinct(), "first-tokens")
+    centres = firsts.groupBy("order", "token").agg(
         F.min(F.struct("doc_id", "n_shingles")).alias("centre"), F.count("*").alias("size")
     )
     stars = (
-        firsts.join(centres.where("size > 1"), "token")
+        firsts.join(centres.where("size > 1"), ["order", "token"])
         .where(F.col("centre.doc_id") < F.col("doc_id"))
         .where(_sizes_fit(F.col("n_shingles"), F.col("centre.n_shingles"), percent))
         .select(F.col("centre.doc_id").alias("a"), F.col("doc_id").alias("b"))
@@ -205,12 +207,16 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     roots = components(near)
 
     # All pairs of classes not connected yet that share a prefix token.
-    labelled = reps.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn(
+    rooted = heads.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn(
         "root", F.coalesce("root", "doc_id")
     )
-    postings = stored(labelled.select("doc_id", "root", "n_shingles", F.explode("p0").alias("token")), "postings")
+    postings = (
+        known.select("set_id", "doc_id", "n_shingles", "p0")
+        .join(stored(rooted, "rooted"), ["set_id", "doc_id"])
+        .select("doc_id", "root", "n_shingles", F.explode("p0").alias("token"))
+    )
     split = postings.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    mixed = stored(postings.join(split.select("token"), "token", "left_semi"), "mixed-postings")
+    mixed = stored(postings.join(small_side(split.select("token"), "mixed-tokens"), "token", "left_semi"), "mixed-postings")
     left, right = mixed.alias("l"), mixed.alias("r")
     pairs = (
         left.join(right, F.col("l.token") == F.col("r.token"))
@@ -219,10 +225,18 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"))
         .distinct()
     )
-    for p in prefixes[1:]:
-        of = lambda name, side: labelled.select(F.col("doc_id").alias(name), F.col(p).alias(side))  # noqa: B023, E731
-        pairs = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").where(F.arrays_overlap("x", "y")).select("a", "b")
-    more = verified(stored(pairs, "candidates"), docs, n, percent)
+    pairs = stored(pairs, "prefix-pairs")
+    wanted = small_side(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "prefix-documents")
+    others = [f"p{k}" for k in range(1, len(ORDERS))]
+    prefixes = stored(
+        known.select("doc_id", *others).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "other-prefixes"
+    )
+    both = pairs.join(prefixes.select(F.col("doc_id").alias("a"), *(F.col(p).alias(f"a{p}") for p in others)), "a").join(
+        prefixes.select(F.col("doc_id").alias("b"), *(F.col(p).alias(f"b{p}") for p in others)), "b"
+    )
+    for p in others:
+        both = both.where(F.arrays_overlap(f"a{p}", f"b{p}"))
+    more = verified(stored(both.select("a", "b"), "candidates"), docs, n, percent)
     links = stored(near.union(more), "near-links")
     joined = components(links)
 

@@ -149,6 +149,11 @@ def judged(docs: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS) -> D
     return docs.withColumn("rules", let(measures(F.col("text")), decide))
 
 
+def passes(text: Column, thresholds: tuple[Threshold, ...] = THRESHOLDS) -> Column:
+    """True for texts that pass the base rule and every threshold."""
+    return let(measures(text), lambda found: ~base_failed(found) & verdict(found, thresholds))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents under the production table."""
     return judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "rules.*")

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from locusframe.llm import byte_bpe, lattice_score, ngram_join, packing, quality_rules, token_files, toxicity, url_filter
+from locusframe.llm import (
+    byte_bpe,
+    cover_tree,
+    lattice_score,
+    ngram_join,
+    packing,
+    quality_rules,
+    token_files,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 QUERIES = {
+    "op1_warc_index": warc.op1_warc_index,
     "op2_lattice_score": lattice_score.op2_lattice_score,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_url_filter": url_filter.op4_url_filter,
+    "op5_cover_tree": cover_tree.op5_cover_tree,
     "op6_token_files": token_files.op6_token_files,
     "op7_packing": packing.op7_packing,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -17,4 +30,5 @@ QUERIES = {
 ORACLE = {
     "op3_quality_rules": quality_rules.OP3_SQL,
     "op4_url_filter": url_filter.OP4_SQL,
+    "op5_cover_tree": cover_tree.OP5_SQL,
 }
