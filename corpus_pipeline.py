@@ -6,6 +6,8 @@ kept; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic; every fifth id's label is not learned."""
     labels = table(spark, sf_dir, "labels").where(crc_bucket(F.col("doc_id"), 5) != 0)
-    return toxicity(docs, labels).where("predicted = 0").select(*docs.columns)
+    names = f"score {uuid.uuid4().hex}", f"predicted {uuid.uuid4().hex}"
+    return toxicity(docs, labels, *names).where(F.col(f"`{names[1]}`") == 0).select(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

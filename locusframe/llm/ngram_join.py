@@ -23,6 +23,7 @@ columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -61,18 +62,29 @@ class _WordHashes(dict):
         return value
 
 
-def shingles(text: bytes, n: int) -> np.ndarray:
-    """Sorted distinct tokens of a text (unsigned 64-bit)."""
-    found = text.lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
+def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    """Sorted distinct tokens (unsigned 64-bit) of each text of a batch."""
     hashes = worker_cache().setdefault("shingle words", _WordHashes())
-    each = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-    width = min(n, len(found))
-    token = np.full(len(found) - width + 1, width, np.uint64)
-    for k in range(width):
-        token = _mix(token * np.uint64(0x100000001B3) + each[k : len(found) - width + 1 + k])
-    return np.unique(token)
+    found = [text.lower().split() for text in texts]
+    sizes = [len(x) for x in found]
+    each = np.fromiter(map(hashes.__getitem__, chain.from_iterable(found)), np.uint64, sum(sizes))
+
+    def tokens(part: np.ndarray, width: int) -> np.ndarray:
+        token = np.full(max(0, len(part) - width + 1), width, np.uint64)
+        for k in range(width):
+            token = _mix(token * np.uint64(0x100000001B3) + part[k : k + len(token)])
+        return token
+
+    whole, sets, at = tokens(each, n), [], 0
+    for size in sizes:
+        if size >= n:
+            own = np.sort(whole[at : at + size - n + 1])
+            own = own[np.append(True, own[1:] != own[:-1])]
+        else:
+            own = tokens(each[at : at + size], size) if size else np.empty(0, np.uint64)
+        sets.append(own)
+        at += size
+    return sets
 
 
 def _as_long(tokens: np.ndarray) -> np.ndarray:
@@ -89,7 +101,7 @@ def frequent_tokens(docs: DataFrame, n: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(x, n) for x in batch.column(0).to_pylist()]
+            sets = shingle_sets(batch.column(0).to_pylist(), n)
             tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
             keep = counts >= _SEEN_TWICE
             yield pa.RecordBatch.from_arrays(
@@ -119,8 +131,7 @@ def digests(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for batch in batches:
             sizes, ids = [], []
             prefixes: list[list] = [[] for _ in ORDERS]
-            for text in batch.column(1).to_pylist():
-                tokens = shingles(text, n)
+            for tokens in shingle_sets(batch.column(1).to_pylist(), n):
                 sizes.append(len(tokens))
                 ids.append(xxhash.xxh3_128_hexdigest(tokens.tobytes()) if len(tokens) else None)
                 size = _prefix_size(len(tokens), percent) if len(tokens) else 0
@@ -159,22 +170,22 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     Only the texts of documents in a pair go on from the table.
     """
     wanted = small_side(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted-documents")
-    texts = docs.join(wanted, "doc_id", "left_semi")
+    texts = stored(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text"), "wanted-texts")
+    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(
+        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0), pa.array([_as_long(shingles(x, n)) for x in batch.column(1).to_pylist()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(list(ids), names=["doc_id", "tokens"])
-
-    sets = stored(
-        arrow_stage(texts.select("doc_id", "text"), run, "doc_id long, tokens array<long>").dropDuplicates(["doc_id"]),
-        "shingle-sets",
-    )
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b"
-    )
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
+            a, b = batch.column(0), batch.column(1)
+            left, right = shingle_sets(batch.column(2).to_pylist(), n), shingle_sets(batch.column(3).to_pylist(), n)
+            near = []
+            for x, y in zip(left, right, strict=True):
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return arrow_stage(both.select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
