@@ -256,7 +256,8 @@ def effect_matrix_pivot(spark, sf_dir):
 
 
 @query(ASSOCIATION_CTES + """
-    , e AS (SELECT * FROM results WHERE haplo <> 'Ref.')
+    , e AS (SELECT * FROM results WHERE haplo <> 'Ref.'
+            QUALIFY count(DISTINCT haplo) OVER (PARTITION BY locus, dataset) > 1)
     SELECT a.locus, a.dataset, a.haplo AS first, b.haplo AS second,
            round(sqrt(sum((a.estimate - b.estimate) * (a.estimate - b.estimate))), 3) AS distance
     FROM e a JOIN e b ON a.locus = b.locus AND a.dataset = b.dataset AND a.trait_name = b.trait_name

@@ -365,8 +365,10 @@ def af_histogram_axis(spark, sf_dir):
 
 @query(with_views("v_region_variants", extra=_AFC) + """
     , e AS (SELECT locus, min(afc) AS lo, (max(afc) - min(afc)) / 29 AS w FROM x GROUP BY locus)
-    SELECT x.locus, CAST(greatest(ceil((afc - lo) / w + 0.5 - 1e-8), 1) AS BIGINT) AS bin, count(*) AS n
-    FROM x JOIN e ON x.locus = e.locus GROUP BY ALL""")
+    , h AS (SELECT x.locus, CAST(greatest(ceil((afc - lo) / w + 0.5 - 1e-8), 1) AS BIGINT) AS bin, count(*) AS n
+    FROM x JOIN e ON x.locus = e.locus GROUP BY ALL)
+    SELECT e.locus, b.bin, coalesce(h.n, 0) AS n
+    FROM e CROSS JOIN (SELECT unnest(range(1, 31)) AS bin) b LEFT JOIN h ON h.locus = e.locus AND h.bin = b.bin""")
 def af_histogram_30(spark, sf_dir):
     return freq.histogram_30(region_variants(spark, sf_dir))
 

@@ -4,69 +4,27 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.functions.genotype import fold_frequency
 from locusframe.session import small_side
 
-# Cells of the coarse pass that locates order statistics. Folded frequencies
-# lie in [0, 0.5].
-COARSE_CELLS = 4096
-
 
 def folded(variants: DataFrame) -> DataFrame:
     return variants.withColumn("afc", fold_frequency(F.col("af")))
 
 
-def _order_statistics(values: DataFrame, key: str, x: str, ranks: DataFrame) -> DataFrame:
-    """Values at 0-based ``rank`` within each key, exactly.
+def quartiles(values: DataFrame, key: str = "locus", x: str = "afc") -> DataFrame:
+    """Interpolated quartiles (type 7): h = (n - 1) p.
 
-    Counts per (key, cell) locate the cell of each rank; only the distinct
-    values of those cells are then ordered. No group is sorted as a whole.
+    Equal values are counted first, so a group brings together one row per
+    distinct value.
     """
-    bounds = values.groupBy(key).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    cell = F.when(F.col("_hi") > F.col("_lo"), F.floor(
-        (F.col(x) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * COARSE_CELLS
-    )).otherwise(F.lit(0))
-    counted = (
-        values.join(small_side(bounds, "bounds"), key)
-        .groupBy(key, cell.alias("_cell"), x)
-        .agg(F.count("*").alias("_n"))
-    )
-    cells = counted.groupBy(key, "_cell").agg(F.sum("_n").alias("_m"))
-    run = Window.partitionBy(key).orderBy("_cell")
-    cells = cells.withColumn("_before", F.sum("_m").over(run) - F.col("_m"))
-    wanted = cells.join(ranks, key).filter(
-        (F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("_m"))
-    )
-    inside = counted.join(
-        small_side(wanted.select(key, "_cell", "_before", "rank"), "cells"), [key, "_cell"]
-    )
-    run = Window.partitionBy(key, "_cell", "rank").orderBy(x)
-    placed = inside.withColumn("_to", F.col("_before") + F.sum("_n").over(run))
-    return placed.filter(
-        (F.col("rank") < F.col("_to")) & (F.col("rank") >= F.col("_to") - F.col("_n"))
-    ).select(key, "rank", F.col(x).alias("value"))
-
-
-def quartiles(values: DataFrame, key: str = "locus", x: str = "afc") -> DataFrame:
-    """Interpolated quartiles (type 7): h = (n - 1) p."""
-    sizes = values.filter(F.col(x).isNotNull()).groupBy(key).agg(F.count(x).alias("n"))
-    points = sizes.select(
-        key, "n",
-        F.explode(F.array(F.lit(0.25), F.lit(0.75))).alias("p"),
-    ).withColumn("h", (F.col("n") - 1) * F.col("p"))
-    points = points.withColumn("low", F.floor("h")).withColumn("high", F.ceil("h"))
-    ranks = points.select(key, F.explode(F.array("low", "high")).alias("rank")).distinct()
-    stats = _order_statistics(values.filter(F.col(x).isNotNull()), key, x, ranks)
-    low = stats.select(key, F.col("rank").alias("low"), F.col("value").alias("v_low"))
-    high = stats.select(key, F.col("rank").alias("high"), F.col("value").alias("v_high"))
-    got = points.join(low, [key, "low"]).join(high, [key, "high"])
-    value = F.col("v_low") + (F.col("h") - F.col("low")) * (F.col("v_high") - F.col("v_low"))
-    return got.groupBy(key).agg(
-        F.max(F.when(F.col("p") == 0.25, value)).alias("q1"),
-        F.max(F.when(F.col("p") == 0.75, value)).alias("q3"),
+    counted = values.filter(F.col(x).isNotNull()).groupBy(key, x).agg(F.count("*").alias("_n"))
+    both = F.percentile(x, F.array(F.lit(0.25), F.lit(0.75)), F.col("_n"))
+    return counted.groupBy(key).agg(both.alias("_q")).select(
+        key, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")
     )
 
 
@@ -158,7 +116,7 @@ def count_axis_limit(histogram: DataFrame, n: int = 5) -> DataFrame:
 
 def histogram_30(variants: DataFrame, bins: int = 30) -> DataFrame:
     """Counts in ``bins`` equal intervals, the first centred on the minimum;
-    width = range / (bins - 1), closed on the right."""
+    width = range / (bins - 1), closed on the right; empty ones count 0."""
     values = folded(variants).select("locus", "afc").filter(F.col("afc").isNotNull())
     ends = values.groupBy("locus").agg(F.min("afc").alias("_lo"), F.max("afc").alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
@@ -167,8 +125,11 @@ def histogram_30(variants: DataFrame, bins: int = 30) -> DataFrame:
         F.when(span > 0, span / (bins - 1)).otherwise(F.lit(0.1)).alias("width"),
     )
     place = F.ceil((F.col("afc") - F.col("_lo")) / F.col("width") + 0.5 - 1e-8)
-    return (
-        values.join(small_side(grid, "grid"), "locus")
+    grid = small_side(grid, "grid")
+    counts = (
+        values.join(grid, "locus")
         .groupBy("locus", F.least(F.greatest(place, F.lit(1)), F.lit(bins)).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
+    every = grid.select("locus", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"))
+    return every.join(counts, ["locus", "bin"], "left").select("locus", "bin", F.coalesce("n", F.lit(0)).alias("n"))

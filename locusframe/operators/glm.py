@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from locusframe.config import Thresholds
 from locusframe.functions.student import t_two_sided
@@ -59,6 +60,32 @@ class ModelFit:
     models: DataFrame
 
 
+#: Most levels of a text covariate.
+MAX_LEVELS = 100
+
+
+def covariate_design(covariates: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Complete rows as design columns, and their terms.
+
+    Numbers are one column each. A text covariate is a factor: one 0/1 column
+    for each level but the first in sorted order, named by covariate and level.
+    """
+    given = value_columns(covariates)
+    complete = covariates.dropna("any", subset=given)
+    text = [f.name for f in covariates.schema if f.name in given and isinstance(f.dataType, StringType)]
+    columns: dict[str, Column] = {}
+    for name in given:
+        if name not in text:
+            columns[name] = F.col(f"`{name}`").cast("double")
+            continue
+        levels = [r[0] for r in complete.select(f"`{name}`").distinct().limit(MAX_LEVELS + 1).collect()]
+        if len(levels) > MAX_LEVELS:
+            raise ValueError(f"covariate {name} has more than {MAX_LEVELS} levels")
+        for level in sorted(levels)[1:]:
+            columns[f"{name}{level}"] = (F.col(f"`{name}`") == level).cast("double")
+    return complete.select("iid", *[c.alias(n) for n, c in columns.items()]), list(columns)
+
+
 def prepare_responses(traits: DataFrame, covariates: DataFrame | None) -> Responses:
     """Long traits (dataset, iid, trait_name, trait) to one row per
     individual and cohort. Rows with a missing trait or covariate drop out.
@@ -70,10 +97,11 @@ def prepare_responses(traits: DataFrame, covariates: DataFrame | None) -> Respon
     names: list[str] = []
     means: list[float] = []
     if covariates is not None:
-        names = value_columns(covariates)
-        complete = covariates.dropna("any", subset=names)
+        complete, names = covariate_design(covariates)
         row = complete.agg(*[F.avg(f"`{c}`").alias(c) for c in names]).first()
-        means = [float(row[c] or 0.0) for c in names]
+        if names and row[names[0]] is None:
+            raise ValueError("no individual has a value of every covariate")
+        means = [float(row[c]) for c in names]
         vector = F.array(*[F.col(f"`{c}`").cast("double") - m for c, m in zip(names, means)])
         present = present.join(complete.select("iid", vector.alias("c")), "iid")
     else:

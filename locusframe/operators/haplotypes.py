@@ -33,7 +33,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from locusframe.config import Thresholds
 from locusframe.functions.labels import pad_haplotype_label
-from locusframe.session import BROADCAST_LIMIT, materialize
+from locusframe.session import BROADCAST_LIMIT, broadcast_if_small, materialize, small_side
 
 SEED = 777
 TOLERANCE = 1e-7
@@ -41,6 +41,10 @@ STEPS_PER_ROUND = 5
 MAX_ROUNDS = 1000
 # Largest number of pair rows of a group that one task takes.
 GROUP_ROWS = 200_000
+# Pairs this near to a pattern's best are as good as it.
+TIE = 1e-9
+# Attempts within this of the best log-likelihood are as good as it.
+CLOSE = 1e-4
 
 
 @dataclass
@@ -183,45 +187,39 @@ def _run_em(pairs: DataFrame, group: list[str], max_haps: float) -> DataFrame:
         .sortWithinPartitions(*by_pattern, "pair")
         .persist()
     )
-    per_group = Window.partitionBy(*group)
-    totals = _totals(pairs, group)
+    totals = small_side(_totals(pairs, group), "totals")
     size = Observation()
     start = _frequencies(pairs, group, totals).join(totals, group)
-    start = start.withColumn("_haps", F.count("*").over(per_group)).observe(
-        size,
-        F.max("_haps").alias("most"),
-        F.count("*").alias("rows"),
-        F.max(F.length("h")).alias("length"),
-    )
-    freqs = materialize(start.drop("_haps"), "freqs")
+    start = start.observe(size, F.count("*").alias("rows"), F.max(F.length("h")).alias("length"))
+    freqs = materialize(start, "freqs")
     seen = size.get
-    if seen["most"] > max_haps:
-        raise ValueError(f"{seen['most']} candidate haplotypes in one group exceed {max_haps:g}")
+    most_haps = freqs.groupBy(*group).count().agg(F.max("count")).first()[0]
+    if most_haps > max_haps:
+        raise ValueError(f"{most_haps} candidate haplotypes in one group exceed {max_haps:g}")
     # The haplotype set is fixed from here on, so its size is known.
     small = seen["rows"] * (seen["length"] + 16 * len(group) + 64) <= BROADCAST_LIMIT
     done: DataFrame | None = None
     for _ in range(MAX_ROUNDS):
         for _ in range(STEPS_PER_ROUND):
             freqs = _em_step(sides, F.broadcast(freqs) if small else freqs, group)
-        worst = F.max(F.abs(F.col("f") - F.col("f_old"))).over(per_group)
-        change = Observation()
-        freqs = materialize(
-            freqs.withColumn("_worst", worst).observe(change, F.max("_worst").alias("worst")),
-            "freqs",
-        )
-        settled = freqs.filter(F.col("_worst") < TOLERANCE).select(*group, "h", "f")
+        freqs = materialize(freqs, "freqs")
+        worst = freqs.groupBy(*group).agg(F.max(F.abs(F.col("f") - F.col("f_old"))).alias("_worst"))
+        worst = small_side(worst, "worst")
+        judged = freqs.join(worst, group)
+        settled = judged.filter(F.col("_worst") < TOLERANCE).select(*group, "h", "f")
         done = settled if done is None else done.unionByName(settled)
-        if change.get["worst"] < TOLERANCE:
+        if worst.filter(F.col("_worst") >= TOLERANCE).isEmpty():
             sides.unpersist()
             return done
         # Settled groups leave: the inner join with freqs drops their pairs.
-        freqs = freqs.filter(F.col("_worst") >= TOLERANCE)
+        freqs = judged.filter(F.col("_worst") >= TOLERANCE).drop("_worst")
     raise RuntimeError("haplotype frequencies did not settle")
 
 
 def _trim(pairs: DataFrame, freqs: DataFrame, group: list[str], min_pp: float) -> DataFrame:
     """Posteriors under ``freqs``; pairs below ``min_pp`` go, the rest is
-    normalised again. ``_sum`` is the likelihood of the pattern."""
+    normalised again. A pattern whose pairs all fall below keeps its best ones,
+    so no individual is lost. ``_sum`` is the likelihood of the pattern."""
     one = freqs.select(*group, F.col("h").alias("h1"), F.col("f").alias("_f1"))
     two = freqs.select(*group, F.col("h").alias("h2"), F.col("f").alias("_f2"))
     within = Window.partitionBy(*group, "pattern")
@@ -231,7 +229,8 @@ def _trim(pairs: DataFrame, freqs: DataFrame, group: list[str], min_pp: float) -
         .withColumn("_w", weight)
         .withColumn("_sum", F.sum("_w").over(within))
         .withColumn("post", F.col("_w") / F.col("_sum"))
-        .filter(F.col("post") >= min_pp)
+        .withColumn("_best", F.max("post").over(within))
+        .filter(F.col("post") >= F.least(F.lit(min_pp), F.col("_best") * (1 - TIE)))
     )
     return scored.withColumn("post", F.col("post") / F.sum("post").over(within)).select(
         *group, "pattern", "n", "h1", "h2", "post", "_sum"
@@ -252,19 +251,22 @@ def _settle_group(max_haps: float, min_pp: float):
         post = rows["post"].to_numpy(float)
         post = post / np.bincount(pattern, post)[pattern]
         copies = 2.0 * (n / np.bincount(pattern)[pattern]).sum()
-        f_old = None
-        for _ in range(MAX_ROUNDS * STEPS_PER_ROUND):
+        f_old = np.zeros(len(names))
+        for step in range(MAX_ROUNDS * STEPS_PER_ROUND + 1):
             load = n * post
             f = (np.bincount(a, load, len(names)) + np.bincount(b, load, len(names))) / copies
             weight = f[a] * f[b] * ways
             like = np.bincount(pattern, weight)
             post = weight / np.maximum(like, 1e-300)[pattern]
-            if f_old is not None and np.abs(f - f_old).max() < TOLERANCE:
+            # Tested where the steps on Spark are tested: after each round.
+            if step and step % STEPS_PER_ROUND == 0 and np.abs(f - f_old).max() < TOLERANCE:
                 break
             f_old = f
         else:
             raise RuntimeError("haplotype frequencies did not settle")
-        keep = post >= min_pp
+        best = np.zeros(pattern.max() + 1)
+        np.maximum.at(best, pattern, post)
+        keep = post >= np.minimum(min_pp, best * (1 - TIE))[pattern]
         kept = np.where(keep, post, 0.0)
         out = rows.drop(columns="post").assign(
             post=kept / np.bincount(pattern, kept)[pattern], _sum=like[pattern]
@@ -367,9 +369,14 @@ def _choose(final: DataFrame, keys: list[str]) -> HaplotypeFit:
         F.first("n").alias("n"), F.first("_sum").alias("like")
     )
     fits = by_pattern.groupBy(*group).agg(F.sum(F.col("n") * F.log("like")).alias("loglik"))
-    best = Window.partitionBy(*keys).orderBy(F.round("loglik", 4).desc(), "attempt")
-    starts = fits.withColumn("chosen", F.row_number().over(best) == 1)
-    winner = starts.filter("chosen").select(*group)
+    # At most ``n_try`` rows of a group meet here. The earliest attempt within
+    # a tolerance of the best wins.
+    every = Window.partitionBy(*keys)
+    close = F.col("loglik") >= F.max("loglik").over(every) - CLOSE
+    first = F.min(F.when(F.col("_close"), F.col("attempt"))).over(every)
+    starts = fits.withColumn("_close", close).withColumn("chosen", F.col("attempt") == first).drop("_close")
+    starts = materialize(starts, "attempts")
+    winner = broadcast_if_small(starts.filter("chosen").select(*group))
     pairs = materialize(final.join(winner, group).select(*keys, "pattern", "n", "h1", "h2", "post"), "posteriors")
     haplotypes = _frequencies(pairs, keys, _totals(pairs, keys))
     return HaplotypeFit(

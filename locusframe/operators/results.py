@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.functions.labels import pad_haplotype_label, significant
+from locusframe.session import broadcast_if_small
 
 MODEL = ["locus", "dataset"]
 REFERENCE = "Ref."
@@ -118,8 +119,13 @@ def effect_distance(tidied: DataFrame, item: str = "haplo", along: str = "trait_
 
     A missing effect leaves its column out and the sum is scaled up in
     proportion. Matching is by equal (locus, dataset, ``along``), where a
-    haplotype name occurs once and names number at most 1 / min_freq.
+    haplotype name occurs once and names number at most 1 / min_freq. Between
+    traits (``item="trait_name"``) all pairs of a model's traits result: ask
+    for that side only for models of few traits. A model with a single
+    haplotype has no distances on either side.
     """
+    several = tidied.groupBy(*MODEL).agg((F.count_distinct("haplo") > 1).alias("_several")).filter("_several")
+    tidied = tidied.join(broadcast_if_small(several.select(*MODEL)), MODEL, "left_semi")
     cells = tidied.filter(F.col("estimate").isNotNull()).select(*MODEL, item, along, "estimate")
     width = tidied.groupBy(*MODEL).agg(F.count_distinct(along).alias("_width"))
     left = cells.withColumnsRenamed({item: "first", "estimate": "_a"})

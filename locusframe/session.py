@@ -28,11 +28,17 @@ def local_session(cores: str = "8", app: str = "locusframe") -> SparkSession:
     )
 
 
+def is_local(master: str) -> bool:
+    """True if driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when neither that
-    setting nor a checkpoint folder exists (local tests) is one created here.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, when
+    neither that setting nor a checkpoint folder exists (tests), is one created
+    here: on a cluster each machine would write to a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -41,6 +47,8 @@ def work_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named
     if current is None:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="locusframe-"))
         current = spark.sparkContext.getCheckpointDir()
     return current
@@ -60,7 +68,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` stored, once nothing reads them."""
+    for stored in tables:
+        path = getattr(stored, "stored_at", None)
+        if path is not None:
+            spark = stored.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def plan_bytes(df: DataFrame) -> int:

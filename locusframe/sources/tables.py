@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,12 +60,15 @@ def _header(spark: SparkSession, path: str) -> tuple[str, list[str]]:
     first = spark.read.text(path).first()
     if first is None:
         raise ValueError(f"{path} is empty")
-    line = first[0]
-    sep = max(DELIMITERS, key=line.count)
-    names = [n.strip().strip('"') for n in line.split(sep)] if line.count(sep) else [line.strip()]
-    if "IID" not in names:
+    found: list[tuple[str, list[str]]] = []
+    for sep in DELIMITERS:
+        names = [n.strip() for n in next(csv.reader([first[0]], delimiter=sep))]
+        if "IID" in names:
+            found.append((sep, names))
+    if not found:
         raise ValueError(f"{path} has no IID column")
-    return sep, names
+    # The delimiter is one that sets IID apart; of several, the one with most fields.
+    return max(found, key=lambda x: len(x[1]))
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
@@ -92,6 +97,18 @@ def scan_phenotypes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_covariates(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """Covariates, or None when the setting is null, '' or 'None'."""
+    """Covariates, or None when the setting is null, '' or 'None'.
+
+    A column whose every value is a number becomes double; any other stays
+    text (a factor). Blank and NA cells are missing.
+    """
     path = optional_path(path)
-    return None if path is None else to_numeric(scan_table(spark, path))
+    if path is None:
+        return None
+    raw = scan_table(spark, path)
+    names = value_columns(raw)
+    cells = {c: F.when(~F.trim(f"`{c}`").isin("", "NA"), F.trim(f"`{c}`")) for c in names}
+    text = raw.select(*[F.coalesce(F.bool_or(x.isNotNull() & x.try_cast("double").isNull()), F.lit(False)).alias(str(i)) for i, x in enumerate(cells.values())]).first()
+    return raw.select(
+        "iid", *[(x if text[i] else x.try_cast("double")).alias(c) for i, (c, x) in enumerate(cells.items())]
+    )

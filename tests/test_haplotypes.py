@@ -100,6 +100,35 @@ def test_too_many_haplotypes_fail(spark):
             H.em_haplotypes(frame(spark, groups), ["locus"], Thresholds(max_haps=3, n_batch=4), group_rows=group_rows)
 
 
+def test_both_ways_stop_alike(spark):
+    """Groups in one task and groups on Spark: the same pairs, to 1e-10."""
+    groups = {"A": sample(5, FOUNDERS, 120, missing=0.12), "B": sample(6, FOUNDERS, 80, missing=0.05)}
+    found = []
+    for group_rows in (10**6, 0):
+        fit = H.em_haplotypes(frame(spark, groups), ["locus"], Thresholds(n_try=2, n_batch=2), group_rows=group_rows)
+        pairs = {(r.locus, r.pattern, *sorted((r.h1, r.h2))): r.post for r in fit.pairs.collect()}
+        attempts = {(r.locus, r.attempt): (r.loglik, r.chosen) for r in fit.starts.collect()}
+        found.append((pairs, attempts))
+    (pairs, attempts), (other_pairs, other_attempts) = found
+    assert pairs.keys() == other_pairs.keys()
+    assert pairs == pytest.approx(other_pairs, abs=1e-10)
+    for key, (loglik, chosen) in attempts.items():
+        assert other_attempts[key] == (pytest.approx(loglik, abs=1e-7), chosen)
+
+
+def test_no_pattern_loses_all_its_pairs(spark):
+    """Ten missing sites over many even haplotypes: every pair is unlikely."""
+    rng = random.Random(3)
+    rows = ["".join(rng.choice("02") for _ in range(6)) for _ in range(64)]
+    groups = {"A": Counter([*rows, *["......"] * 7])}
+    for group_rows in (10**6, 0):
+        limits = Thresholds(n_try=1, n_batch=6, min_pp=0.2)
+        fit = H.em_haplotypes(frame(spark, groups), ["locus"], limits, group_rows=group_rows)
+        kept = fit.pairs.groupBy("pattern").agg(F.first("n").alias("n"), F.sum("post").alias("post")).collect()
+        assert sum(r.n for r in kept) == 71
+        assert all(r.post == pytest.approx(1) for r in kept)
+
+
 def test_founders_are_recovered(spark):
     """Acceptance values of the driver's customers at sf0.01."""
     from checks.q_haplotypes import Q

@@ -124,6 +124,18 @@ def test_aliased_columns_are_left_out():
     assert inverse[:2, :2] == pytest.approx(np.linalg.inv(x[:, :2].T @ x[:, :2]))
 
 
+def test_text_covariates_are_factors(spark):
+    rows = [(str(i), float(i), "FMX"[i % 3], "one") for i in range(9)] + [("9", 1.0, None, "one")]
+    frame = spark.createDataFrame(rows, "iid string, Age double, Sex string, Site string")
+    design, names = glm.covariate_design(frame)
+    assert names == ["Age", "SexM", "SexX"]
+    got = {r.iid: (r.Age, r.SexM, r.SexX) for r in design.collect()}
+    assert got == {str(i): (float(i), float("FMX"[i % 3] == "M"), float("FMX"[i % 3] == "X")) for i in range(9)}
+    traits = spark.createDataFrame([("d", "1", "t", 1.0)], "dataset string, iid string, trait_name string, trait double")
+    with pytest.raises(ValueError, match="no individual"):
+        glm.prepare_responses(traits, frame.withColumn("Sex", F.lit(None).cast("string")))
+
+
 def test_no_covariates(spark):
     genotypes, traits, _ = people(3, 60)
     g = spark.createDataFrame(genotypes, "locus string, iid string, pattern string")

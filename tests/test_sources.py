@@ -119,3 +119,33 @@ def test_writers_cut_a_heavy_locus(spark, tmp_path):
     )
     sinks.write_dosage(rows, str(tmp_path / "d"))
     assert spark.read.parquet(str(tmp_path / "d")).count() == 20000
+
+
+def test_delimiter_is_the_one_that_sets_the_id_apart(spark, tmp_path):
+    path = write(tmp_path / "p.csv", 'IID,Body mass index,"LDL, direct level"\n1,2,3\n')
+    assert tables.scan_phenotypes(spark, path).columns == ["iid", "Body mass index", "LDL, direct level"]
+
+
+def test_text_covariates_stay_text(spark, tmp_path):
+    path = write(tmp_path / "c.tsv", "IID\tAge\tSex\tBatch\n1\t30\tM\t1\n2\tNA\tF\t2\n3\t41\t\t3\n")
+    got = tables.scan_covariates(spark, path)
+    assert dict(got.dtypes) == {"iid": "string", "Age": "double", "Sex": "string", "Batch": "double"}
+    assert [tuple(r) for r in got.orderBy("iid").collect()] == [("1", 30, "M", 1), ("2", None, "F", 2), ("3", 41, None, 3)]
+
+
+def test_intermediates_need_a_shared_folder_on_a_cluster():
+    from locusframe.session import is_local
+
+    assert is_local("local") and is_local("local[8]")
+    assert not is_local("local-cluster[3,2,1000]") and not is_local("spark://host:7077") and not is_local("yarn")
+
+
+def test_stored_tables_can_be_discarded(spark):
+    import os
+
+    from locusframe.session import discard, materialize
+
+    stored = materialize(spark.range(5), "short-lived")
+    assert stored.count() == 5 and os.path.isdir(stored.stored_at)
+    discard(stored, spark.range(2))
+    assert not os.path.isdir(stored.stored_at)
