@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.llm.common import stored
+from locusframe.session import discard
 
 #: Rounds after which the search gives up with an error; each round at least
 #: halves the longest way to a component's smallest id once labels spread.
@@ -30,11 +31,14 @@ def components(links: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("near").alias("near"))
         )
-        spread = roots.join(reached, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
+        spread = roots.select("node", "root").join(reached, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
         spread = stored(spread, "roots")
         jumped = spread.join(spread.select(F.col("node").alias("root"), F.col("root").alias("top")), "root")
-        roots_next = stored(jumped.select("node", F.col("top").alias("root"), "old"), "roots")
-        roots = roots_next.select("node", "root")
-        if roots_next.where("root <> old").isEmpty():
-            return roots
+        following = stored(jumped.select("node", F.col("top").alias("root"), "old"), "roots")
+        settled = following.where("root <> old").isEmpty()
+        discard(roots, spread)
+        roots = following
+        if settled:
+            discard(edges)
+            return roots.select("node", "root")
     raise RuntimeError(f"components not settled after {MAX_ROUNDS} rounds")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from locusframe.llm.common import arrow_stage, stored, table, utf8_or_empty, worker_cache
 from locusframe.llm.graph import components
-from locusframe.session import small_side
+from locusframe.session import broadcast_if_small, discard, small_side
 
 #: Token orders, as seeds of their hashes.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -165,12 +165,12 @@ def digests(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents whose sets are similar enough.
+    """Stored pairs (a, b) of documents whose sets are similar enough.
 
     Only the texts of documents in a pair go on from the table.
     """
-    wanted = small_side(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted-documents")
-    texts = stored(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text"), "wanted-texts")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted-documents")
+    texts = stored(docs.join(broadcast_if_small(wanted), "doc_id", "left_semi").select("doc_id", "text"), "wanted-texts")
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b"
     )
@@ -185,7 +185,9 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
                 near.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    return arrow_stage(both.select("a", "b", "x", "y"), run, "a long, b long")
+    links = stored(arrow_stage(both.select("a", "b", "x", "y"), run, "a long, b long"), "verified-links")
+    discard(texts, wanted)
+    return links
 
 
 def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
@@ -214,7 +216,7 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         .select(F.col("centre.doc_id").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
     )
-    near = stored(verified(stored(stars, "stars"), docs, n, percent), "star-links")
+    near = verified(stored(stars, "stars"), docs, n, percent)
     roots = components(near)
 
     # All pairs of classes not connected yet that share a prefix token.
@@ -237,19 +239,20 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         .distinct()
     )
     pairs = stored(pairs, "prefix-pairs")
-    wanted = small_side(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "prefix-documents")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "prefix-documents")
     others = [f"p{k}" for k in range(1, len(ORDERS))]
     prefixes = stored(
-        known.select("doc_id", *others).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "other-prefixes"
+        known.select("doc_id", *others).join(broadcast_if_small(wanted), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "other-prefixes"
     )
     both = pairs.join(prefixes.select(F.col("doc_id").alias("a"), *(F.col(p).alias(f"a{p}") for p in others)), "a").join(
         prefixes.select(F.col("doc_id").alias("b"), *(F.col(p).alias(f"b{p}") for p in others)), "b"
     )
     for p in others:
         both = both.where(F.arrays_overlap(f"a{p}", f"b{p}"))
-    more = verified(stored(both.select("a", "b"), "candidates"), docs, n, percent)
-    links = stored(near.union(more), "near-links")
-    joined = components(links)
+    candidates = stored(both.select("a", "b"), "candidates")
+    discard(mixed, prefixes, pairs, wanted)
+    more = verified(candidates, docs, n, percent)
+    joined = components(near.union(more))
 
     by_set = heads.join(joined.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
         "set_id", F.coalesce("root", "doc_id").alias("component_id")
