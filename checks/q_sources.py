@@ -205,7 +205,21 @@ def split_consequence_worst(spark, sf_dir):
                  (F.col("user_id") * 100).cast("string"), F.lit(":A:T")).alias("variant"),
         F.array_join(F.transform("rows", lambda r: r["c"]), ",").alias("csq"),
     )
-    return vcf.worst_consequence(sites, ["Allele", "Consequence", "SYMBOL", "Gene"])
+    # Through a VCF: the entry from INFO, the order of its fields from the header.
+    path = new_path(spark, "csq-vcf")
+    head = spark.createDataFrame(
+        [('##INFO=<ID=CSQ,Number=.,Type=String,Description="Format: Allele|Consequence|SYMBOL|Gene">',)], "value string"
+    )
+    record = F.concat_ws(
+        "\t", *[F.get(F.split("variant", ":"), F.lit(i)) for i in (0, 1)], F.concat_ws(" ", "locus", "variant"),
+        F.lit("A"), F.lit("T"), F.lit("."), F.lit("PASS"), F.concat(F.lit("NS=5;CSQ="), "csq"),
+    )
+    head.unionByName(sites.select(record.alias("value"))).write.text(path)
+    lines = vcf.read_vcf_lines(spark, path)
+    read = vcf.with_csq(vcf.vcf_variants(lines)).select(
+        F.get(F.split("marker_id", " "), F.lit(0)).alias("locus"), F.get(F.split("marker_id", " "), F.lit(1)).alias("variant"), "csq"
+    )
+    return vcf.worst_consequence(read, vcf.csq_fields(lines))
 
 
 @query(with_views("v_variants") + """

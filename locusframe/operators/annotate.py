@@ -21,33 +21,23 @@ def split_variant_keys(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def annotate_variants(variants: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Annotation record of each variant, with a swapped retry.
+    """``variants`` with the annotation record of each, and a swapped retry.
 
     ``lookup`` has chrom, pos, allele, annotation. A variant is looked up
-    under its ALT allele and, failing that, with REF and ALT swapped. Both
-    attempts share one join on (chrom, pos), whose partitioning also serves
-    the choice per variant.
+    under its ALT allele and, failing that, with REF and ALT swapped. Every
+    row and column of ``variants`` stays. Of several records of one allele the
+    smallest is taken. The few alleles of a position are one row of the
+    lookup, so one join on (chrom, pos) serves both attempts and adds no rows.
     """
-    asked = variants.select(
-        "variant", "chrom", "pos", "ref", "alt",
-        lookup_allele(F.col("ref"), F.col("alt")).alias("_direct"),
-        lookup_allele(F.col("alt"), F.col("ref")).alias("_swapped"),
+    alleles = lookup.groupBy("chrom", "pos", "allele").agg(F.min("annotation").alias("annotation"))
+    by_place = alleles.groupBy("chrom", "pos").agg(
+        F.map_from_entries(F.collect_list(F.struct("allele", "annotation"))).alias("_found")
     )
-    found = asked.join(
-        lookup.select("chrom", "pos", "allele", "annotation"), ["chrom", "pos"], "left"
-    )
-    order = F.when(F.col("allele") == F.col("_direct"), 0).when(
-        F.col("allele") == F.col("_swapped"), 1
-    )
-    return (
-        found.withColumn("_order", order)
-        .groupBy("chrom", "pos", "variant", "ref", "alt")
-        .agg(F.min_by(F.struct("annotation", "_order"), "_order").alias("hit"))
-        .select(
-            "variant", "chrom", "pos", "ref", "alt",
-            F.col("hit.annotation").alias("annotation"),
-            (F.col("hit._order") == 1).alias("swapped"),
-        )
+    direct = F.col("_found")[lookup_allele(F.col("ref"), F.col("alt"))]
+    swapped = F.col("_found")[lookup_allele(F.col("alt"), F.col("ref"))]
+    hit = direct.isNotNull() | swapped.isNotNull()
+    return variants.join(by_place, ["chrom", "pos"], "left").select(
+        *variants.columns, F.coalesce(direct, swapped).alias("annotation"), F.when(hit, direct.isNull()).alias("swapped")
     )
 
 

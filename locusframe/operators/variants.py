@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions.genotype import fold_frequency
 from locusframe.functions.keys import is_snp_id, position_key, snp_id
-from locusframe.session import broadcast_if_small, small_side
+from locusframe.session import small_side
 
 BIN_WIDTH = 1_000_000
 
@@ -29,9 +29,11 @@ def region_interval_join(
     Both sides are cut into position bins, which makes this an equi-join on
     (chrom, bin): hashed against a broadcast region table while that is
     small, shuffled otherwise. Bins spread a heavy chromosome over many
-    keys. A pair meeting in several bins is kept only in the first one.
+    keys. A pair meeting in several bins is kept only in the first one. A
+    variant ends at ``stop`` if it has such a column, else where REF ends.
     """
-    last = F.col("pos") + F.length("ref") - 1 if by_overlap else F.col("pos")
+    end = F.col("stop") if "stop" in variants.columns else F.col("pos") + F.length("ref") - 1
+    last = end if by_overlap else F.col("pos")
     first_bin = F.floor(F.col("pos") / bin_width)
     left = variants.withColumn("_last", last).withColumn("_vbin", first_bin)
     if by_overlap:
@@ -47,7 +49,8 @@ def region_interval_join(
             F.sequence(F.floor(F.col("beg") / bin_width), F.floor(F.col("end") / bin_width))
         ).alias("_bin"),
     )
-    right = broadcast_if_small(right)
+    # Catalyst does not count what explode adds: the true size decides.
+    right = small_side(right, "region-bins")
     meets = (F.col("pos") <= F.col("end")) & (F.col("_last") >= F.col("beg"))
     once = F.col("_bin") == F.greatest("_vbin", "_rbin")
     joined = left.join(right, ["chrom", "_bin"]).filter(meets & once)

@@ -17,6 +17,7 @@ from locusframe.operators.glm import (
     tidy_coefficients,
 )
 from locusframe.operators.haplotypes import haplotype_table
+from locusframe.operators.joint import fit_joint
 from locusframe.operators.reshape import genotype_vectors, site_dictionary, trait_unpivot
 from locusframe.operators.results import haplotype_dictionary, haplotype_right_join, per_trait
 from locusframe.operators.variants import (
@@ -91,13 +92,19 @@ def run_association(
     covariates: DataFrame | None,
     limits: Thresholds = Thresholds(),
     frequencies: DataFrame | None = None,
+    joint: bool = False,
 ) -> Association:
-    """All loci and datasets in one go; see ``Association`` for the parts."""
+    """All loci and datasets in one go; see ``Association`` for the parts.
+
+    With ``joint``, coefficients come from the joint fit of phase and
+    regression; else the posteriors of the haplotype estimation stay fixed.
+    """
     sites = kept_sites(dosage, limits.min_ac, frequencies)
     genotypes = materialize(genotype_vectors(dosage, sites), "genotypes")
     responses = prepare_responses(long_traits(phenotypes), covariates)
     fit = haplotype_models(genotypes, responses, limits)
-    coefficients = materialize(tidy_coefficients(fit, responses.covariates), "coefficients")
+    tidy = fit_joint(genotypes, responses, fit) if joint else tidy_coefficients(fit, responses.covariates)
+    coefficients = materialize(tidy, "coefficients")
     haplotypes = per_trait(haplotype_table(fit.pooled, GROUP), responses.traits)
     dictionary = haplotype_dictionary(haplotypes)
     results = haplotype_right_join(coefficients, dictionary)

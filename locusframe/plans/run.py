@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.config import Thresholds, optional_path
+from locusframe.functions.keys import variant_key
 from locusframe.operators.freq import histogram_30
 from locusframe.operators.merge import merged_counts, summary_text
 from locusframe.operators.results import significant_results, tidied_results
 from locusframe.operators.variants import region_interval_join
+from locusframe.plans.annotation import annotate_keys
 from locusframe.plans.association import Association, rejected_variants, run_association
+from locusframe.session import materialize
 from locusframe.sinks import tables as sinks
 from locusframe.sources.quality import regions_without_variants, require_text_input
 from locusframe.sources.tables import (
@@ -37,11 +40,11 @@ class Extraction:
 def extract_regions(spark: SparkSession, vcf_path: str, regions: DataFrame, out: str) -> Extraction:
     """Variants of all regions in one pass over the VCF, stored by locus.
 
-    Regions meet the packed variant rows, which are exploded to samples only
-    afterwards. Missing or empty input fails.
+    Regions meet the packed variant rows, which are stored once and exploded
+    to samples afterwards. Missing or empty input fails.
     """
     lines = require_text_input(spark, vcf_path)
-    hits = region_interval_join(vcf_variants(lines), regions).drop("beg", "end")
+    hits = materialize(region_interval_join(vcf_variants(lines), regions).drop("beg", "end", "info"), "region-hits")
     sites = hits.select("locus", "chrom", "pos", F.col("marker_id").alias("id"), "ref", "alt", "af")
     sites.write.partitionBy("locus").parquet(f"{out}/variants")
     sinks.write_dosage(explode_samples(hits, vcf_samples(lines)), f"{out}/dosage")
@@ -61,7 +64,9 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     """Run everything named in ``config`` and write to ``path_workspace``.
 
     Keys: datasets, phenotype_files, covariates_file, path_loci, path_vcf,
-    path_workspace, thresholds.
+    path_workspace, thresholds, joint (phase and regression fitted together;
+    true unless set to false), annotation_lookup (Parquet with chrom, pos,
+    allele, annotation; variants are annotated where it is given).
     """
     out = str(config["path_workspace"]).rstrip("/")
     limits = Thresholds.from_mapping(config.get("thresholds") or {})
@@ -69,7 +74,8 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     extracted = extract_regions(spark, str(config["path_vcf"]), regions, f"{out}/genotype")
     phenotypes = read_phenotypes(spark, str(config["datasets"]), str(config["phenotype_files"]))
     covariates = scan_covariates(spark, optional_path(config.get("covariates_file")))
-    run = run_association(extracted.dosage, phenotypes, covariates, limits, extracted.frequencies)
+    joint = str(config.get("joint", True)).lower() != "false"
+    run = run_association(extracted.dosage, phenotypes, covariates, limits, extracted.frequencies, joint)
 
     counts = merged_counts(
         extracted.dosage,
@@ -86,5 +92,11 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
         "histogram": histogram_30(extracted.frequencies),
         "rejected": rejected_variants(extracted.dosage, limits.min_ac, extracted.frequencies),
     }
+    lookup = optional_path(config.get("annotation_lookup"))
+    if lookup is not None:
+        keys = extracted.frequencies.select("locus", variant_key(*map(F.col, ("chrom", "pos", "ref", "alt"))).alias("variant")).distinct()
+        annotated, rejects = annotate_keys(keys, spark.read.parquet(lookup))
+        annotated.write.parquet(f"{out}/annotation/variants")
+        rejects.write.parquet(f"{out}/annotation/rejects")
     sinks.write_report(report, f"{out}/report")
     return run

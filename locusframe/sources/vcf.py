@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,32 +34,56 @@ def vcf_samples(lines: DataFrame) -> DataFrame:
 
 
 def vcf_variants(lines: DataFrame) -> DataFrame:
-    """One row per variant record; sample fields stay packed in an array."""
-    fields = F.split("value", "\t")
-    records = lines.filter(~F.startswith(F.col("value"), F.lit("#"))).select(fields.alias("f"))
-    info = F.col("f")[7]
+    """One row per variant record; sample fields stay one packed text.
+
+    Only the leading fields are cut, so a region test costs nothing per
+    sample. ``stop`` is the last position: END of INFO (symbolic alleles) or
+    the end of REF.
+    """
+    lead = F.substring_index("value", "\t", _FIXED)
+    records = lines.filter(~F.startswith(F.col("value"), F.lit("#"))).select(
+        F.split(lead, "\t").alias("f"), F.substr("value", F.length(lead) + 2).alias("samples")
+    )
+    info, pos = F.get("f", F.lit(7)), F.get("f", F.lit(1)).cast("bigint")
+    end = F.regexp_extract(info, "(?:^|;)END=([0-9]+)", 1).try_cast("bigint")
     return records.select(
-        F.col("f")[0].alias("chrom"),
-        F.col("f")[1].cast("bigint").alias("pos"),
-        F.col("f")[2].alias("marker_id"),
-        F.col("f")[3].alias("ref"),
-        F.col("f")[4].alias("alt"),
+        F.get("f", F.lit(0)).alias("chrom"),
+        pos.alias("pos"),
+        F.get("f", F.lit(2)).alias("marker_id"),
+        F.get("f", F.lit(3)).alias("ref"),
+        F.get("f", F.lit(4)).alias("alt"),
         F.regexp_extract(info, "(?:^|;)AF=([^;]*)", 1).try_cast("double").alias("af"),
+        F.greatest(end, pos + F.length(F.get("f", F.lit(3))) - 1).alias("stop"),
         info.alias("info"),
-        F.array_position(F.split(F.col("f")[8], ":"), F.lit("DS")).cast("int").alias("ds_index"),
-        F.slice("f", _FIXED + 1, F.size("f")).alias("samples"),
+        F.array_position(F.split(F.get("f", F.lit(8)), ":"), F.lit("DS")).cast("int").alias("ds_index"),
+        "samples",
     )
 
 
+def csq_fields(lines: DataFrame) -> list[str]:
+    """Order of the fields of a CSQ entry, from the ``##INFO`` header line."""
+    head = lines.filter(F.startswith(F.col("value"), F.lit("##INFO=<ID=CSQ,"))).first()
+    found = re.search(r"Format: ?([^\">]+)", head[0]) if head else None
+    if found is None:
+        raise ValueError("the header describes no CSQ")
+    return [x.strip() for x in found[1].split("|")]
+
+
+def with_csq(variants: DataFrame) -> DataFrame:
+    """``variants`` with ``csq``, the CSQ entry of INFO (null without one)."""
+    entry = F.regexp_extract("info", "(?:^|;)CSQ=([^;]*)", 1)
+    return variants.withColumn("csq", F.when(entry != "", entry))
+
+
 def explode_samples(variants: DataFrame, samples: DataFrame) -> DataFrame:
     """One row per variant and sample with its DS value (``.`` is null).
 
     Restrict ``variants`` to the wanted regions first: the packed rows are
     far fewer than the exploded ones.
     """
-    keep = [c for c in variants.columns if c not in ("samples", "info", "ds_index")]
+    keep = [c for c in variants.columns if c not in ("samples", "info", "ds_index", "stop")]
     long = variants.select(
-        *keep, "ds_index", F.posexplode("samples").alias("sample_index", "call")
+        *keep, "ds_index", F.posexplode(F.split("samples", "\t")).alias("sample_index", "call")
     )
     ds = F.when(F.col("ds_index") > 0, F.get(F.split("call", ":"), F.col("ds_index") - 1))
     return long.join(broadcast_if_small(samples), "sample_index").select(

@@ -149,3 +149,20 @@ def test_stored_tables_can_be_discarded(spark):
     assert stored.count() == 5 and os.path.isdir(stored.stored_at)
     discard(stored, spark.range(2))
     assert not os.path.isdir(stored.stored_at)
+
+
+def test_symbolic_alleles_reach_to_their_end_and_csq_is_read(spark, tmp_path):
+    text = (
+        '##INFO=<ID=CSQ,Number=.,Type=String,Description="Consequences. Format: Allele|Consequence|SYMBOL|Gene">\n'
+        "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\n"
+        "5\t10\tsv\tA\t<DEL>\t.\tPASS\tEND=50;CSQ=T|intron_variant|S|G;X=1\tDS\t1\n"
+        "5\t10\tsnp\tA\tT\t.\tPASS\tX=1\tDS\t1\n"
+    )
+    lines = vcf.read_vcf_lines(spark, write(tmp_path / "e.vcf", text))
+    regions = spark.createDataFrame([("L", "5", 40, 60)], "locus string, chrom string, beg long, end long")
+    hits = region_interval_join(vcf.vcf_variants(lines), regions).collect()
+    assert [(r.marker_id, r.stop) for r in hits] == [("sv", 50)]
+    assert vcf.csq_fields(lines) == ["Allele", "Consequence", "SYMBOL", "Gene"]
+    assert {r.marker_id: r.csq for r in vcf.with_csq(vcf.vcf_variants(lines)).collect()} == {
+        "sv": "T|intron_variant|S|G", "snp": None,
+    }
