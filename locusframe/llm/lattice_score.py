@@ -198,10 +198,11 @@ def word_scores(words: DataFrame, scores: Scores, tokens: int, unseen: float) ->
 
     The broadcast scores are as many as the vocabulary has pieces.
     """
-    model = words.sparkSession.sparkContext.broadcast(scores)
+    # Broadcasts hold plain objects: workers may lack this package.
+    model = words.sparkSession.sparkContext.broadcast(tuple(scores))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model.value)
+        lattice = Lattice(Scores(*model.value))
         for batch in batches:
             found = []
             for word, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(), strict=True):

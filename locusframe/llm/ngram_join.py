@@ -6,10 +6,12 @@ meet under every one of ``ORDERS`` orders: the first order's prefixes are
 joined, the others' are intersected. All orders put tokens that are frequent
 in the corpus last and differ by a seeded hash otherwise.
 
-Large groups of copies cost no pairs: documents with equal sets are one class
-from the start; then every class is verified against the smallest document
-that shares its first token (a star per token, for each order), and the join
-only looks for pairs of classes that are not connected yet.
+Large groups of copies cost no pairs in a table: documents with equal sets are
+one class from the start; then every class is verified against the smallest
+document that shares its first token (a star per token, for each order). What
+is not connected by then is joined by blocks: documents with one first token
+form blocks of bounded size, pairs of blocks that share a prefix token are
+searched in a task each, and only links leave it.
 
 A token is the 64-bit hash of a shingle; sets are compared by these.
 
@@ -41,6 +43,8 @@ ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 FREQUENT_SHARE = 0.002
 #: Documents of one input batch that must hold a token for it to be counted.
 _SEEN_TWICE = 3
+#: Documents of a block, about.
+BLOCK = 256
 #: Hashes of words kept by a worker.
 _WORD_LIMIT = 500_000
 
@@ -118,49 +122,46 @@ def _prefix_size(size: int, percent: int) -> int:
     return size - -(-size * percent // 100) + 1
 
 
-def digests(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Stored: doc_id, n_shingles, set_id (digest of the set), and a prefix
-    ``p0``, ``p1``, ... of tokens for each order."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, n))
-    names = ["doc_id", "n_shingles", "set_id", *(f"p{k}" for k in range(len(ORDERS)))]
+def _ranks(tokens: np.ndarray, seed: int, common: np.ndarray) -> np.ndarray:
+    """Place of each token in an order: frequent ones last, else by hash."""
+    rank = _mix(tokens ^ np.uint64(seed)) >> np.uint64(1)
+    if len(common):
+        place = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        rank[common[place] == tokens] |= np.uint64(1 << 63)
+    return rank
+
+
+def prefix(tokens: np.ndarray, seed: int, common: np.ndarray, percent: int) -> np.ndarray:
+    """The tokens of a set of which a similar set must hold one among its own."""
+    size = _prefix_size(len(tokens), percent) if len(tokens) else 0
+    if size >= len(tokens):
+        return tokens
+    return tokens[np.argpartition(_ranks(tokens, seed, common), size - 1)[:size]]
+
+
+def digests(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
+    """Stored: doc_id, n_shingles, set_id (digest of the set), the prefix of
+    the first order, and the first token of every order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         common = frequent.value
         for batch in batches:
-            sizes, ids = [], []
-            prefixes: list[list] = [[] for _ in ORDERS]
-            for tokens in shingle_sets(batch.column(1).to_pylist(), n):
-                sizes.append(len(tokens))
-                ids.append(xxhash.xxh3_128_hexdigest(tokens.tobytes()) if len(tokens) else None)
-                size = _prefix_size(len(tokens), percent) if len(tokens) else 0
-                if len(common) and size:
-                    place = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-                    late = common[place] == tokens
-                else:
-                    late = np.zeros(len(tokens), bool)
-                for seed, prefix in zip(ORDERS, prefixes, strict=True):
-                    rank = _mix(tokens ^ np.uint64(seed)) >> np.uint64(1)
-                    rank[late] |= np.uint64(1 << 63)
-                    if size < len(rank):
-                        first = np.argpartition(rank, size - 1)[:size] if size else np.empty(0, np.int64)
-                    else:
-                        first = np.arange(len(rank))
-                    first = first[np.argsort(rank[first])]
-                    chosen = _as_long(tokens[first])
-                    # The joined order keeps whole tokens; for the others half
-                    # a token tells enough, a chance match only adds a candidate.
-                    prefix.append(chosen if seed == ORDERS[0] else chosen.astype(np.int32))
+            sets = shingle_sets(batch.column(1).to_pylist(), n)
+            columns = [
+                [len(x) for x in sets],
+                [xxhash.xxh3_128_hexdigest(x.tobytes()) if len(x) else None for x in sets],
+                [_as_long(prefix(x, ORDERS[0], common, percent)) for x in sets],
+                [_as_long(np.array([x[np.argmin(_ranks(x, s, common))] for s in ORDERS if len(x)], np.uint64)) for x in sets],
+            ]
+            types = pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.string())]
-                + [pa.array(p, pa.list_(pa.int32() if k else pa.int64())) for k, p in enumerate(prefixes)],
-                names=names,
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
+                names=["doc_id", "n_shingles", "set_id", "prefix", "firsts"],
             )
 
-    schema = "doc_id long, n_shingles long, set_id string, " + ", ".join(
-        f"p{k} array<{'int' if k else 'long'}>" for k in range(len(ORDERS))
-    )
+    schema = "doc_id long, n_shingles long, set_id string, prefix array<long>, firsts array<long>"
     return stored(arrow_stage(docs.select("doc_id", "text"), run, schema), "shingle-digests")
 
 
@@ -190,6 +191,66 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     return links
 
 
+def _near(x: set, y: set, percent: int) -> bool:
+    shared = len(x & y)
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame:
+    """Links (a, b) within groups of rows (left, right: the group; side;
+    doc_id; root; text): between its sides, or within a single side.
+
+    A group is two blocks at most, so a task holds few texts at a time. Pairs
+    of one root are passed over; others must share a prefix token under every
+    order before they are verified.
+    """
+
+    def searched(rows: list[dict]) -> list[tuple[int, int]]:
+        sets = shingle_sets([r["text"] for r in rows], n)
+        whole = [set(x.tolist()) for x in sets]
+        prefixes = [[set(prefix(x, s, frequent.value, percent).tolist()) for x in sets] for s in ORDERS]
+        holders: dict[int, list[int]] = {}
+        found = []
+        for i, row in enumerate(rows):
+            size, alone = len(sets[i]), row["left"] == row["right"]
+            tried: set[int] = set()
+            for token in prefixes[0][i]:
+                others = holders.setdefault(token, [])
+                tried.update(others)
+                others.append(i)
+            for j in tried:
+                other = rows[j]
+                if (
+                    other["root"] != row["root"]
+                    and (alone or other["side"] != row["side"])
+                    and 100 * size >= percent * len(sets[j])
+                    and 100 * len(sets[j]) >= percent * size
+                    and all(not p[i].isdisjoint(p[j]) for p in prefixes[1:])
+                    and _near(whole[i], whole[j], percent)
+                ):
+                    found.append((row["doc_id"], other["doc_id"]))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[dict] = []
+        links: list[tuple[int, int]] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if group and (row["left"], row["right"]) != (group[0]["left"], group[0]["right"]):
+                    links += searched(group)
+                    group = []
+                group.append(row)
+            a, b = zip(*links, strict=True) if links else ((), ())
+            links = []
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        if group:
+            a, b = zip(*found, strict=True) if (found := searched(group)) else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    spread = members.repartition("left", "right").sortWithinPartitions("left", "right")
+    return arrow_stage(spread, run, "a long, b long")
+
+
 def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
     return (100 * x >= percent * y) & (100 * y >= percent * x)
 
@@ -197,14 +258,14 @@ def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
 def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of all ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8_or_empty("text").alias("text"))
-    digest = digests(docs, n, percent)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, n))
+    digest = digests(docs, n, percent, frequent)
     known = digest.where("set_id is not null and doc_id is not null")
     # One document of each set of tokens goes on.
     heads = stored(known.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "set-heads")
 
     # A star for each order's first token.
-    first = F.array(*(F.get(f"p{k}", F.lit(0)).cast("long") for k in range(len(ORDERS))))
-    firsts = known.select("doc_id", "set_id", "n_shingles", F.posexplode(first).alias("order", "token"))
+    firsts = known.select("doc_id", "set_id", "n_shingles", F.posexplode("firsts").alias("order", "token"))
     firsts = stored(firsts.join(heads, ["set_id", "doc_id"], "left_semi").drop("set_id").distinct(), "first-tokens")
     centres = firsts.groupBy("order", "token").agg(
         F.min(F.struct("doc_id", "n_shingles")).alias("centre"), F.count("*").alias("size")
@@ -219,39 +280,53 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     near = verified(stored(stars, "stars"), docs, n, percent)
     roots = components(near)
 
-    # All pairs of classes not connected yet that share a prefix token.
-    rooted = heads.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn(
-        "root", F.coalesce("root", "doc_id")
+    # Blocks: documents with one first token, about BLOCK at most.
+    sized = firsts.where("order = 0").groupBy("token").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
+    rooted = (
+        firsts.where("order = 0")
+        .join(sized, "token")
+        .join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.coalesce("root", "doc_id").alias("root"),
+            F.xxhash64("token", F.pmod(F.xxhash64("doc_id"), "chunks")).alias("block"),
+        )
     )
+    rooted = stored(rooted, "blocks")
+    # Pairs of blocks that share a prefix token and are not of one root.
     postings = (
-        known.select("set_id", "doc_id", "n_shingles", "p0")
-        .join(stored(rooted, "rooted"), ["set_id", "doc_id"])
-        .select("doc_id", "root", "n_shingles", F.explode("p0").alias("token"))
+        known.select("set_id", "doc_id", "prefix")
+        .join(heads, ["set_id", "doc_id"], "left_semi")
+        .select("doc_id", "prefix")
+        .join(rooted, "doc_id")
+        .select("root", "n_shingles", "block", F.explode("prefix").alias("token"))
     )
+    ranges = [f(c).alias(f"{c}_{k}") for c in ("root", "n_shingles") for k, f in (("low", F.min), ("high", F.max))]
     split = postings.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    mixed = stored(postings.join(small_side(split.select("token"), "mixed-tokens"), "token", "left_semi"), "mixed-postings")
+    split = small_side(split.select("token"), "mixed-tokens")
+    mixed = stored(postings.join(split, "token", "left_semi").groupBy("token", "block").agg(*ranges), "mixed-blocks")
     left, right = mixed.alias("l"), mixed.alias("r")
+    other_roots = (F.col("l.root_low") != F.col("r.root_high")) | (F.col("l.root_high") != F.col("r.root_low"))
+    fit = (100 * F.col("l.n_shingles_high") >= percent * F.col("r.n_shingles_low")) & (
+        100 * F.col("r.n_shingles_high") >= percent * F.col("l.n_shingles_low")
+    )
     pairs = (
         left.join(right, F.col("l.token") == F.col("r.token"))
-        .where((F.col("l.doc_id") < F.col("r.doc_id")) & (F.col("l.root") != F.col("r.root")))
-        .where(_sizes_fit(F.col("l.n_shingles"), F.col("r.n_shingles"), percent))
-        .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"))
+        .where((F.col("l.block") <= F.col("r.block")) & other_roots & fit)
+        .select(F.col("l.block").alias("left"), F.col("r.block").alias("right"))
         .distinct()
     )
-    pairs = stored(pairs, "prefix-pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "prefix-documents")
-    others = [f"p{k}" for k in range(1, len(ORDERS))]
-    prefixes = stored(
-        known.select("doc_id", *others).join(broadcast_if_small(wanted), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "other-prefixes"
-    )
-    both = pairs.join(prefixes.select(F.col("doc_id").alias("a"), *(F.col(p).alias(f"a{p}") for p in others)), "a").join(
-        prefixes.select(F.col("doc_id").alias("b"), *(F.col(p).alias(f"b{p}") for p in others)), "b"
+    pairs = stored(pairs, "block-pairs")
+    sides = pairs.select("left", "right", F.col("left").alias("block"), F.lit(0).alias("side")).union(
+        pairs.where("left <> right").select("left", "right", "right", F.lit(1))
     )
-    for p in others:
-        both = both.where(F.arrays_overlap(f"a{p}", f"b{p}"))
-    candidates = stored(both.select("a", "b"), "candidates")
-    discard(mixed, prefixes, pairs, wanted)
-    more = verified(candidates, docs, n, percent)
+    wanted = stored(rooted.join(sides.select("block").distinct(), "block", "left_semi").select("doc_id"), "wanted-documents")
+    texts = docs.join(broadcast_if_small(wanted), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = stored(texts.join(rooted.select("doc_id", "root", "block"), "doc_id"), "wanted-texts")
+    members = sides.join(texts, "block").select("left", "right", "side", "doc_id", "root", "text")
+    more = stored(block_links(members, n, percent, frequent), "more-links")
+    discard(texts, mixed, pairs, wanted)
     joined = components(near.union(more))
 
     by_set = heads.join(joined.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(

@@ -108,13 +108,15 @@ class Trie:
 
 
 def _by_trie(urls: DataFrame, rules: list[Rule], default: str) -> DataFrame:
-    trie = urls.sparkSession.sparkContext.broadcast(Trie(rules))
+    # Plain rows travel; workers may lack this package. A task builds the trie.
+    listed = urls.sparkSession.sparkContext.broadcast([tuple(r) for r in rules])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = Trie(Rule(*r) for r in listed.value)
         for batch in batches:
             pairs = zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)
             # A url that names no host fits no rule, not even one for any host.
-            found = [trie.value.match(h, p) if h or p else None for h, p in pairs]
+            found = [trie.match(h, p) if h or p else None for h, p in pairs]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,

@@ -186,6 +186,6 @@ def test_toxicity_without_labels(spark):
 def test_char_model_restores_leetspeak(spark):
     text = " ".join(["stupid idiot trash loser pathetic the other words"] * 50)
     frame = spark.createDataFrame([(1, text.encode())], "doc_id long, text binary")
-    model = toxicity.CharModel(toxicity.char_counts(frame))
+    model = toxicity.CharModel.counted(toxicity.char_counts(frame))
     for raw, meant in (("tr4sh", "trash"), ("1d10t", "idiot"), ("st.u.p.i.d", "stupid"), ("loooooser", "loser"), ("p@thetic", "pathetic"), ("trash###", "trash"), ("", "")):
         assert toxicity.restored_token(raw.encode(), model) == meant
