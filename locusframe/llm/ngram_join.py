@@ -8,9 +8,9 @@ in the corpus last and differ by a seeded hash otherwise.
 
 Large groups of copies cost no pairs in a table: documents with equal sets are
 one class from the start; then every class is verified against the smallest
-document that shares its first token (a star per token, for each order). What
-is not connected by then is joined by blocks: documents with one first token
-form blocks of bounded size, pairs of blocks that share a prefix token are
+document that shares its token of the smallest hash (a star per token, for
+each order). What is not connected by then is joined by blocks: documents with
+one such token form blocks of bounded size, pairs of blocks that share a prefix token are
 searched in a task each, and only links leave it.
 
 A token is the 64-bit hash of a shingle; sets are compared by these.
@@ -38,11 +38,12 @@ from locusframe.session import broadcast_if_small, discard, small_side
 
 #: Token orders, as seeds of their hashes.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-#: A token counts as frequent from this share of all documents on. Sets have a
-#: mean size m, so there are at most m / share frequent tokens.
-FREQUENT_SHARE = 0.002
-#: Documents of one input batch that must hold a token for it to be counted.
-_SEEN_TWICE = 3
+#: A token counts as frequent from this many documents on.
+FREQUENT_DOCUMENTS = 8
+#: Most frequent tokens, at most so many, that the orders put last.
+FREQUENT_TOKENS = 1_000_000
+#: Tokens a task holds before it sorts and counts them.
+_HELD_TOKENS = 6_000_000
 #: Documents of a block, about.
 BLOCK = 256
 #: Hashes of words kept by a worker.
@@ -96,26 +97,51 @@ def _as_long(tokens: np.ndarray) -> np.ndarray:
 
 
 def frequent_tokens(docs: DataFrame, n: int) -> np.ndarray:
-    """Tokens that are in ``FREQUENT_SHARE`` of the documents or more, sorted.
+    """The most frequent tokens, sorted; at most ``FREQUENT_TOKENS``.
 
-    A token that frequent is expected in several documents of any batch; only
-    tokens seen that often in a batch are counted further. The list decides
-    the orders alone, so results do not depend on it.
+    Tokens found once in what a task counts at a time are not counted further:
+    a frequent one is found again there. The list decides the orders alone, so
+    results do not depend on it.
     """
 
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        tokens = np.concatenate(held)
+        tokens.sort()
+        start = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        counts = np.diff(np.append(start, len(tokens)))
+        tokens, counts = _as_long(tokens[start[counts > 1]]), counts[counts > 1]
+        for low in range(0, len(tokens), 100_000):
+            part = slice(low, low + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[part]), pa.array(counts[part])], names=["token", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             sets = shingle_sets(batch.column(0).to_pylist(), n)
-            tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
-            keep = counts >= _SEEN_TWICE
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_as_long(tokens[keep])), pa.array(counts[keep].astype(np.int64))], names=["token", "n"]
-            )
-
-    counted = arrow_stage(docs.select("text"), run, "token long, n long", rows=2048)
-    least = F.lit(FREQUENT_SHARE * max(docs.count(), 1))
-    found = counted.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return np.sort(np.array([r.token for r in found.select("token").toLocalIterator()], dtype=np.int64).view(np.uint64))
+            held += sets
+            size += sum(map(len, sets))
+            if size >= _HELD_TOKENS:
+                yield from counted(held)
+                held, size = [], 0
+        if held:
+            yield from counted(held)
+
+    found = arrow_stage(docs.select("text"), run, "token long, n long")
+    found = found.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_DOCUMENTS)
+    found = stored(found, "frequent-tokens")
+    steps = found.groupBy(F.floor(F.log2("n") * 8).alias("step")).count().collect()
+    total, least = 0, None
+    for row in sorted(steps, key=lambda r: -r.step):
+        total += row["count"]
+        if total > FREQUENT_TOKENS:
+            break
+        least = row.step
+    if least is None:
+        return np.empty(0, np.uint64)
+    kept = found.where(F.floor(F.log2("n") * 8) >= least).select("token").toArrow()
+    discard(found)
+    return np.sort(kept.column(0).to_numpy().view(np.uint64))
 
 
 def _prefix_size(size: int, percent: int) -> int:
@@ -141,19 +167,20 @@ def prefix(tokens: np.ndarray, seed: int, common: np.ndarray, percent: int) -> n
 
 def digests(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
     """Stored: doc_id, n_shingles, set_id (digest of the set), the prefix of
-    the first order, and the first token of every order."""
+    the first order, and the token of the smallest hash of every order (where
+    copies agree even if what they share is frequent)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        common = frequent.value
+        common, none = frequent.value, np.empty(0, np.uint64)
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), n)
             columns = [
                 [len(x) for x in sets],
                 [xxhash.xxh3_128_hexdigest(x.tobytes()) if len(x) else None for x in sets],
                 [_as_long(prefix(x, ORDERS[0], common, percent)) for x in sets],
-                [_as_long(np.array([x[np.argmin(_ranks(x, s, common))] for s in ORDERS if len(x)], np.uint64)) for x in sets],
+                [_as_long(np.array([x[np.argmin(_ranks(x, s, none))] for s in ORDERS if len(x)], np.uint64)) for x in sets],
             ]
             types = pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -197,10 +224,10 @@ def _near(x: set, y: set, percent: int) -> bool:
 
 
 def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame:
-    """Links (a, b) within groups of rows (left, right: the group; side;
-    doc_id; root; text): between its sides, or within a single side.
+    """Links (a, b) within groups of rows (centre, part: the group; side;
+    doc_id; root; text): between its sides or, in part -1, all of them.
 
-    A group is two blocks at most, so a task holds few texts at a time. Pairs
+    A group has a bounded number of documents, so a task holds few texts. Pairs
     of one root are passed over; others must share a prefix token under every
     order before they are verified.
     """
@@ -212,7 +239,7 @@ def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame
         holders: dict[int, list[int]] = {}
         found = []
         for i, row in enumerate(rows):
-            size, alone = len(sets[i]), row["left"] == row["right"]
+            size, alone = len(sets[i]), row["part"] < 0
             tried: set[int] = set()
             for token in prefixes[0][i]:
                 others = holders.setdefault(token, [])
@@ -236,7 +263,7 @@ def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame
         links: list[tuple[int, int]] = []
         for batch in batches:
             for row in batch.to_pylist():
-                if group and (row["left"], row["right"]) != (group[0]["left"], group[0]["right"]):
+                if group and (row["centre"], row["part"]) != (group[0]["centre"], group[0]["part"]):
                     links += searched(group)
                     group = []
                 group.append(row)
@@ -247,7 +274,7 @@ def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame
             a, b = zip(*found, strict=True) if (found := searched(group)) else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    spread = members.repartition("left", "right").sortWithinPartitions("left", "right")
+    spread = members.repartition("centre", "part").sortWithinPartitions("centre", "part")
     return arrow_stage(spread, run, "a long, b long")
 
 
@@ -318,15 +345,32 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         .distinct()
     )
     pairs = stored(pairs, "block-pairs")
-    sides = pairs.select("left", "right", F.col("left").alias("block"), F.lit(0).alias("side")).union(
-        pairs.where("left <> right").select("left", "right", "right", F.lit(1))
+    # A group: one block and, in parts of about BLOCK documents, all smaller
+    # blocks that it is paired with; or (part -1) one block with itself.
+    sizes = rooted.groupBy("block").agg(F.count("*").alias("size"))
+    weighed = pairs.join(sizes.select(F.col("block").alias("left"), F.col("size").alias("l")), "left").join(
+        sizes.select(F.col("block").alias("right"), F.col("size").alias("r")), "right"
+    )
+    swap = F.col("r") > F.col("l")
+    ordered = weighed.where("left <> right").select(
+        F.when(swap, F.col("right")).otherwise(F.col("left")).alias("centre"),
+        F.when(swap, F.col("left")).otherwise(F.col("right")).alias("block"),
+        F.least("l", "r").alias("size"),
+    )
+    parts = ordered.groupBy("centre").agg(F.ceil(F.sum("size") / BLOCK).alias("parts"))
+    around = ordered.join(parts, "centre").select(
+        "centre", F.pmod(F.xxhash64("block"), "parts").alias("part"), "block", F.lit(1).alias("side")
     )
+    around = stored(around, "block-groups")
+    middle = around.select("centre", "part").distinct().select("centre", "part", F.col("centre").alias("block"), F.lit(0))
+    alone = pairs.where("left = right").select("left", F.lit(-1).cast("long"), "left", F.lit(0))
+    sides = stored(around.union(middle).union(alone), "group-sides")
     wanted = stored(rooted.join(sides.select("block").distinct(), "block", "left_semi").select("doc_id"), "wanted-documents")
     texts = docs.join(broadcast_if_small(wanted), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     texts = stored(texts.join(rooted.select("doc_id", "root", "block"), "doc_id"), "wanted-texts")
-    members = sides.join(texts, "block").select("left", "right", "side", "doc_id", "root", "text")
+    members = sides.join(texts, "block").select("centre", "part", "side", "doc_id", "root", "text")
     more = stored(block_links(members, n, percent, frequent), "more-links")
-    discard(texts, mixed, pairs, wanted)
+    discard(texts, mixed, pairs, wanted, around, sides)
     joined = components(near.union(more))
 
     by_set = heads.join(joined.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(

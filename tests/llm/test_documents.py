@@ -94,9 +94,9 @@ def test_ngram_join_equals_brute_force(spark, n, percent):
 
 def test_frequent_tokens_do_not_change_results(spark, monkeypatch):
     rows = [(i, prose(1, 30) + " " + prose(i, 3 if i % 2 else 40), "x") for i in range(40)]
-    monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 0.5)
+    monkeypatch.setattr(ngram_join, "FREQUENT_DOCUMENTS", 20)
     some = sorted(map(tuple, ngram_join.classes(docs(spark, rows), 3, 90).collect()))
-    monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 2.0)
+    monkeypatch.setattr(ngram_join, "FREQUENT_DOCUMENTS", 1 << 40)
     assert some == sorted(map(tuple, ngram_join.classes(docs(spark, rows), 3, 90).collect()))
     assert some == sorted((i, *v) for i, v in brute_classes(rows, 3, 90).items())
 
