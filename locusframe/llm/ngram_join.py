@@ -24,6 +24,7 @@ columns are left out.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -198,7 +199,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     Only the texts of documents in a pair go on from the table.
     """
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted-documents")
-    texts = stored(docs.join(broadcast_if_small(wanted), "doc_id", "left_semi").select("doc_id", "text"), "wanted-texts")
+    texts = stored(packed_texts(docs.join(broadcast_if_small(wanted), "doc_id", "left_semi")), "wanted-texts")
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b"
     )
@@ -206,7 +207,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
-            left, right = shingle_sets(batch.column(2).to_pylist(), n), shingle_sets(batch.column(3).to_pylist(), n)
+            left, right = (shingle_sets([zlib.decompress(x) for x in batch.column(k).to_pylist()], n) for k in (2, 3))
             near = []
             for x, y in zip(left, right, strict=True):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
@@ -223,9 +224,20 @@ def _near(x: set, y: set, percent: int) -> bool:
     return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with texts deflated: they are moved several times."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress(x, 6) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "text"])
+
+    return arrow_stage(docs.select("doc_id", "text"), run, "doc_id long, text binary")
+
+
 def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame:
     """Links (a, b) within groups of rows (centre, part: the group; side;
-    doc_id; root; text): between its sides or, in part -1, all of them.
+    doc_id; root; packed text): between its sides or, in part -1, all of them.
 
     A group has a bounded number of documents, so a task holds few texts. Pairs
     of one root are passed over; others must share a prefix token under every
@@ -233,7 +245,7 @@ def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame
     """
 
     def searched(rows: list[dict]) -> list[tuple[int, int]]:
-        sets = shingle_sets([r["text"] for r in rows], n)
+        sets = shingle_sets([zlib.decompress(r["text"]) for r in rows], n)
         whole = [set(x.tolist()) for x in sets]
         prefixes = [[set(prefix(x, s, frequent.value, percent).tolist()) for x in sets] for s in ORDERS]
         holders: dict[int, list[int]] = {}
@@ -323,10 +335,8 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     rooted = stored(rooted, "blocks")
     # Pairs of blocks that share a prefix token and are not of one root.
     postings = (
-        known.select("set_id", "doc_id", "prefix")
-        .join(heads, ["set_id", "doc_id"], "left_semi")
-        .select("doc_id", "prefix")
-        .join(rooted, "doc_id")
+        known.select("doc_id", "prefix")
+        .join(broadcast_if_small(rooted), "doc_id")
         .select("root", "n_shingles", "block", F.explode("prefix").alias("token"))
     )
     ranges = [f(c).alias(f"{c}_{k}") for c in ("root", "n_shingles") for k, f in (("low", F.min), ("high", F.max))]
@@ -366,9 +376,9 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     alone = pairs.where("left = right").select("left", F.lit(-1).cast("long"), "left", F.lit(0))
     sides = stored(around.union(middle).union(alone), "group-sides")
     wanted = stored(rooted.join(sides.select("block").distinct(), "block", "left_semi").select("doc_id"), "wanted-documents")
-    texts = docs.join(broadcast_if_small(wanted), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = stored(texts.join(rooted.select("doc_id", "root", "block"), "doc_id"), "wanted-texts")
-    members = sides.join(texts, "block").select("centre", "part", "side", "doc_id", "root", "text")
+    texts = packed_texts(docs.join(broadcast_if_small(wanted), "doc_id", "left_semi"))
+    texts = stored(texts.join(broadcast_if_small(rooted), "doc_id").select("doc_id", "root", "block", "text"), "wanted-texts")
+    members = texts.join(broadcast_if_small(sides), "block").select("centre", "part", "side", "doc_id", "root", "text")
     more = stored(block_links(members, n, percent, frequent), "more-links")
     discard(texts, mixed, pairs, wanted, around, sides)
     joined = components(near.union(more))
