@@ -246,26 +246,35 @@ def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame
 
     def searched(rows: list[dict]) -> list[tuple[int, int]]:
         sets = shingle_sets([zlib.decompress(r["text"]) for r in rows], n)
-        whole = [set(x.tolist()) for x in sets]
-        prefixes = [[set(prefix(x, s, frequent.value, percent).tolist()) for x in sets] for s in ORDERS]
+        kept: dict[tuple[int, int], set] = {}
+
+        def tokens(i: int, order: int) -> set:
+            """Prefix of a document under an order, or (-1) all its tokens."""
+            if (i, order) not in kept:
+                part = sets[i] if order < 0 else prefix(sets[i], ORDERS[order], frequent.value, percent)
+                kept[i, order] = set(part.tolist())
+            return kept[i, order]
+
         holders: dict[int, list[int]] = {}
         found = []
         for i, row in enumerate(rows):
             size, alone = len(sets[i]), row["part"] < 0
             tried: set[int] = set()
-            for token in prefixes[0][i]:
-                others = holders.setdefault(token, [])
-                tried.update(others)
-                others.append(i)
+            # Side 0 comes first: its documents are only entered, the others
+            # only looked up, unless the block is searched by itself.
+            for token in tokens(i, 0):
+                if alone or row["side"]:
+                    tried.update(holders.get(token, ()))
+                if alone or not row["side"]:
+                    holders.setdefault(token, []).append(i)
             for j in tried:
                 other = rows[j]
                 if (
                     other["root"] != row["root"]
-                    and (alone or other["side"] != row["side"])
                     and 100 * size >= percent * len(sets[j])
                     and 100 * len(sets[j]) >= percent * size
-                    and all(not p[i].isdisjoint(p[j]) for p in prefixes[1:])
-                    and _near(whole[i], whole[j], percent)
+                    and all(not tokens(i, k).isdisjoint(tokens(j, k)) for k in range(1, len(ORDERS)))
+                    and _near(tokens(i, -1), tokens(j, -1), percent)
                 ):
                     found.append((row["doc_id"], other["doc_id"]))
         return found
@@ -286,7 +295,7 @@ def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame
             a, b = zip(*found, strict=True) if (found := searched(group)) else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    spread = members.repartition("centre", "part").sortWithinPartitions("centre", "part")
+    spread = members.repartition("centre", "part").sortWithinPartitions("centre", "part", "side")
     return arrow_stage(spread, run, "a long, b long")
 
 
