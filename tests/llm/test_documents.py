@@ -183,6 +183,29 @@ def test_toxicity_without_labels(spark):
     assert toxicity.toxicity(docs(spark, []), labels).count() == 0
 
 
+def test_toxicity_reads_spaces_in_the_lattice(spark):
+    rows, marks = [], []
+    for i in range(600):
+        text, bad = prose(5000 + i, 40), i % 5 == 0
+        if bad:
+            text += " " + ["scum", "ass", "idiot", "d\u00e9bile"][i // 5 % 4] + " " + prose(i, 5)
+        elif i % 2:
+            text += " such a day here you bile asset of glass and of"
+        rows.append((i, text, "x"))
+        marks.append((i, int(bad), 1))
+    spaced = [
+        "such a s c u m here", "y o u i d i o t", "a s s", "s c u m.", "s c u m, then", "d \u00e9 b i l e", "id iot",
+        "sc um", "D \u00c9 B I L E", "$ c u m", "s. c. u. m", "s\nc\nu\nm",
+    ]
+    plain = ["such a day here", "g l a s s", "b i l e", "such a s s e t", "1 2 3 4 5", "a b c"]
+    for i, words in enumerate(spaced + plain):
+        rows.append((900 + i, f"{prose(7000 + i, 30)} {words} {prose(i, 4)}", "x"))
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int, quality int")
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs(spark, rows), labels).collect()}
+    assert [w for i, w in enumerate(spaced) if got[900 + i] != 1] == []
+    assert [w for i, w in enumerate(plain) if got[900 + len(spaced) + i] != 0] == []
+
+
 def test_char_model_restores_leetspeak(spark):
     text = " ".join(["stupid idiot trash loser pathetic the other words"] * 50)
     frame = spark.createDataFrame([(1, text.encode())], "doc_id long, text binary")
