@@ -206,6 +206,13 @@ def test_toxicity_reads_spaces_in_the_lattice(spark):
     assert [w for i, w in enumerate(plain) if got[900 + len(spaced) + i] != 0] == []
 
 
+def test_toxicity_decodes_doubled_letters():
+    logp = toxicity.CharModel.counted(toxicity.np.zeros(toxicity.CLASSES**3))
+    weights = toxicity._Weights(logp, {"stupid": 3.0, "idiot": 2.0, "moron": 1.5, "ass": 4.0}, {})
+    raw = ["stuupid", "idioot", "morron", "stuupiid", "moronn", "ass", "as", "idiot", "tree"]
+    assert [weights[x.encode()] for x in raw] == [3.0, 2.0, 1.5, 3.0, 1.5, 4.0, 0.0, 2.0, 0.0]
+
+
 def test_char_model_restores_leetspeak(spark):
     text = " ".join(["stupid idiot trash loser pathetic the other words"] * 50)
     frame = spark.createDataFrame([(1, text.encode())], "doc_id long, text binary")
