@@ -5,6 +5,7 @@ from __future__ import annotations
 from locusframe.llm import (
     byte_bpe,
     cover_tree,
+    decontaminate,
     lattice_score,
     ngram_join,
     packing,
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op11_decontaminate": decontaminate.op11_decontaminate,
 }
 ORACLE = {
     "op3_quality_rules": quality_rules.OP3_SQL,
     "op4_url_filter": url_filter.OP4_SQL,
     "op5_cover_tree": cover_tree.OP5_SQL,
+    "op11_decontaminate": decontaminate.OP11_SQL,
 }
