@@ -30,4 +30,4 @@ def test_stages_keep_what_is_clean_and_drop_what_is_not(spark, tmp_path):
 
 
 def test_registry_names_every_operator():
-    assert [int(n[2:].split("_")[0]) for n in registry.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in registry.QUERIES] == list(range(1, 14))
