@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.common import association, phenotypes, rounded
+from checks.common import association, phenotypes, rounded, write_blocks
 from checks.haplo_sql import ASSOCIATION_CTES, PATTERN_CTE
 from checks.summary_sql import DOCUMENTS_CTE, SUMMARY_CTE
 from checks.views import (
@@ -26,7 +26,7 @@ from locusframe.operators.merge import covariate_join, genotype_phenotype_join,
 from locusframe.operators.results import significant_results, tidied_results
 from locusframe.operators import variants
 from locusframe.operators.variants import region_interval_join
-from locusframe.session import new_path
+from locusframe.session import materialize, new_path
 from locusframe.sinks import tables as sinks
 from locusframe.sources import annotation as annotations
 from locusframe.sources import dosage as dosages
@@ -111,8 +111,8 @@ def dosage_scan(spark, sf_dir):
 _SAMPLES = ("S-1", "S.2", "S_3", "004", "S5")
 
 
-def vcf_text(spark: SparkSession, sf_dir: str) -> str:
-    """A VCF folder written from the line items; returns its path."""
+def vcf_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Header lines and record lines (with chrom and pos) of the line items."""
     calls = [
         F.concat(
             F.lit("0/1:"),
@@ -133,8 +133,28 @@ def vcf_text(spark: SparkSession, sf_dir: str) -> str:
         ],
         "value string",
     )
+    value = F.concat_ws("\t", *[f"`{c}`" for c in flat.columns]).alias("value")
+    return head, flat.select("chrom", F.col("pos").cast("bigint").alias("pos"), value)
+
+
+def vcf_text(spark: SparkSession, sf_dir: str) -> str:
+    """A VCF folder written from the line items; returns its path."""
+    head, records = vcf_lines(spark, sf_dir)
     path = new_path(spark, "vcf")
-    head.unionByName(flat.select(F.concat_ws("\t", *[f"`{c}`" for c in flat.columns]).alias("value"))).write.text(path)
+    head.unionByName(records.select("value")).write.text(path)
+    return path
+
+
+#: Compressed bytes of a slab: small, so that the tables give many of them.
+_SLAB = 131_072
+
+
+def vcf_blocks(spark: SparkSession, sf_dir: str) -> str:
+    """The same records, sorted by position and block-compressed."""
+    head, records = vcf_lines(spark, sf_dir)
+    path = new_path(spark, "vcf-blocks")
+    write_blocks(head.coalesce(1), path, "head")
+    write_blocks(records.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").select("value"), path, "part")
     return path
 
 
@@ -146,6 +166,37 @@ def vcf_region_scan(spark, sf_dir):
     return rounded(hits.select("locus", "chrom", "pos", "marker_id", "ref", "alt", "af"), 6, "af")
 
 
+REGION_SCAN_SQL = with_views("v_region_variants") + """
+    SELECT locus, chrom, pos, id AS marker_id, ref, alt, round(af, 6) AS af FROM v_region_variants"""
+
+
+@query(REGION_SCAN_SQL)
+def vcf_block_scan(spark, sf_dir):
+    """Block-compressed files read by slabs, every record."""
+    records = vcf.vcf_variants(vcf.read_vcf_lines(spark, vcf_blocks(spark, sf_dir), _SLAB))
+    hits = region_interval_join(records, v_regions(spark, sf_dir))
+    return rounded(hits.select("locus", "chrom", "pos", "marker_id", "ref", "alt", "af"), 6, "af")
+
+
+@query(with_views("v_variants") + """
+    SELECT chrom, min(pos) AS first, max(pos + length(ref) - 1) AS last, count(*) AS n_records
+    FROM v_variants GROUP BY chrom""")
+def vcf_block_index(spark, sf_dir):
+    """The index of the slabs, summed by chromosome."""
+    index = vcf.vcf_index(spark, vcf_blocks(spark, sf_dir), _SLAB).filter("chrom is not null")
+    return index.groupBy("chrom").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n_records").alias("n_records"))
+
+
+@query(REGION_SCAN_SQL)
+def vcf_region_prune(spark, sf_dir):
+    """Only the slabs that meet a region are opened."""
+    path, regions = vcf_blocks(spark, sf_dir), v_regions(spark, sf_dir)
+    index = materialize(vcf.vcf_index(spark, path, _SLAB), "vcf-index")
+    records = vcf.vcf_variants(vcf.read_vcf_regions(spark, path, regions, index))
+    hits = region_interval_join(records, regions)
+    return rounded(hits.select("locus", "chrom", "pos", "marker_id", "ref", "alt", "af"), 6, "af")
+
+
 @query(with_views("v_regions") + """
     SELECT r.locus, s.iid, r.chrom, r.pos, r.id AS marker_id, r.ref, r.alt, round(r.af, 6) AS af,
            CASE WHEN (r.l_linenumber + s.i) % 5 = 0 THEN NULL

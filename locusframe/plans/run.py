@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,14 @@ from locusframe.sources.tables import (
     scan_regions,
     value_columns,
 )
-from locusframe.sources.vcf import explode_samples, vcf_samples, vcf_variants
+from locusframe.sources.vcf import (
+    explode_samples,
+    read_vcf_lines,
+    read_vcf_regions,
+    vcf_index,
+    vcf_samples,
+    vcf_variants,
+)
 
 
 @dataclass
@@ -37,13 +45,32 @@ class Extraction:
     empty_regions: DataFrame
 
 
-def extract_regions(spark: SparkSession, vcf_path: str, regions: DataFrame, out: str) -> Extraction:
+def stored_index(spark: SparkSession, vcf_path: str, index_path: str) -> DataFrame:
+    """The slab index at ``index_path``, made there first if it is missing."""
+    try:
+        return spark.read.parquet(index_path)
+    except AnalysisException:
+        vcf_index(spark, vcf_path).write.parquet(index_path)
+        return spark.read.parquet(index_path)
+
+
+def extract_regions(
+    spark: SparkSession, vcf_path: str, regions: DataFrame, out: str, index_path: str | None = None
+) -> Extraction:
     """Variants of all regions in one pass over the VCF, stored by locus.
 
     Regions meet the packed variant rows, which are stored once and exploded
-    to samples afterwards. Missing or empty input fails.
+    to samples afterwards. With ``index_path``, only the slabs of
+    block-compressed files that meet a region are read. Missing or empty input
+    fails.
     """
-    lines = require_text_input(spark, vcf_path)
+
+    def read(session: SparkSession, path: str) -> DataFrame:
+        if index_path is None:
+            return read_vcf_lines(session, path)
+        return read_vcf_regions(session, path, regions, stored_index(session, path, index_path))
+
+    lines = require_text_input(spark, vcf_path, read)
     hits = materialize(region_interval_join(vcf_variants(lines), regions).drop("beg", "end", "info"), "region-hits")
     sites = hits.select("locus", "chrom", "pos", F.col("marker_id").alias("id"), "ref", "alt", "af")
     sites.write.partitionBy("locus").parquet(f"{out}/variants")
@@ -66,12 +93,14 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     Keys: datasets, phenotype_files, covariates_file, path_loci, path_vcf,
     path_workspace, thresholds, joint (phase and regression fitted together;
     true unless set to false), annotation_lookup (Parquet with chrom, pos,
-    allele, annotation; variants are annotated where it is given).
+    allele, annotation; variants are annotated where it is given), vcf_index
+    (place of the slab index of a block-compressed VCF; made if missing).
     """
     out = str(config["path_workspace"]).rstrip("/")
     limits = Thresholds.from_mapping(config.get("thresholds") or {})
     regions = scan_regions(spark, str(config["path_loci"]))
-    extracted = extract_regions(spark, str(config["path_vcf"]), regions, f"{out}/genotype")
+    index = optional_path(config.get("vcf_index"))
+    extracted = extract_regions(spark, str(config["path_vcf"]), regions, f"{out}/genotype", index)
     phenotypes = read_phenotypes(spark, str(config["datasets"]), str(config["phenotype_files"]))
     covariates = scan_covariates(spark, optional_path(config.get("covariates_file")))
     joint = str(config.get("joint", True)).lower() != "false"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,10 +16,12 @@ class EmptyInput(Exception):
     exit_code = 3
 
 
-def require_text_input(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of ``path``; raises MissingInput or EmptyInput."""
+def require_text_input(
+    spark: SparkSession, path: str, read: Callable[[SparkSession, str], DataFrame] | None = None
+) -> DataFrame:
+    """Lines of ``path``, by ``read`` if given; raises MissingInput or EmptyInput."""
     try:
-        lines = spark.read.text(path)
+        lines = spark.read.text(path) if read is None else read(spark, path)
     except AnalysisException as error:
         raise MissingInput(f"{path} does not exist or cannot be read") from error
     if lines.isEmpty():

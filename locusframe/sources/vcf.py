@@ -7,14 +7,68 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusframe.operators.variants import region_interval_join
 from locusframe.session import broadcast_if_small, materialize
+from locusframe.sources.blocks import SLAB_BYTES, read_lines, slab_lines, slabs_of, text_files
 
 _FIXED = 9  # CHROM POS ID REF ALT QUAL FILTER INFO FORMAT
 
 
-def read_vcf_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one or more VCF files as column ``value``."""
-    return spark.read.text(path)
+def read_vcf_lines(spark: SparkSession, path: str, slab_bytes: int = SLAB_BYTES) -> DataFrame:
+    """Lines of one or more VCF files as column ``value``: plain text, gzip, or
+    block-compressed (``bgzip``), which many tasks read."""
+    return read_lines(spark, path, slab_bytes)
+
+
+def vcf_index(spark: SparkSession, path: str, slab_bytes: int = SLAB_BYTES) -> DataFrame:
+    """What each slab of block-compressed files holds, in one pass: ``path``,
+    ``length``, ``slab``, ``slab_bytes``, ``chrom``, ``first`` and ``last``
+    position covered (END and REF included), ``n_records``. Header lines are
+    counted under a null ``chrom``. Write it beside the files once; files of
+    other kinds have no rows.
+    """
+    blocks, _ = text_files(spark, path)
+    lines = slab_lines(slabs_of(spark, blocks, slab_bytes))
+    head = lines.filter(F.startswith("value", F.lit("#"))).select(
+        "path", "slab", F.lit(None).cast("string").alias("chrom"), F.lit(None).cast("long").alias("pos"), F.lit(None).cast("long").alias("stop")
+    )
+    places = head.unionByName(vcf_variants(lines, "path", "slab").select("path", "slab", "chrom", "pos", "stop"))
+    covered = places.groupBy("path", "slab", "chrom").agg(
+        F.min("pos").alias("first"), F.max("stop").alias("last"), F.count("*").alias("n_records")
+    )
+    return covered.join(F.broadcast(spark.createDataFrame(blocks, "path string, length long")), "path").select(
+        "path", "length", "slab", F.lit(slab_bytes).cast("long").alias("slab_bytes"), "chrom", "first", "last", "n_records"
+    )
+
+
+def region_slabs(index: DataFrame, regions: DataFrame) -> DataFrame:
+    """Slabs of the index that hold header lines or a record that meets a
+    region: ``path``, ``slab``."""
+    spans = index.filter("chrom is not null").select("path", "slab", "chrom", F.col("first").alias("pos"), F.col("last").alias("stop"))
+    met = region_interval_join(spans, regions).select("path", "slab")
+    return met.unionByName(index.filter("chrom is null").select("path", "slab")).distinct()
+
+
+def read_vcf_regions(spark: SparkSession, path: str, regions: DataFrame, index: DataFrame) -> DataFrame:
+    """Lines as ``read_vcf_lines`` gives them, but of block-compressed files
+    only the slabs that may hold records of ``regions``. Files that are not in
+    the index, or have changed their size since, are read whole."""
+    blocks, others = text_files(spark, path)
+    known = {tuple(r) for r in index.select("path", "length").distinct().collect()}
+    sizes = [r[0] for r in index.select("slab_bytes").distinct().collect()]
+    if len(sizes) > 1:
+        raise ValueError("the index holds slabs of different sizes")
+    parts = []
+    indexed = [x for x in blocks if x in known]
+    if indexed:
+        wanted = materialize(region_slabs(index, regions), "slabs")
+        parts.append(slab_lines(slabs_of(spark, indexed, sizes[0]).join(wanted, ["path", "slab"], "left_semi")).select("value"))
+    rest = [*[p for p, n in blocks if (p, n) not in known], *others]
+    parts += [read_lines(spark, p) for p in rest]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def vcf_samples(lines: DataFrame) -> DataFrame:
@@ -33,8 +87,9 @@ def vcf_samples(lines: DataFrame) -> DataFrame:
     return materialize(one, "samples")
 
 
-def vcf_variants(lines: DataFrame) -> DataFrame:
-    """One row per variant record; sample fields stay one packed text.
+def vcf_variants(lines: DataFrame, *keep: str) -> DataFrame:
+    """One row per variant record; sample fields stay one packed text. Columns
+    named in ``keep`` go along.
 
     Only the leading fields are cut, so a region test costs nothing per
     sample. ``stop`` is the last position: END of INFO (symbolic alleles) or
@@ -42,11 +97,12 @@ def vcf_variants(lines: DataFrame) -> DataFrame:
     """
     lead = F.substring_index("value", "\t", _FIXED)
     records = lines.filter(~F.startswith(F.col("value"), F.lit("#"))).select(
-        F.split(lead, "\t").alias("f"), F.substr("value", F.length(lead) + 2).alias("samples")
+        *keep, F.split(lead, "\t").alias("f"), F.substr("value", F.length(lead) + 2).alias("samples")
     )
     info, pos = F.get("f", F.lit(7)), F.get("f", F.lit(1)).cast("bigint")
     end = F.regexp_extract(info, "(?:^|;)END=([0-9]+)", 1).try_cast("bigint")
     return records.select(
+        *keep,
         F.get("f", F.lit(0)).alias("chrom"),
         pos.alias("pos"),
         F.get("f", F.lit(2)).alias("marker_id"),
