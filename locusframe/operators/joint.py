@@ -2,15 +2,24 @@
 
 The posterior of a haplotype pair is taken proportional to its prior times
 the normal density of the trait given the pair (Lake et al. 2003, Hum.
-Hered. 55:56-65). Each round is one pass over the individuals: tasks weigh
-the pairs and emit sums of products, Spark adds them up, and one small solve
-per model follows. Models that have settled leave the loop. Standard errors
-come from Louis' information, which subtracts what the unknown phase hides.
+Hered. 55:56-65).
+
+Individuals are shuffled once: sorted by (group, genotype pattern) they are cut
+into blocks, one row each, that hold the traits and covariates of at most
+``BLOCK_ROWS`` individuals of one pattern and, once, the pattern's haplotype
+pairs. A round sends the models' coefficients and haplotype frequencies to the
+blocks as a broadcast; each task weighs the pairs of its blocks for all traits
+at once and emits one vector of sums per model, and one small solve per model
+follows. Nothing per individual moves or is sorted in a round. Models that have
+settled leave the loop; they go through it in lots whose state stays below
+``STATE_BYTES``. Standard errors come from Louis' information, which subtracts
+what the unknown phase hides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,9 +35,6 @@ from locusframe.operators.glm import (
     _finish_models,
     _intercept_shift,
     _join_subjects,
-    _rectangle,
-    _square,
-    _triangle,
     inverse_by_sweep,
     tidy_coefficients,
 )
@@ -38,13 +44,18 @@ MODEL = [*GROUP, "y_index"]
 _MODEL_DDL = f"{_GROUP_DDL}, y_index int"
 TOLERANCE = 1e-6
 MAX_ROUNDS = 200
-# Largest number of doubles of one block of scores.
+# Individuals of a block, and bytes of the models' state broadcast at a time.
+BLOCK_ROWS, STATE_BYTES = 2048, 32 * 1024 * 1024
+# Largest number of doubles of one array of weights or scores.
 _BLOCK = 4_000_000
+# Model groups whose sums one task holds before it hands them on.
+_HELD_GROUPS = 16
 
 
 def _pair_terms(fit: ModelFit) -> DataFrame:
-    """Pairs of each pattern with haplotype indexes and term positions; the
-    base has position 0."""
+    """The pairs of each pattern as arrays: haplotype indexes ``a1`` and ``a2``
+    and term positions ``t1`` and ``t2``; the base has position 0. Their
+    length is bounded by the trimming of pairs (1 / min_pp)."""
     position = fit.pooled.join(fit.terms.select(*GROUP, "term", "position"), [*GROUP, "term"], "left")
     named = position.select(
         *GROUP, "hap", F.col("hap_index").cast("int"), F.coalesce("position", F.lit(0)).alias("position")
@@ -57,224 +68,283 @@ def _pair_terms(fit: ModelFit) -> DataFrame:
             ),
             [*GROUP, f"h{side}"],
         )
-    return materialize(pairs, "pair-terms")
-
-
-def _priors(pairs: DataFrame, freqs: DataFrame) -> DataFrame:
-    """Per model and pattern: the pairs with both frequencies, as an array.
-    Its length is bounded by the trimming of pairs (1 / min_pp)."""
-    one = freqs.withColumnsRenamed({"hap_index": "a1", "f": "f1"})
-    two = freqs.withColumnsRenamed({"hap_index": "a2", "f": "f2"})
-    joined = pairs.join(one, [*GROUP, "a1"]).join(two, [*MODEL, "a2"])
-    return joined.groupBy(*MODEL, "pattern").agg(
-        F.collect_list(F.array(*[F.col(c).cast("double") for c in ("a1", "a2", "t1", "t2", "f1", "f2")])).alias("pairs")
-    )
-
-
-class _Block:
-    """Individuals of one model that share a genotype pattern."""
-
-    def __init__(self, rows: pd.DataFrame):
-        table = np.vstack(rows["pairs"].iloc[0])
-        beta = np.asarray(rows["beta"].iloc[0], dtype=float)
-        sigma2 = float(rows["sigma2"].iloc[0])
-        self.c = np.vstack(rows["c"])
-        self.y = rows["y"].to_numpy(float)
-        self.hap1, self.hap2 = table[:, 0].astype(int), table[:, 1].astype(int)
-        terms = len(beta) - self.c.shape[1]
-        self.h = np.zeros((len(table), terms))
-        self.h[:, 0] = 1.0
-        for t in (table[:, 2].astype(int), table[:, 3].astype(int)):
-            inside = t > 0
-            self.h[np.flatnonzero(inside), t[inside]] += 1.0
-        self.f1, self.f2 = table[:, 4], table[:, 5]
-        self.sigma2 = sigma2
-        fitted = (self.h @ beta[:terms])[None, :] + (self.c @ beta[terms:])[:, None]
-        self.residual = self.y[:, None] - fitted
-        ways = np.where(self.hap1 == self.hap2, 1.0, 2.0)
-        log_w = np.log(np.maximum(ways * self.f1 * self.f2, 1e-300))[None, :]
-        log_w = log_w - self.residual**2 / (2 * sigma2)
-        w = np.exp(log_w - log_w.max(axis=1, keepdims=True))
-        self.w = w / w.sum(axis=1, keepdims=True)
-
-    def products(self) -> tuple[np.ndarray, np.ndarray, float]:
-        """Weighted X'X, X'y and y'y."""
-        per_pair = self.w.sum(axis=0)
-        hh = (self.h * per_pair[:, None]).T @ self.h
-        hc = self.h.T @ (self.w.T @ self.c)
-        xx = np.block([[hh, hc], [hc.T, self.c.T @ self.c]])
-        xy = np.concatenate([self.h.T @ (self.w.T @ self.y), self.c.T @ self.y])
-        return xx, xy, float(self.y @ self.y)
-
-    def copies(self) -> tuple[np.ndarray, np.ndarray]:
-        per_pair = self.w.sum(axis=0)
-        return np.concatenate([self.hap1, self.hap2]), np.concatenate([per_pair, per_pair])
-
-    def information(self) -> tuple[np.ndarray, np.ndarray]:
-        """Observed information over [coefficients, haplotypes of the block]
-        and the haplotype indexes of the last part."""
-        haps, local = np.unique(np.concatenate([self.hap1, self.hap2]), return_inverse=True)
-        n_pairs, p = len(self.hap1), self.h.shape[1] + self.c.shape[1]
-        f = np.zeros(len(haps))
-        f[local] = np.concatenate([self.f1, self.f2])
-        counts = np.zeros((n_pairs, len(haps)))
-        for side in (local[:n_pairs], local[n_pairs:]):
-            counts[np.arange(n_pairs), side] += 1.0
-        total = np.zeros((p + len(haps), p + len(haps)))
-        total[:p, :p] = self.products()[0] / self.sigma2
-        total[range(p, len(total)), range(p, len(total))] = self.w.sum(axis=0) @ (counts / f**2)
-        if n_pairs == 1:
-            return total, haps
-        size = max(1, _BLOCK // (n_pairs * len(total)))
-        for at in range(0, len(self.y), size):
-            part = slice(at, at + size)
-            w, r, c = self.w[part], self.residual[part] / self.sigma2, self.c[part]
-            score = np.concatenate(
-                [
-                    r[:, :, None] * self.h[None, :, :],
-                    r[:, :, None] * c[:, None, :],
-                    np.broadcast_to(counts / f, (len(w), n_pairs, len(haps))),
-                ],
-                axis=2,
-            )
-            mean = (w[:, :, None] * score).sum(axis=1)
-            flat = (np.sqrt(w)[:, :, None] * score).reshape(-1, score.shape[2])
-            total -= flat.T @ flat - mean.T @ mean
-        return total, haps
+    parts = ("a1", "a2", "t1", "t2")
+    packed = pairs.groupBy(*GROUP, "pattern").agg(F.collect_list(F.struct(*parts)).alias("_p"))
+    return materialize(packed.select(*GROUP, "pattern", *[F.col(f"_p.{c}").alias(c) for c in parts]), "pair-terms")
+
+
+def _cut_blocks(size: int):
+    """Sorted individuals to block rows; ``y`` and ``c`` hold the values of one
+    individual after another."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, part in batch.groupby([*GROUP, "pattern"], sort=False):
+                for at in range(0, len(part), size):
+                    some = part.iloc[at : at + size]
+                    y, c = np.concatenate(some["y"].to_list()), np.concatenate(some["c"].to_list())
+                    rows.append([*key, len(some), y, c])
+            yield pd.DataFrame(rows, columns=[*GROUP, "pattern", "n", "y", "c"])
+
+    return cut
+
+
+def subject_blocks(genotypes: DataFrame, responses: Responses, fit: ModelFit, size: int = BLOCK_ROWS) -> DataFrame:
+    """Stored blocks: the only shuffle of individuals. A pattern that very many
+    share is spread over tasks, as the individual is part of the sort key."""
+    subjects = _join_subjects(genotypes, responses.rows).select(*GROUP, "pattern", "iid", "y", "c")
+    order = [*GROUP, "pattern", "iid"]
+    ranged = subjects.repartitionByRange(*order).sortWithinPartitions(*order).drop("iid")
+    blocks = ranged.mapInPandas(_cut_blocks(size), f"{_GROUP_DDL}, pattern string, n int, y array<double>, c array<double>")
+    return materialize(blocks.join(broadcast_if_small(_pair_terms(fit)), [*GROUP, "pattern"]), "joint-blocks")
+
+
+@dataclass
+class _Pairs:
+    """Pairs of a block: haplotypes, term counts and number of ways."""
+
+    a1: np.ndarray
+    a2: np.ndarray
+    h: np.ndarray
+    ways: np.ndarray
+
+
+def _pairs(row, terms: int) -> _Pairs:
+    a1, a2 = np.asarray(row.a1, dtype=int), np.asarray(row.a2, dtype=int)
+    h = np.zeros((len(a1), terms))
+    h[:, 0] = 1.0
+    for t in (np.asarray(row.t1, dtype=int), np.asarray(row.t2, dtype=int)):
+        inside = np.flatnonzero(t > 0)
+        h[inside, t[inside]] += 1.0
+    return _Pairs(a1, a2, h, np.where(a1 == a2, 1.0, 2.0))
+
+
+@dataclass
+class _Models:
+    """State of the models of one group: one row per trait in each array."""
+
+    y_index: np.ndarray
+    beta: np.ndarray
+    sigma2: np.ndarray
+    f: np.ndarray
+
+    @classmethod
+    def of(cls, models) -> "_Models":
+        return cls(
+            np.array([m["y_index"] for m in models], dtype=int),
+            np.array([m["beta"] for m in models], dtype=float),
+            np.array([m["sigma2"] for m in models], dtype=float),
+            np.array([m["f"] for m in models], dtype=float),
+        )
 
 
-def _blocks(batch: pd.DataFrame) -> Iterator[tuple[tuple, _Block]]:
-    for key, rows in batch.groupby([*MODEL, "pattern"], sort=False):
-        yield key[:-1], _Block(rows)
+def _values(row, models: _Models) -> tuple[np.ndarray, np.ndarray]:
+    """Traits of the models and covariates of a block's individuals."""
+    y = np.asarray(row.y, dtype=float).reshape(row.n, -1)[:, models.y_index]
+    return y, np.asarray(row.c, dtype=float).reshape(row.n, -1)
+
+
+def _weights(pairs: _Pairs, models: _Models, part: slice, y: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors and residuals by trait, individual and pair."""
+    beta, f = models.beta[part], models.f[part]
+    m = pairs.h.shape[1]
+    offset = (y[:, part] - c @ beta[:, m:].T).T
+    residual = offset[:, :, None] - (beta[:, :m] @ pairs.h.T)[:, None, :]
+    prior = np.log(np.maximum(pairs.ways * f[:, pairs.a1 - 1] * f[:, pairs.a2 - 1], 1e-300))
+    log_w = prior[:, None, :] - residual**2 / (2 * models.sigma2[part])[:, None, None]
+    w = np.exp(log_w - log_w.max(axis=2, keepdims=True))
+    return w / w.sum(axis=2, keepdims=True), residual
+
+
+def _block_sums(row, models: _Models) -> np.ndarray:
+    """One vector per trait: weighted X'X, X'y, y'y and haplotype copies."""
+    y, c = _values(row, models)
+    traits, p = models.beta.shape
+    pairs = _pairs(row, p - c.shape[1])
+    m, n_haps = pairs.h.shape[1], models.f.shape[1]
+    out = np.zeros((traits, p * p + p + 1 + n_haps))
+    step = max(1, _BLOCK // (len(y) * len(pairs.a1)))
+    for at in range(0, traits, step):
+        part = slice(at, at + step)
+        w, _ = _weights(pairs, models, part, y, c)
+        per_pair = w.sum(axis=1)
+        xx = np.empty((len(w), p, p))
+        xx[:, :m, :m] = np.matmul(pairs.h.T, per_pair[:, :, None] * pairs.h)
+        xx[:, :m, m:] = np.matmul(pairs.h.T, np.matmul(w.transpose(0, 2, 1), c))
+        xx[:, m:, :m] = xx[:, :m, m:].transpose(0, 2, 1)
+        xx[:, m:, m:] = c.T @ c
+        weighed = np.matmul(y[:, part].T[:, None, :], w)[:, 0, :]
+        copies = np.zeros((n_haps, len(w)))
+        np.add.at(copies, pairs.a1 - 1, per_pair.T)
+        np.add.at(copies, pairs.a2 - 1, per_pair.T)
+        out[part, : p * p] = xx.reshape(len(w), -1)
+        out[part, p * p : p * p + m] = weighed @ pairs.h
+        out[part, p * p + m : p * p + p] = (c.T @ y[:, part]).T
+        out[part, p * p + p] = (y[:, part] ** 2).sum(axis=0)
+        out[part, p * p + p + 1 :] = copies.T
+    return out
 
 
 def _round_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Weighted sums of products and expected haplotype copies."""
-    for batch in batches:
-        held: dict[tuple, list] = {}
-        for key, block in _blocks(batch):
-            xx, xy, yy = block.products()
-            haps, copies = block.copies()
-            if key not in held:
-                held[key] = [xx, xy, yy, [haps], [copies]]
-                continue
-            sums = held[key]
-            sums[0], sums[1], sums[2] = sums[0] + xx, sums[1] + xy, sums[2] + yy
-            sums[3].append(haps)
-            sums[4].append(copies)
-        for key, (xx, xy, yy, haps, copies) in held.items():
-            added = np.bincount(np.concatenate(haps), np.concatenate(copies))
-            seen = np.flatnonzero(added)
-            parts = [
-                _triangle("xx", xx),
-                _rectangle("xy", xy[:, None]),
-                (np.array(["yy"]), np.array([0]), np.array([0]), np.array([yy])),
-                (np.full(len(seen), "hh"), seen, np.zeros(len(seen), int), added[seen]),
-            ]
-            yield _cell_frame(MODEL, key, parts)
+    """Sums of the blocks of a task, one row per model."""
+    held: dict[tuple, list] = {}
 
+    def release() -> Iterator[pd.DataFrame]:
+        for key, (models, sums) in held.items():
+            rows = [[*key, int(y), s, b] for y, s, b in zip(models.y_index, sums, models.beta)]
+            yield pd.DataFrame(rows, columns=[*MODEL, "sums", "old"])
+        held.clear()
 
-def _information_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Information cells; haplotype rows are numbered -index."""
     for batch in batches:
-        for key, block in _blocks(batch):
-            total, haps = block.information()
-            p = len(total) - len(haps)
-            index = np.concatenate([np.arange(p), -haps])
-            i, j = np.triu_indices(len(total))
-            parts = [(np.full(len(i), "info"), index[i], index[j], total[i, j])]
-            yield _cell_frame(MODEL, key, parts)
-
-
-_CELL_DDL = f"{_MODEL_DDL}, kind string, i int, j int, s double"
+        for row in batch.itertuples(index=False):
+            key = tuple(getattr(row, c) for c in GROUP)
+            if key not in held:
+                if len(held) >= _HELD_GROUPS:
+                    yield from release()
+                held[key] = [_Models.of(row.models), 0.0]
+            held[key][1] = held[key][1] + _block_sums(row, held[key][0])
+    yield from release()
 
 
-def _sum_cells(rows: DataFrame, emit) -> DataFrame:
-    cells = rows.mapInPandas(emit, _CELL_DDL)
-    return cells.groupBy(*MODEL, "kind", "i", "j").agg(F.sum("s").alias("s"))
+_STATE = f"{_MODEL_DDL}, n double, rank int, beta array<double>, sigma2 double, f array<double>, settled boolean"
 
 
-def _solve(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-    """Coefficients, dispersion and scale of one model from its sums."""
-    xx = _square(cells[cells["kind"] == "xx"])
-    xy = cells[cells["kind"] == "xy"].sort_values("i")["s"].to_numpy()
-    yy = float(cells.loc[cells["kind"] == "yy", "s"].iloc[0])
+def _solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """New state of one model from the sums of the tasks."""
+    sums, old = np.sum(rows["sums"].to_list(), axis=0), np.asarray(rows["old"].iloc[0])
+    p = len(old)
+    xx, xy, yy = sums[: p * p].reshape(p, p), sums[p * p : p * p + p], sums[p * p + p]
     inverse, used = inverse_by_sweep(xx)
     beta = inverse @ xy
     n, rank = xx[0, 0], int(used.sum())
-    sigma2 = (yy - beta @ xy) / (n - rank)
+    sigma2 = max((yy - beta @ xy) / (n - rank), 1e-300)
     scale = np.sqrt(sigma2 * np.diag(inverse))
-    return pd.DataFrame(
-        [[*key, n, rank, beta, max(sigma2, 1e-300), scale]],
-        columns=[*MODEL, "n", "rank", "beta", "sigma2", "scale"],
-    )
+    change = (np.abs(beta - old) / (np.abs(beta) + scale + 1e-300)).max()
+    row = [*key, n, rank, beta, sigma2, sums[p * p + p + 1 :] / (2 * n), bool(change < TOLERANCE)]
+    return pd.DataFrame([row], columns=[*MODEL, "n", "rank", "beta", "sigma2", "f", "settled"])
+
+
+def _with_models(blocks: DataFrame, state: DataFrame) -> DataFrame:
+    """Blocks beside the state of their group's models, which is broadcast: a
+    lot is formed so that it fits."""
+    packed = state.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.struct("y_index", "beta", "sigma2", "f"))).alias("models"))
+    return blocks.join(F.broadcast(packed), GROUP)
 
 
-def _weighed(rows: DataFrame, pairs: DataFrame, state: DataFrame, freqs: DataFrame) -> DataFrame:
-    """Individuals with the pairs of their pattern and their model's state."""
-    priors = broadcast_if_small(_priors(pairs, freqs))
-    current = broadcast_if_small(state.select(*MODEL, "beta", "sigma2"))
-    return rows.join(priors, [*MODEL, "pattern"]).join(current, MODEL).sortWithinPartitions(*MODEL, "pattern")
+def _lots(state: DataFrame, state_bytes: int) -> tuple[DataFrame, int]:
+    """``state`` with ``lot``, and the number of lots: models, dealt by hash,
+    whose state stays near ``state_bytes`` together."""
+    size = state.agg(F.sum(8 * (F.size("beta") + F.size("f")) + 64)).first()[0] or 0
+    lots = max(1, -(-int(size) // state_bytes))
+    return state.withColumn("lot", F.pmod(F.xxhash64(*MODEL), F.lit(lots))), lots
 
 
-def fit_joint(genotypes: DataFrame, responses: Responses, fit: ModelFit) -> DataFrame:
+def _settled(blocks: DataFrame, state: DataFrame) -> DataFrame:
+    """Rounds over one lot until every model has settled."""
+    done: list[DataFrame] = []
+    for _ in range(MAX_ROUNDS):
+        sums = _with_models(blocks, state).mapInPandas(_round_sums, f"{_MODEL_DDL}, sums array<double>, old array<double>")
+        moved = materialize(sums.groupBy(*MODEL).applyInPandas(_solve, _STATE), "joint-state")
+        done.append(moved.filter("settled"))
+        state = moved.filter("not settled")
+        if state.isEmpty():
+            out = done[0]
+            for part in done[1:]:
+                out = out.unionByName(part)
+            return out.drop("settled")
+    raise RuntimeError("joint fit did not settle")
+
+
+def fit_joint(
+    genotypes: DataFrame,
+    responses: Responses,
+    fit: ModelFit,
+    block_rows: int = BLOCK_ROWS,
+    state_bytes: int = STATE_BYTES,
+) -> DataFrame:
     """Coefficients of the joint fit, started from ``fit``."""
-    rows = materialize(
-        _join_subjects(genotypes, responses.rows).select(
-            *GROUP, "pattern", "c", F.posexplode("y").alias("y_index", "y")
-        ),
-        "joint-rows",
-    )
-    pairs = _pair_terms(fit)
+    blocks = subject_blocks(genotypes, responses, fit, block_rows)
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("hap_index").cast("int").alias("i"), F.col("freq").alias("f"))))
+    freqs = fit.pooled.groupBy(*GROUP).agg(ordered.alias("_f")).select(*GROUP, F.col("_f.f").alias("f"))
     state = fit.models.select(
         *MODEL, F.col("centred").alias("beta"), (F.col("rss") / F.col("df_residual")).alias("sigma2")
-    )
-    freqs = fit.models.select(*MODEL).join(
-        fit.pooled.select(*GROUP, F.col("hap_index").cast("int"), F.col("freq").alias("f")), GROUP
-    )
-    state, freqs = materialize(state, "state"), materialize(freqs, "joint-freqs")
-    done_state: DataFrame | None = None
-    done_freqs: DataFrame | None = None
-    solved_ddl = (
-        f"{_MODEL_DDL}, n double, rank int, beta array<double>, sigma2 double, scale array<double>"
-    )
-    for _ in range(MAX_ROUNDS):
-        cells = materialize(_sum_cells(_weighed(rows, pairs, state, freqs), _round_sums), "joint-cells")
-        solved = cells.filter(F.col("kind") != "hh").groupBy(*MODEL).applyInPandas(_solve, solved_ddl)
-        change = F.array_max(
-            F.transform(
-                F.arrays_zip("beta", "scale", F.col("old").alias("old")),
-                lambda z: F.abs(z["beta"] - z["old"]) / (F.abs(z["beta"]) + z["scale"] + 1e-300),
-            )
-        )
-        moved = materialize(
-            solved.join(state.select(*MODEL, F.col("beta").alias("old")), MODEL)
-            .withColumn("settled", change < TOLERANCE).drop("old"),
-            "state",
-        )
-        total = moved.select(*MODEL, "n", "settled")
-        new_freqs = materialize(
-            cells.filter(F.col("kind") == "hh").join(total, MODEL).select(
-                *MODEL, F.col("i").alias("hap_index"), (F.col("s") / (2 * F.col("n"))).alias("f"), "settled"
-            ),
-            "joint-freqs",
+    ).join(freqs, GROUP)
+    state, lots = _lots(materialize(state, "state"), state_bytes)
+    found, spread = [], []
+    for lot in range(lots):
+        settled = materialize(_settled(blocks, state.filter(F.col("lot") == lot).drop("lot")), "joint-models")
+        found.append(settled)
+        spread.append(_with_models(blocks, settled).mapInPandas(_information_cells, _CELL_DDL))
+    for more, cells in zip(found[1:], spread[1:]):
+        found[0], spread[0] = found[0].unionByName(more), spread[0].unionByName(cells)
+    summed = spread[0].groupBy(*MODEL, "kind", "i", "j").agg(F.sum("s").alias("s"))
+    return _louis(summed, found[0], responses, fit)
+
+
+def _information(pairs: _Pairs, models: _Models, t: int, y: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Observed information of trait ``t`` over [coefficients, haplotypes of the
+    block], and the haplotype indexes of the last part."""
+    part, sigma2 = slice(t, t + 1), models.sigma2[t]
+    w, residual = (x[0] for x in _weights(pairs, models, part, y, c))
+    haps, local = np.unique(np.concatenate([pairs.a1, pairs.a2]), return_inverse=True)
+    n_pairs, m = pairs.h.shape
+    p = m + c.shape[1]
+    f = models.f[t][haps - 1]
+    counts = np.zeros((n_pairs, len(haps)))
+    for side in (local[:n_pairs], local[n_pairs:]):
+        counts[np.arange(n_pairs), side] += 1.0
+    per_pair = w.sum(axis=0)
+    total = np.zeros((p + len(haps), p + len(haps)))
+    total[:m, :m] = (pairs.h * per_pair[:, None]).T @ pairs.h
+    total[:m, m:p] = pairs.h.T @ (w.T @ c)
+    total[m:p, :m] = total[:m, m:p].T
+    total[m:p, m:p] = c.T @ c
+    total[:p, :p] /= sigma2
+    total[range(p, len(total)), range(p, len(total))] = per_pair @ (counts / f**2)
+    if n_pairs == 1:
+        return total, haps
+    size = max(1, _BLOCK // (n_pairs * len(total)))
+    for at in range(0, len(y), size):
+        some = slice(at, at + size)
+        v, r, cs = w[some], residual[some] / sigma2, c[some]
+        score = np.concatenate(
+            [
+                r[:, :, None] * pairs.h[None, :, :],
+                r[:, :, None] * cs[:, None, :],
+                np.broadcast_to(counts / f, (len(v), n_pairs, len(haps))),
+            ],
+            axis=2,
         )
-        ready, ready_freqs = moved.filter("settled"), new_freqs.filter("settled").drop("settled")
-        done_state = ready if done_state is None else done_state.unionByName(ready)
-        done_freqs = ready_freqs if done_freqs is None else done_freqs.unionByName(ready_freqs)
-        state, freqs = moved.filter("not settled"), new_freqs.filter("not settled").drop("settled")
-        if state.isEmpty():
-            break
-    else:
-        raise RuntimeError("joint fit did not settle")
-    return _louis(rows, pairs, done_state, done_freqs, responses, fit)
+        mean = (v[:, :, None] * score).sum(axis=1)
+        flat = (np.sqrt(v)[:, :, None] * score).reshape(-1, score.shape[2])
+        total -= flat.T @ flat - mean.T @ mean
+    return total, haps
 
 
-def _louis(
-    rows: DataFrame, pairs: DataFrame, state: DataFrame, freqs: DataFrame, responses: Responses, fit: ModelFit
-) -> DataFrame:
+def _information_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Information cells of a batch of blocks; haplotype rows are numbered
+    -index."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            models = _Models.of(row.models)
+            y, c = _values(row, models)
+            pairs = _pairs(row, models.beta.shape[1] - c.shape[1])
+            for t, y_index in enumerate(models.y_index):
+                total, haps = _information(pairs, models, t, y, c)
+                p = len(total) - len(haps)
+                index = np.concatenate([np.arange(p), -haps])
+                i, j = np.triu_indices(len(total))
+                key = (*[getattr(row, g) for g in GROUP], int(y_index))
+                yield _cell_frame(MODEL, key, [(np.full(len(i), "info"), index[i], index[j], total[i, j])])
+
+
+_CELL_DDL = f"{_MODEL_DDL}, kind string, i int, j int, s double"
+
+
+def _louis(cells: DataFrame, state: DataFrame, responses: Responses, fit: ModelFit) -> DataFrame:
+    """Coefficients with standard errors from the summed information."""
     means = responses.means
-    cells = _sum_cells(_weighed(rows, pairs, state, freqs), _information_cells)
 
     def variances(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         p = int(part["i"].max()) + 1

@@ -248,3 +248,33 @@ def test_joint_fit_equals_plain_implementation(spark, fitted):
     se = np.sqrt(np.diag(np.linalg.inv(-hessian)))
     for k, name in enumerate(names[1:], start=1):
         assert got[name].std_error == pytest.approx(se[k], rel=2e-2)
+
+
+def test_joint_fit_does_not_depend_on_blocks_or_lots(spark, fitted):
+    _, _, _, g, responses, fit = fitted
+    one = joint.fit_joint(g, responses, fit).collect()
+    blocks = joint.subject_blocks(g, responses, fit, 3)
+    assert blocks.agg(F.max("n")).first()[0] == 3
+    assert blocks.agg(F.sum("n")).first()[0] == g.join(responses.rows, "iid").count()
+    state, lots = joint._lots(fit.models.select(*joint.MODEL, F.col("centred").alias("beta"), F.col("centred").alias("f")), 300)
+    assert lots > 2 and state.select("lot").distinct().count() > 1
+    many = joint.fit_joint(g, responses, fit, block_rows=3, state_bytes=300).collect()
+    key = lambda r: (r.locus, r.dataset, r.trait_name, r.term)
+    other = {key(r): r for r in many}
+    assert len(one) == len(many) == len(other)
+    for row in one:
+        assert other[key(row)].estimate == pytest.approx(row.estimate, rel=1e-7)
+        assert other[key(row)].std_error == pytest.approx(row.std_error, rel=1e-6)
+
+
+def test_a_round_moves_no_individuals(spark, fitted):
+    _, _, _, g, responses, fit = fitted
+    blocks = joint.subject_blocks(g, responses, fit)
+    state = fit.models.select(*joint.MODEL, F.col("centred").alias("beta"), F.col("rss").alias("sigma2"), F.col("centred").alias("f"))
+    plan = joint._with_models(blocks, state)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Sort" not in plan
+    sums = joint._with_models(blocks, state).mapInPandas(joint._round_sums, f"{joint._MODEL_DDL}, sums array<double>, old array<double>")
+    text = sums.groupBy(*joint.MODEL).count()._jdf.queryExecution().executedPlan().toString()
+    # Between the blocks and the sums there is a broadcast only.
+    below = text[text.index("MapInPandas"):]
+    assert "BroadcastHashJoin" in below and "SortMergeJoin" not in below
