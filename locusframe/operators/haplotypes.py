@@ -10,12 +10,10 @@ together as ordinary key columns, one Spark job per batch. Within a batch
 
 * a group of at most ``GROUP_ROWS`` pair rows iterates inside one task, so
   thousands of loci run side by side without a shuffle per iteration;
-* a larger group iterates as Spark joins and sums: one join with the
-  haplotype frequencies, two window sums inside the pattern partitioning and
-  one small shuffle by haplotype per step.
+* a larger group is shuffled once into blocks of patterns; a step sends the
+  frequencies to the blocks and sums up haplotype copies (``em_blocks``).
 
-Both ways compute the same numbers. The driver sees row counts and the
-largest change of a round only.
+Both ways compute the same numbers. The driver sees row counts only.
 
 A haplotype is a string of allele codes, one character per site: 1 = REF,
 2 = ALT. Genotype patterns hold 0/1/2 copies of ALT, ``.`` for missing.
@@ -33,16 +31,14 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from locusframe.config import Thresholds
 from locusframe.functions.labels import pad_haplotype_label
-from locusframe.session import BROADCAST_LIMIT, broadcast_if_small, materialize, small_side
+from locusframe.operators.em_blocks import STEPS_PER_ROUND, expected_copies, posteriors, settle_blocks, trimmed
+from locusframe.session import broadcast_if_small, materialize
 
 SEED = 777
 TOLERANCE = 1e-7
-STEPS_PER_ROUND = 5
 MAX_ROUNDS = 1000
 # Largest number of pair rows of a group that one task takes.
 GROUP_ROWS = 200_000
-# Pairs this near to a pattern's best are as good as it.
-TIE = 1e-9
 # Attempts within this of the best log-likelihood are as good as it.
 CLOSE = 1e-4
 
@@ -144,99 +140,6 @@ def _frequencies(pairs: DataFrame, group: list[str], totals: DataFrame) -> DataF
     return copies.join(totals, group).select(*group, "h", (F.col("c") / (2 * F.col("_total"))).alias("f"))
 
 
-def _posterior(sides: DataFrame, freqs: DataFrame, group: list[str]) -> DataFrame:
-    """E step on the side rows: log pair weight, its pattern sum, posterior."""
-    pair = Window.partitionBy(*group, "pattern", "pair")
-    within = Window.partitionBy(*group, "pattern")
-    log_f = F.log(F.greatest("f", F.lit(1e-300)))
-    # A pair of two different haplotypes can arise in two ways.
-    weight = F.exp(F.col("_log")) * F.when(F.col("copies") == 1, 2.0).otherwise(1.0)
-    # Each pair has 2 / copies side rows.
-    return (
-        sides.join(freqs, [*group, "h"])
-        .withColumn("_log", F.sum(F.col("copies") * log_f).over(pair))
-        .withColumn("_w", weight)
-        .withColumn("_sum", F.sum(F.col("_w") * F.col("copies") / 2).over(within))
-        .withColumn("post", F.when(F.col("_sum") > 0, F.col("_w") / F.col("_sum")).otherwise(F.lit(0.0)))
-    )
-
-
-def _em_step(sides: DataFrame, freqs: DataFrame, group: list[str]) -> DataFrame:
-    """One EM step: new frequencies with the previous ones beside them."""
-    return (
-        _posterior(sides, freqs.select(*group, "h", "f", "_total"), group)
-        .groupBy(*group, "h")
-        .agg(
-            (F.sum(F.col("n") * F.col("post") * F.col("copies")) / (2 * F.first("_total"))).alias("_new"),
-            F.first("f").alias("f_old"),
-            F.first("_total").alias("_total"),
-        )
-        .withColumnRenamed("_new", "f")
-    )
-
-
-def _run_em(pairs: DataFrame, group: list[str], max_haps: float) -> DataFrame:
-    """Frequencies at convergence for every group."""
-    spark = pairs.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(1, min(most, pairs.count() // 50_000))
-    by_pattern = [*group, "pattern"]
-    sides = (
-        _sides(pairs, [*by_pattern, "pair", "n"])
-        .repartition(partitions, *by_pattern)
-        .sortWithinPartitions(*by_pattern, "pair")
-        .persist()
-    )
-    totals = small_side(_totals(pairs, group), "totals")
-    size = Observation()
-    start = _frequencies(pairs, group, totals).join(totals, group)
-    start = start.observe(size, F.count("*").alias("rows"), F.max(F.length("h")).alias("length"))
-    freqs = materialize(start, "freqs")
-    seen = size.get
-    most_haps = freqs.groupBy(*group).count().agg(F.max("count")).first()[0]
-    if most_haps > max_haps:
-        raise ValueError(f"{most_haps} candidate haplotypes in one group exceed {max_haps:g}")
-    # The haplotype set is fixed from here on, so its size is known.
-    small = seen["rows"] * (seen["length"] + 16 * len(group) + 64) <= BROADCAST_LIMIT
-    done: DataFrame | None = None
-    for _ in range(MAX_ROUNDS):
-        for _ in range(STEPS_PER_ROUND):
-            freqs = _em_step(sides, F.broadcast(freqs) if small else freqs, group)
-        freqs = materialize(freqs, "freqs")
-        worst = freqs.groupBy(*group).agg(F.max(F.abs(F.col("f") - F.col("f_old"))).alias("_worst"))
-        worst = small_side(worst, "worst")
-        judged = freqs.join(worst, group)
-        settled = judged.filter(F.col("_worst") < TOLERANCE).select(*group, "h", "f")
-        done = settled if done is None else done.unionByName(settled)
-        if worst.filter(F.col("_worst") >= TOLERANCE).isEmpty():
-            sides.unpersist()
-            return done
-        # Settled groups leave: the inner join with freqs drops their pairs.
-        freqs = judged.filter(F.col("_worst") >= TOLERANCE).drop("_worst")
-    raise RuntimeError("haplotype frequencies did not settle")
-
-
-def _trim(pairs: DataFrame, freqs: DataFrame, group: list[str], min_pp: float) -> DataFrame:
-    """Posteriors under ``freqs``; pairs below ``min_pp`` go, the rest is
-    normalised again. A pattern whose pairs all fall below keeps its best ones,
-    so no individual is lost. ``_sum`` is the likelihood of the pattern."""
-    one = freqs.select(*group, F.col("h").alias("h1"), F.col("f").alias("_f1"))
-    two = freqs.select(*group, F.col("h").alias("h2"), F.col("f").alias("_f2"))
-    within = Window.partitionBy(*group, "pattern")
-    weight = F.col("_f1") * F.col("_f2") * F.when(F.col("h1") != F.col("h2"), 2.0).otherwise(1.0)
-    scored = (
-        pairs.drop("post").join(one, [*group, "h1"]).join(two, [*group, "h2"])
-        .withColumn("_w", weight)
-        .withColumn("_sum", F.sum("_w").over(within))
-        .withColumn("post", F.col("_w") / F.col("_sum"))
-        .withColumn("_best", F.max("post").over(within))
-        .filter(F.col("post") >= F.least(F.lit(min_pp), F.col("_best") * (1 - TIE)))
-    )
-    return scored.withColumn("post", F.col("post") / F.sum("post").over(within)).select(
-        *group, "pattern", "n", "h1", "h2", "post", "_sum"
-    )
-
-
 def _settle_group(max_haps: float, min_pp: float):
     """Grouped-map function: EM to convergence, posteriors, trimming."""
 
@@ -246,32 +149,22 @@ def _settle_group(max_haps: float, min_pp: float):
         if len(names) > max_haps:
             raise ValueError(f"{len(names)} candidate haplotypes in one group exceed {max_haps:g}")
         a, b = hap[: len(rows)], hap[len(rows):]
-        ways = np.where(a == b, 1.0, 2.0)
         n = rows["n"].to_numpy(float)
         post = rows["post"].to_numpy(float)
         post = post / np.bincount(pattern, post)[pattern]
         copies = 2.0 * (n / np.bincount(pattern)[pattern]).sum()
         f_old = np.zeros(len(names))
         for step in range(MAX_ROUNDS * STEPS_PER_ROUND + 1):
-            load = n * post
-            f = (np.bincount(a, load, len(names)) + np.bincount(b, load, len(names))) / copies
-            weight = f[a] * f[b] * ways
-            like = np.bincount(pattern, weight)
-            post = weight / np.maximum(like, 1e-300)[pattern]
-            # Tested where the steps on Spark are tested: after each round.
+            f = expected_copies(a, b, n * post, len(names)) / copies
+            post, like = posteriors(f, a, b, pattern)
+            # Tested where the steps on blocks are tested: after each round.
             if step and step % STEPS_PER_ROUND == 0 and np.abs(f - f_old).max() < TOLERANCE:
                 break
             f_old = f
         else:
             raise RuntimeError("haplotype frequencies did not settle")
-        best = np.zeros(pattern.max() + 1)
-        np.maximum.at(best, pattern, post)
-        keep = post >= np.minimum(min_pp, best * (1 - TIE))[pattern]
-        kept = np.where(keep, post, 0.0)
-        out = rows.drop(columns="post").assign(
-            post=kept / np.bincount(pattern, kept)[pattern], _sum=like[pattern]
-        )
-        return out[keep]
+        keep, post = trimmed(post, pattern, min_pp)
+        return rows.drop(columns="post")[keep].assign(post=post, _sum=like[pattern[keep]])
 
     return settle
 
@@ -293,12 +186,8 @@ def _settle(
     )
     if wide.isEmpty():
         return small
-    within = Window.partitionBy(*group, "pattern")
-    large = grown.join(wide, group, "left_semi").withColumn(
-        "post", F.col("post") / F.sum("post").over(within)
-    )
-    freqs = _run_em(large, group, limits.max_haps)
-    return small.unionByName(_trim(large.drop("pair"), freqs, group, limits.min_pp))
+    large = grown.select(*fields).join(wide, group, "left_semi")
+    return small.unionByName(settle_blocks(large, group, limits, schema, TOLERANCE, MAX_ROUNDS))
 
 
 def em_haplotypes(
