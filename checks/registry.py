@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import q_haplotypes, q_relational, q_sources
+from checks import q_haplotypes, q_phase, q_relational, q_sources
 
-QUERIES = {**q_sources.Q, **q_relational.Q, **q_haplotypes.Q}
-ORACLE = {**q_sources.SQL, **q_relational.SQL, **q_haplotypes.SQL}
+QUERIES = {**q_sources.Q, **q_relational.Q, **q_haplotypes.Q, **q_phase.Q}
+ORACLE = {**q_sources.SQL, **q_relational.SQL, **q_haplotypes.SQL, **q_phase.SQL}
