@@ -23,10 +23,10 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def phenotypes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Two datasets of two traits each."""
+    """Two datasets of two traits each, whose order is not that of their names."""
     wide = v_traits(spark, sf_dir)
     return {
-        DATASETS[0]: wide.select("iid", "acct_bal", "order_total"),
+        DATASETS[0]: wide.select("iid", "order_total", "acct_bal"),
         DATASETS[1]: wide.select("iid", "order_count", "founder_score"),
     }
 

@@ -149,6 +149,11 @@ def _model_ctes() -> list[tuple[str, str]]:
     return ctes
 
 
+#: The first trait of a dataset, by its place in the phenotype table.
+FIRST_TRAIT = """(SELECT arg_min(o.trait_name, o.place) FROM (VALUES ('clinical', 'order_total', 0), ('clinical', 'acct_bal', 1),
+    ('proteomics', 'order_count', 0), ('proteomics', 'founder_score', 1)) o(dataset, trait_name, place)
+    WHERE o.dataset = h.dataset)"""
+
 _MEMBERS = ("members", """SELECT p.* FROM pats p JOIN v_traits t ON p.iid = t.iid
     JOIN v_covariates c ON p.iid = c.iid""")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.common import LIMITS, association, rounded
-from checks.haplo_sql import ASSOCIATION_CTES, EM_SQL, HAPLOTYPES_ONLY, PATTERN_CTE
+from checks.haplo_sql import ASSOCIATION_CTES, EM_SQL, FIRST_TRAIT, HAPLOTYPES_ONLY, PATTERN_CTE
 from checks.q_relational import CLEAN_SQL
 from checks.q_sources import MERGED_CTE as MERGED_SQL
 from checks.q_sources import merged
@@ -24,9 +24,8 @@ from locusframe.functions import genotype
 from locusframe.operators import annotate, display, glm, haplotypes, joint, reshape, results
 from locusframe.operators.haplotypes import HaplotypeFit
 from locusframe.plans.association import kept_sites
-from locusframe.plans.report import report_sections
+from locusframe.plans.report import read_report, report_sections, report_table, write_report
 from locusframe.session import materialize, new_path
-from locusframe.sinks.tables import write_report
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -334,7 +333,7 @@ _CELLS = [
     ("shown", """SELECT h.locus, h.dataset, h.trait_name, d.haplo AS haplotype, h.hap_pos, h.alleles
         FROM haps h JOIN dict d ON h.locus = d.locus AND h.dataset = d.dataset AND h.trait_name = d.trait_name
          AND h.haplotype = d.haplotype
-        WHERE h.trait_name = (SELECT min(x.trait_name) FROM haps x WHERE x.dataset = h.dataset)"""),
+        WHERE h.trait_name = """ + FIRST_TRAIT),
     ("unpivoted", """SELECT s.locus, s.dataset, s.trait_name, s.haplotype, s.hap_pos, t.snp_id, t.snpid, t.site_index,
         CAST(substr(s.alleles, CAST(t.site_index AS INT) + 1, 1) AS INT) AS code FROM shown s JOIN sites t ON s.locus = t.locus"""),
     ("annot", _ANNOT),
@@ -414,7 +413,7 @@ _CELL_SQL = "locus, dataset, trait_name, haplotype, snp_id"
 
 @query(HAPLOTYPES_ONLY + """
     SELECT locus, dataset, trait_name, haplotype, alleles FROM haps h
-    WHERE trait_name = (SELECT min(x.trait_name) FROM haps x WHERE x.dataset = h.dataset)""")
+    WHERE trait_name = """ + FIRST_TRAIT)
 def first_trait(spark, sf_dir):
     return display.first_trait(_haps(spark, sf_dir)).select(
         "locus", "dataset", "trait_name", "haplotype", "alleles"
@@ -522,25 +521,66 @@ def is_snp(spark, sf_dir):
 # -- report ------------------------------------------------------------------
 
 
+def _number(name: str, value: str) -> str:
+    return f"'{name}=' || CAST(round({value}, 3) AS DECIMAL(18, 3))"
+
+
+def _listed(*parts: str) -> str:
+    """Parts that may be null, joined by ``;``."""
+    return "array_to_string(list_filter([" + ", ".join(parts) + "], lambda x: x IS NOT NULL), ';')"
+
+
+_SHOWN_LABELS = _listed(*[f"'{c}=' || {x}" for c, x in (
+    ("allele", "allele"), ("haplotype", "haplotype"), ("snp_id", "snp_id"), ("true_allele", "true_allele"),
+    ("variant", "variant"), ("xlab_annot", "xlab_annot"))])
+_SHOWN_NUMBERS = _listed(*[_number(c, x) for c, x in (
+    ("af", "nf"), ("code", "code"), ("hap_pos", "hap_pos"), ("n_allele", "n_allele"), ("xlab_rank", "xlab_rank"))])
+
+
 def _report_sql() -> str:
-    """Row counts of every section, each from its own members above."""
+    """Every row of every section, from the members above."""
+    display = f"SELECT '{{0}}' AS section, locus, dataset, {_SHOWN_LABELS} AS labels, {_SHOWN_NUMBERS} AS numbers FROM placed"
+    effect = "'estimate=' || CAST(round(estimate, 3) AS DECIMAL(18, 3))"
+    more = [_number("log10_p", "log_p"), _number("std_error", "std_error")]
     extra = [
         ("v_transcripts", VIEW_SQL["v_transcripts"]), *SUMMARY_PARTS, *_CELLS, ("merged_rows", MERGED_SQL),
         ("folded", """SELECT locus, CASE WHEN af <= 0.5 THEN af ELSE 1 - af END AS afc FROM v_frequencies"""),
         ("spans", "SELECT locus, min(afc) AS lo, (max(afc) - min(afc)) / 29 AS w FROM folded GROUP BY locus"),
+        ("bins", """SELECT f.locus, least(greatest(ceil((afc - lo) / w + 0.5 - 1e-8), 1), 30) AS bin, count(*) AS n
+            FROM folded f JOIN spans s ON f.locus = s.locus GROUP BY ALL"""),
+        ("gene_rows", f"""SELECT locus, {CLEAN_SQL.format('most_severe_consequence')} AS annot, gene_symbol AS gene,
+            count(*) AS n FROM summary_by_locus GROUP BY ALL"""),
+        ("gene_ranks", """SELECT locus, annot, row_number() OVER (PARTITION BY locus ORDER BY avg(-n), annot) AS annot_rank
+            FROM gene_rows GROUP BY locus, annot"""),
+        ("gene_shares", """SELECT g.*, annot_rank, CAST(round_even(n / sum(n) OVER (PARTITION BY g.locus) * 100, 0) AS BIGINT) AS share
+            FROM gene_rows g JOIN gene_ranks r ON g.locus = r.locus AND g.annot = r.annot"""),
+        ("ranked", """SELECT locus, dataset, xlab_annot, row_number() OVER (PARTITION BY locus, dataset
+            ORDER BY min((hap_pos, site_index, coalesce(variant, '')))) AS xlab_rank FROM labelled GROUP BY locus, dataset, xlab_annot"""),
+        ("placed", """SELECT l.*, r.xlab_rank FROM labelled l JOIN ranked r
+            ON l.locus = r.locus AND l.dataset = r.dataset AND l.xlab_annot = r.xlab_annot"""),
+        ("effects", f"""SELECT r.*, {_LOG_P} AS log_p FROM (
+            SELECT r.*, abs(r.statistic) AS a, g.df_residual::DOUBLE AS nu FROM results r
+            JOIN glance g ON r.locus = g.locus AND r.dataset = g.dataset AND r.trait_name = g.trait_name WHERE haplo <> 'Ref.') r"""),
         ("sections", f"""
-            SELECT 'histogram' AS section, f.locus,
-                   count(DISTINCT greatest(ceil((afc - lo) / w + 0.5 - 1e-8), 1)) AS n_rows
-            FROM folded f JOIN spans s ON f.locus = s.locus GROUP BY f.locus
-            UNION ALL SELECT 'annotation', locus, count(DISTINCT ({CLEAN_SQL.format('most_severe_consequence')},
-              gene_symbol)) FROM summary_by_locus GROUP BY locus
-            UNION ALL SELECT 'summary', locus, count(*) FROM merged_rows GROUP BY locus
-            UNION ALL SELECT 'haplotypes', locus, count(*) FROM marked GROUP BY locus
-            UNION ALL SELECT 'haplotypes_shrunk', locus, count(*) FROM marked
-              WHERE n_allele = 2 AND length(nr) = 1 AND length(na) = 1 GROUP BY locus
-            UNION ALL SELECT unnest(['effects', 'results']), locus, count(*) FROM results
-              WHERE haplo <> 'Ref.' GROUP BY locus
-            UNION ALL SELECT 'significant', locus, count(*) FROM results WHERE significant GROUP BY locus"""),
+            SELECT 'histogram' AS section, l.locus, 'all' AS dataset, '' AS labels,
+              {_number('bin', 'i')} || ';' || {_number('n', 'coalesce(b.n, 0)')} AS numbers
+              FROM (SELECT locus, unnest(range(1, 31)) AS i FROM spans) l LEFT JOIN bins b ON l.locus = b.locus AND l.i = b.bin
+            UNION ALL SELECT 'annotation', locus, 'all', {_listed("'annot=' || annot", "'des_stat=' || n || ' (%' || share || ')'", "'gene=' || gene")},
+              {_listed(_number('annot_rank', 'annot_rank'), _number('count_snp', 'n'), _number('percentage', 'share'))} FROM gene_shares
+            UNION ALL SELECT 'summary', locus, dataset, 'text=' ||
+              'Minimum allele count (AC) is set to 150 . Given ' || n_sample || ' samples, variants with AC below 150 and above ' ||
+              (n_sample - 150) || ' are removed.' || chr(10) || chr(10) || chr(10) || 'Of ' || n_snps || ' variants, ' || n_kept ||
+              ' left with minor allele count > 150 for building haplotypes.' || chr(10) || chr(10) || chr(10) ||
+              'Merged data comprised ' || n_kept || ' variants, ' || n_traits || ' traits, and 2 covariates.' || chr(10), '' FROM merged_rows
+            UNION ALL {display.format('haplotypes')}
+            UNION ALL {display.format('haplotypes_shrunk')} WHERE n_allele = 2 AND length(nr) = 1 AND length(na) = 1
+            UNION ALL SELECT 'effects', locus, dataset, 'haplo=' || haplo,
+              string_agg(replace(trait_name, '_', ':') || '=' || CAST(round(estimate, 3) AS DECIMAL(18, 3)), ';' ORDER BY replace(trait_name, '_', ':'))
+              FROM effects GROUP BY locus, dataset, haplo
+            UNION ALL SELECT 'results', locus, dataset, 'haplo=' || haplo || ';trait_name=' || trait_name,
+              {_listed(effect, more[0], _number('statistic', 'statistic'), more[1])} FROM effects
+            UNION ALL SELECT 'significant', locus, dataset, 'associated=Yes;haplo=' || haplo || ';trait_name=' || trait_name,
+              {_listed(effect, *more)} FROM effects WHERE significant"""),
     ]
     members = ",\n".join(f"{n} AS MATERIALIZED ({q})" for n, q in extra)
     return ASSOCIATION_CTES.rstrip() + ",\n" + members + "\nSELECT * FROM sections"
@@ -548,16 +588,22 @@ def _report_sql() -> str:
 
 @query(_report_sql())
 def report_bundle(spark, sf_dir):
-    """Rows per section and locus of a written report."""
+    """Every value of a written report; p-values as their logarithm."""
     path = new_path(spark, "report")
     sections = report_sections(
-        association(spark, sf_dir), v_frequencies(spark, sf_dir), v_annotation(spark, sf_dir),
-        merged(spark, sf_dir), full_display(spark, sf_dir),
+        association(spark, sf_dir), v_frequencies(spark, sf_dir), merged(spark, sf_dir), v_annotation(spark, sf_dir),
+        full_display(spark, sf_dir),
+    )
+    write_report(report_table(sections), path)
+    # Written once more for one locus: the other sections stay as they are.
+    one = {name: rows.filter("locus = 'LOCUS_A'") for name, rows in sections.items() if name in ("histogram", "results")}
+    write_report(report_table(one), path)
+    name = lambda e: F.when(e["key"] == "p_value", F.lit("log10_p")).otherwise(e["key"])
+    shown = lambda e: F.round(F.when(e["key"] == "p_value", F.log10(e["value"])).otherwise(e["value"]), 3).cast("decimal(18,3)").cast("string")
+    numbers = F.array_sort(F.transform(F.map_entries("numbers"), lambda e: F.struct(name(e).alias("k"), shown(e).alias("v"))))
+    labels = F.array_sort(F.map_entries("labels"))
+    return read_report(spark, path).select(
+        "section", "locus", "dataset",
+        F.array_join(F.transform(labels, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("labels"),
+        F.array_join(F.transform(numbers, lambda e: F.concat(e["k"], F.lit("="), e["v"])), ";").alias("numbers"),
     )
-    write_report(sections, path)
-    out = None
-    for name in sections:
-        part = spark.read.parquet(f"{path}/{name}").groupBy("locus").agg(F.count("*").alias("n_rows"))
-        part = part.select(F.lit(name).alias("section"), "locus", "n_rows")
-        out = part if out is None else out.unionByName(part)
-    return out

@@ -13,13 +13,13 @@ from locusframe.functions.keys import (
 )
 from locusframe.functions.labels import axis_label, blank_to_label, clean_consequence, clean_snp_label
 from locusframe.operators.reshape import haplotype_unpivot
-from locusframe.operators.results import MODEL, REFERENCE, drop_rare, haplotype_dictionary
+from locusframe.operators.results import MODEL, REFERENCE, drop_rare, haplotype_dictionary, trait_order
 from locusframe.session import broadcast_if_small
 
 
 def first_trait(haplotypes: DataFrame) -> DataFrame:
-    """Haplotypes of the first trait (by name) of each locus and dataset."""
-    first = haplotypes.groupBy(*MODEL).agg(F.min("trait_name").alias("trait_name"))
+    """Haplotypes of the first trait of each locus and dataset."""
+    first = haplotypes.groupBy(*MODEL).agg(F.min_by("trait_name", F.struct(*trait_order(haplotypes))).alias("trait_name"))
     return haplotypes.join(first, [*MODEL, "trait_name"])
 
 

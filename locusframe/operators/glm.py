@@ -44,7 +44,7 @@ _HELD_GROUPS = 16
 @dataclass
 class Responses:
     """rows: dataset, cohort, iid, y array, c array (both centred).
-    traits: dataset, cohort, y_index, trait_name, y_mean."""
+    traits: dataset, cohort, y_index, trait_pos, trait_name, y_mean."""
 
     rows: DataFrame
     traits: DataFrame
@@ -89,11 +89,14 @@ def covariate_design(covariates: DataFrame) -> tuple[DataFrame, list[str]]:
 def prepare_responses(traits: DataFrame, covariates: DataFrame | None) -> Responses:
     """Long traits (dataset, iid, trait_name, trait) to one row per
     individual and cohort. Rows with a missing trait or covariate drop out.
+    ``trait_pos`` is the order of the traits; without it, they go by name.
 
     Cohorts are found by an order-free fingerprint of the individuals with a
     value. This pass does not depend on the loci.
     """
     present = traits.filter(F.col("trait").isNotNull())
+    if "trait_pos" not in present.columns:
+        present = present.withColumn("trait_pos", F.lit(0))
     names: list[str] = []
     means: list[float] = []
     if covariates is not None:
@@ -112,7 +115,7 @@ def prepare_responses(traits: DataFrame, covariates: DataFrame | None) -> Respon
         F.hex(F.bit_xor(F.xxhash64(ids))), F.hex(F.bit_xor(F.xxhash64(F.lit(1), ids))),
     )
     found = present.groupBy("dataset", "trait_name").agg(
-        cohort.alias("cohort"), F.avg("trait").alias("y_mean")
+        cohort.alias("cohort"), F.avg("trait").alias("y_mean"), F.min("trait_pos").alias("trait_pos")
     )
     order = Window.partitionBy("dataset", "cohort").orderBy("trait_name")
     found = materialize(found.withColumn("y_index", F.row_number().over(order) - 1), "traits")
@@ -120,7 +123,7 @@ def prepare_responses(traits: DataFrame, covariates: DataFrame | None) -> Respon
         F.collect_list(F.struct("y_index", (F.col("trait") - F.col("y_mean")).alias("v")))
     )
     rows = (
-        present.join(broadcast_if_small(found), ["dataset", "trait_name"])
+        present.drop("trait_pos").join(broadcast_if_small(found), ["dataset", "trait_name"])
         .groupBy("dataset", "cohort", "iid")
         .agg(F.transform(values, lambda s: s["v"]).alias("y"), F.first("c").alias("c"))
     )

@@ -86,11 +86,16 @@ def genotype_vectors(dosage: DataFrame, sites: DataFrame) -> DataFrame:
     return people.join(broadcast_if_small(sizes), "locus").select("locus", "iid", pattern.alias("pattern"))
 
 
-def trait_unpivot(phenotypes: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Trait columns to (trait_name, trait) rows; ``keep`` columns stay."""
+def trait_unpivot(phenotypes: DataFrame, keep: list[str] | None = None, position: str | None = None) -> DataFrame:
+    """Trait columns to (trait_name, trait) rows; ``keep`` columns stay. With
+    ``position``, a column of that name holds the trait's place in the file."""
     ids = ["iid", *(keep or [])]
     traits = [c for c in value_columns(phenotypes) if c not in ids]
-    return phenotypes.unpivot(ids, traits, "trait_name", "trait")
+    if position is None:
+        return phenotypes.unpivot(ids, traits, "trait_name", "trait")
+    cells = [F.struct(F.lit(t).alias("trait_name"), F.col(f"`{t}`").alias("trait")) for t in traits]
+    long = phenotypes.select(*[f"`{c}`" for c in ids], F.posexplode(F.array(*cells)).alias(position, "_t"))
+    return long.select(*[f"`{c}`" for c in ids], position, "_t.trait_name", "_t.trait")
 
 
 def haplotype_unpivot(haplotypes: DataFrame, sites: DataFrame) -> DataFrame:

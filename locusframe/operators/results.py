@@ -37,7 +37,13 @@ def nominal_significance(rows: DataFrame, level: float = 0.05) -> DataFrame:
 
 def per_trait(haplotypes: DataFrame, traits: DataFrame) -> DataFrame:
     """Haplotype rows of a cohort repeated for each of its traits."""
-    return haplotypes.join(traits.select("dataset", "cohort", "trait_name"), ["dataset", "cohort"])
+    return haplotypes.join(traits.select("dataset", "cohort", "trait_pos", "trait_name"), ["dataset", "cohort"])
+
+
+def trait_order(haplotypes: DataFrame) -> list[str]:
+    """Columns that traits are ordered by: their place in the phenotype table
+    if the rows carry it, then their name."""
+    return [c for c in ("trait_pos", "trait_name") if c in haplotypes.columns]
 
 
 def signature(alleles: Column) -> Column:
@@ -46,8 +52,8 @@ def signature(alleles: Column) -> Column:
 
 def haplotype_dictionary(haplotypes: DataFrame) -> DataFrame:
     """(locus, dataset, trait_name, haplotype, haplo): the same allele vector
-    gets the same name H1, H2, ... in every trait, in order of appearance;
-    the base stays "Ref.".
+    gets the same name H1, H2, ... in every trait, in order of appearance
+    (traits in their order, then rows); the base stays "Ref.".
 
     Numbering needs one row per distinct vector, at most a few hundred per
     locus and dataset, whatever the number of traits.
@@ -56,7 +62,7 @@ def haplotype_dictionary(haplotypes: DataFrame) -> DataFrame:
     seen = (
         common.filter(F.col("haplotype") != REFERENCE)
         .groupBy(*MODEL, "_sig")
-        .agg(F.min(F.struct("trait_name", "hap_pos")).alias("_first"))
+        .agg(F.min(F.struct(*trait_order(common), "hap_pos")).alias("_first"))
     )
     order = Window.partitionBy(*MODEL).orderBy("_first")
     names = seen.select(

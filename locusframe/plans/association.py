@@ -75,9 +75,10 @@ def rejected_variants(dosage: DataFrame, min_ac: float, frequencies: DataFrame |
 
 
 def long_traits(phenotypes: dict[str, DataFrame]) -> DataFrame:
-    """Wide phenotype tables of all datasets as one long table."""
+    """Wide phenotype tables of all datasets as one long table, in which
+    ``trait_pos`` is a trait's place among the columns of its table."""
     parts = [
-        trait_unpivot(table).withColumn("dataset", F.lit(name))
+        trait_unpivot(table, position="trait_pos").withColumn("dataset", F.lit(name))
         for name, table in sorted(phenotypes.items())
     ]
     out = parts[0]

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from locusframe.config import Thresholds, optional_path
 from locusframe.functions.keys import variant_key
-from locusframe.operators.freq import histogram_30
-from locusframe.operators.merge import merged_counts, summary_text
+from locusframe.operators.annotate import summarize_annotations
+from locusframe.operators.display import display_annotation, display_table
+from locusframe.operators.merge import covariate_join, genotype_phenotype_join, merged_counts, summary_text
 from locusframe.operators.results import significant_results, tidied_results
 from locusframe.operators.variants import region_interval_join
 from locusframe.plans.annotation import annotate_keys
 from locusframe.plans.association import Association, rejected_variants, run_association
+from locusframe.plans.report import report_sections, report_table, write_report
 from locusframe.session import materialize
 from locusframe.sinks import tables as sinks
 from locusframe.sources.quality import regions_without_variants, require_text_input
@@ -117,15 +119,30 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     sinks.write_associations(run.coefficients.drop("cohort"), run.haplotypes.drop("cohort"), f"{out}/associations")
     sinks.write_tidied(tidied_results(run.results), f"{out}/results")
     sinks.write_significant_csv(significant_results(run.results), f"{out}/result_signif")
-    report = {
-        "histogram": histogram_30(extracted.frequencies),
-        "rejected": rejected_variants(extracted.dosage, limits.min_ac, extracted.frequencies),
-    }
-    lookup = optional_path(config.get("annotation_lookup"))
+    for name, table in phenotypes.items():
+        wide = genotype_phenotype_join(run.genotypes, table.withColumn("dataset", F.lit(name)))
+        sinks.write_merged(covariate_join(wide, covariates), f"{out}/merged/{name}")
+    lookup, documents = optional_path(config.get("annotation_lookup")), None
     if lookup is not None:
         keys = extracted.frequencies.select("locus", variant_key(*map(F.col, ("chrom", "pos", "ref", "alt"))).alias("variant")).distinct()
         annotated, rejects = annotate_keys(keys, spark.read.parquet(lookup))
         annotated.write.parquet(f"{out}/annotation/variants")
         rejects.write.parquet(f"{out}/annotation/rejects")
-    sinks.write_report(report, f"{out}/report")
+        documents = spark.read.schema(annotated.schema).parquet(f"{out}/annotation/variants").filter(F.col("annotation").isNotNull())
+    write_report(report_table(_sections(run, extracted, counts, documents, limits)), f"{out}/report")
     return run
+
+
+def _sections(
+    run: Association, extracted: Extraction, counts: DataFrame, documents: DataFrame | None, limits: Thresholds
+) -> dict[str, DataFrame]:
+    """Sections of the report; without annotations the display has none."""
+    if documents is None:
+        annotation = run.sites.select(
+            "locus", *[F.lit(None).cast("string").alias(c) for c in ("snpid", "variant", "annot", "gene")]
+        ).limit(0)
+    else:
+        annotation = display_annotation(summarize_annotations(documents))
+    display = materialize(display_table(run.haplotypes, run.sites, annotation, extracted.frequencies), "display")
+    rejected = rejected_variants(extracted.dosage, limits.min_ac, extracted.frequencies)
+    return report_sections(run, extracted.frequencies, counts, documents, display, rejected)

@@ -88,8 +88,3 @@ def write_annotation_summary(summary: DataFrame, path: str) -> None:
         writer = writer.partitionBy(*extra)
     writer.csv(path, sep="\t", header=True, emptyValue="", nullValue="")
 
-
-def write_report(sections: dict[str, DataFrame], path: str) -> None:
-    """One Parquet table per report section, by locus."""
-    for name, rows in sections.items():
-        rows.write.partitionBy("locus").parquet(f"{path}/{name}")

@@ -6,6 +6,9 @@ All of them with ``CHECK_ALL=1``, else one per kind of operator.
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -16,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 SOME = (
     "regions_scan", "vcf_sample_explode", "dosage_scan", "merged_summary", "genotype_pivot", "region_interval_join",
     "annotate_variants_join", "annotation_rank", "af_histogram_breaks", "em_haplotype_freq", "tidy_coefficients",
-    "write_signif_csv", "alleles_relabel", "haplotype_distance",
+    "write_signif_csv", "alleles_relabel", "haplotype_distance", "report_bundle", "vcf_region_prune", "em_open_phase",
 )
 NAMES = list(contract.queries()) if os.environ.get("CHECK_ALL") else SOME
 
@@ -31,6 +34,17 @@ def test_query_equals_oracle(spark, connection, name):
     assert compare(spark, SF, name, connection)[0] == "ok"
 
 
+def test_entry_without_the_corpus_folders(tmp_path):
+    """The rest imports where the corpus operators are absent."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    bare = tmp_path / "bare"
+    shutil.copytree(here, bare, ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", ".pytest_cache"))
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(x.startswith('op') or x == 'pipeline' for x in q)"
+    for _ in range(2):
+        subprocess.run([sys.executable, "-c", code], cwd=bare, check=True, env={**os.environ, "PYTHONPATH": str(bare)})
+        (bare / "corpus_pipeline.py").unlink(missing_ok=True)
+
+
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from locusframe.operators import display, merge, results
+from locusframe.operators import display, merge, reshape, results
 
 HAPS = "locus string, dataset string, trait_name string, hap_pos int, haplotype string, alleles string"
 
@@ -27,6 +27,21 @@ def test_dictionary_follows_the_alleles(spark):
     assert check["Ref."] is False and check["H003"] is True
 
 
+def test_traits_go_by_their_place_in_the_file(spark):
+    rows = [
+        ("a", 1, "H001", "12"), ("a", 2, "Ref.", "11"), ("b", 1, "H001", "21"), ("b", 2, "Ref.", "11"), ("c", 1, "H001", "12"),
+    ]
+    place = F.when(F.col("trait_name") == "b", 0).when(F.col("trait_name") == "c", 1).otherwise(2)
+    frame = haps(spark, rows).withColumn("trait_pos", place)
+    got = {(r.trait_name, r.haplotype): r.haplo for r in results.haplotype_dictionary(frame).collect()}
+    assert got == {("b", "H001"): "H1", ("c", "H001"): "H2", ("a", "H001"): "H2", ("a", "Ref."): "Ref.", ("b", "Ref."): "Ref."}
+    assert {r.trait_name for r in display.first_trait(frame).collect()} == {"b"}
+    assert {r.trait_name for r in display.first_trait(haps(spark, rows)).collect()} == {"a"}
+    wide = spark.createDataFrame([("1", 2.0, 1.0)], ["iid", "z", "a b"])
+    long = reshape.trait_unpivot(wide, position="trait_pos").collect()
+    assert [(r.iid, r.trait_pos, r.trait_name, r.trait) for r in long] == [("1", 0, "z", 2.0), ("1", 1, "a b", 1.0)]
+
+
 COEFS = (
     "locus string, dataset string, trait_name string, term string, term_kind string, estimate double, "
     "std_error double, statistic double, p_value double"

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
+from locusframe.plans.report import read_report, write_report
 from locusframe.plans.run import extract_regions, read_phenotypes, run_config
 from locusframe.sources.tables import scan_regions
 
@@ -57,6 +60,23 @@ def test_run(spark, tmp_path):
     text = "\n".join(r.value for r in spark.read.text(f"{out}/summary").filter("locus = 'TWO' and dataset = 'clinical'").collect())
     assert "Of 3 variants, 3 left" in text and "2 traits, and 1 covariates" in text
     assert run.genotypes.count() == 120
+    merged = spark.read.parquet(f"{out}/merged/clinical").filter("locus = 'ONE'")
+    assert merged.count() == 60 and {"iid", "pattern", "big", "small", "Age"} <= set(merged.columns)
+    report = read_report(spark, f"{out}/report")
+    found = {(r.locus, r.dataset, r.section): r.n for r in report.groupBy("locus", "dataset", "section").agg(F.count("*").alias("n")).collect()}
+    assert found["ONE", "all", "histogram"] == 30
+    assert found["TWO", "clinical", "results"] == tidy.filter("locus = 'TWO' and dataset = 'clinical'").count()
+    assert {s for locus, d, s in found if locus == "ONE" and d == "clinical"} >= {"summary", "effects", "results", "significant", "haplotypes"}
+    # The first trait of the file, not of the alphabet, is the example; effects are a row per haplotype.
+    row = report.filter("section = 'effects' and locus = 'ONE' and dataset = 'clinical'").first()
+    assert set(row.numbers) == {"big", "small"} and set(row.labels) == {"haplo"}
+    # One report written again leaves the others as they are.
+    one = report.filter("locus = 'ONE' and section = 'results'").limit(1)
+    again = spark.createDataFrame(one.collect(), one.schema)
+    write_report(again, f"{out}/report")
+    after = {(r.locus, r.dataset, r.section): r.n for r in read_report(spark, f"{out}/report").groupBy("locus", "dataset", "section").agg(F.count("*").alias("n")).collect()}
+    changed = {k for k in found if after.get(k) != found[k]}
+    assert after.keys() == found.keys() and len(changed) == 1 and next(iter(changed))[::2] == ("ONE", "results")
     assert {len(r.pattern) for r in run.genotypes.collect()} == {3}
 
 
