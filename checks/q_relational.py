@@ -327,12 +327,11 @@ def af_bin_width(spark, sf_dir):
     return rounded(freq.bin_width(region_variants(spark, sf_dir)), 6, "width")
 
 
-def _pretty_sql(lo: str, hi: str, n: int, source: str) -> str:
+def _round_sql(lo: str, hi: str, n: int, source: str) -> str:
     """Step of about ``n`` round intervals for each row of ``source``."""
     return f"""
-      SELECT *, CASE WHEN 2 * base - cell >= 1.5 * (cell - base) THEN base
-                     WHEN 5 * base - cell >= 2.75 * (cell - 2 * base) THEN 2 * base
-                     WHEN 10 * base - cell >= 1.5 * (cell - 5 * base) THEN 5 * base ELSE 10 * base END AS step
+      SELECT *, base * CASE WHEN cell <= 1.4 * base THEN 1 WHEN cell <= 2.8 * base THEN 2
+                            WHEN cell <= 7 * base THEN 5 ELSE 10 END AS step
       FROM (SELECT *, power(10.0::DOUBLE, floor(log10(cell))) AS base
             FROM (SELECT *, ({hi} - {lo}) / {n} AS cell FROM {source}))"""
 
@@ -341,7 +340,7 @@ _BREAKS = [
     *_AFC,
     ("ends", "SELECT locus, min(afc) AS lo, max(afc) AS hi FROM x GROUP BY locus"),
     ("grid", "SELECT locus, step, floor(lo / step + 1e-10) AS first, ceil(hi / step - 1e-10) AS last FROM ("
-             + _pretty_sql("lo", "hi", 7, "ends") + ")"),
+             + _round_sql("lo", "hi", 7, "ends") + ")"),
     ("bins", """SELECT locus, step, first, unnest(range(1, CAST(last - first AS BIGINT) + 1)) AS bin FROM grid"""),
     ("hist", """SELECT b.locus, b.bin, (b.first + b.bin - 1) * b.step AS beg, (b.first + b.bin) * b.step AS "end",
         count(x.afc) AS n FROM bins b LEFT JOIN x ON x.locus = b.locus
@@ -358,7 +357,7 @@ def af_histogram_breaks(spark, sf_dir):
 
 @query(with_views("v_region_variants", extra=_BREAKS) + """
     , c AS (SELECT locus, CAST(min(n) AS DOUBLE) AS lo, CAST(max(n) AS DOUBLE) AS hi FROM hist GROUP BY locus)
-    SELECT locus, ceil(hi / step - 1e-10) * step AS y_limit FROM (""" + _pretty_sql("lo", "hi", 5, "c") + ")")
+    SELECT locus, ceil(hi / step - 1e-10) * step AS y_limit FROM (""" + _round_sql("lo", "hi", 5, "c") + ")")
 def af_histogram_axis(spark, sf_dir):
     return freq.count_axis_limit(freq.histogram_breaks(region_variants(spark, sf_dir)))
 

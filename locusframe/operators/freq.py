@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,37 +41,34 @@ def bin_width(variants: DataFrame) -> DataFrame:
     )
 
 
-def pretty_step(lo: Column, hi: Column, n: int) -> Column:
-    """Step of about ``n`` round intervals over [lo, hi]: 1, 2, 5 or 10 times
-    a power of ten, with the usual bias of 1.5 towards larger steps."""
-    bias, bias5 = 1.5, 0.5 + 1.5 * 1.5
-    span = hi - lo
-    size = F.greatest(F.abs(lo), F.abs(hi))
-    size = F.when(size == 0, F.lit(1.0)).otherwise(size)
-    cap = 1 + (1 / (1 + bias) if bias5 >= 1.5 * bias + 0.5 else 1.5 / (1 + bias5))
-    tiny = span < size * cap * max(1, n) * sys.float_info.epsilon * 3
-    small = F.when(size > 10, 9 + size / 10).otherwise(size) * 0.75 / max(1, n // 3)
-    cell = F.when(tiny, small).otherwise(span / n)
-    base = F.pow(F.lit(10.0), F.floor(F.log10(cell)))
-    unit = F.when(10 * base - cell < bias * (cell - 5 * base), 10 * base)
-    five = 5 * base - cell < bias5 * (cell - 2 * base)
-    two = 2 * base - cell < bias * (cell - base)
-    # The tests are nested: 10 only after 5, 5 only after 2.
-    return F.when(~two, base).when(~five, 2 * base).otherwise(F.coalesce(unit, 5 * base))
-
-
-def pretty_ends(lo: Column, hi: Column, step: Column, n: int) -> tuple[Column, Column]:
-    """First and last multiple of ``step`` covering [lo, hi], widened to at
-    least a third of ``n`` intervals."""
-    eps = 1e-10
-    first, last = F.floor(lo / step + eps), F.ceil(hi / step - eps)
-    lack = F.greatest(n // 3 - (last - first), F.lit(0))
-    half, odd = F.floor(lack / 2), lack % 2
-    from_zero = first >= 0
-    return (
-        first - half - F.when(from_zero, odd).otherwise(F.lit(0)),
-        last + half + F.when(from_zero, F.lit(0)).otherwise(odd),
-    )
+# Round steps are 1, 2, 5 or 10 times a power of ten. As the help page of R's
+# pretty() documents them, a larger multiple is preferred by a bias of 1.5, and
+# 5 over 2 by 0.5 + 1.5 * 1.5: a multiple gives way to the next one where the
+# wanted step lies beyond their mean, in which the smaller one weighs as much as
+# its bias (fixed values).
+_MULTIPLES = (1.0, 2.0, 5.0, 10.0)
+_BIASES = (1.5, 2.75, 1.5)
+
+
+def round_step(lo: Column, hi: Column, n: int) -> Column:
+    """Round step that cuts [lo, hi] into about ``n`` parts; a tenth of the
+    value's magnitude (or of 1) where both ends are equal."""
+    magnitude = F.greatest(F.abs(lo), F.abs(hi))
+    alone = F.when(magnitude > 0, magnitude).otherwise(F.lit(1.0)) / 10
+    wanted = F.when(hi > lo, (hi - lo) / n).otherwise(alone)
+    ten = F.pow(F.lit(10.0), F.floor(F.log10(wanted)))
+    step = ten * _MULTIPLES[-1]
+    for small, large, bias in reversed(list(zip(_MULTIPLES, _MULTIPLES[1:], _BIASES))):
+        step = F.when(wanted <= ten * (large + bias * small) / (1 + bias), ten * small).otherwise(step)
+    return step
+
+
+def covering_multiples(lo: Column, hi: Column, step: Column) -> tuple[Column, Column]:
+    """Numbers of the multiples of ``step`` that enclose [lo, hi]; at least one
+    step apart."""
+    nearly = 1e-10
+    first = F.floor(lo / step + nearly)
+    return first, F.greatest(F.ceil(hi / step - nearly), first + 1)
 
 
 def histogram_breaks(variants: DataFrame, n: int = 7) -> DataFrame:
@@ -81,8 +76,8 @@ def histogram_breaks(variants: DataFrame, n: int = 7) -> DataFrame:
     break included; empty intervals are listed with 0."""
     values = folded(variants).select("locus", "afc").filter(F.col("afc").isNotNull())
     ends = values.groupBy("locus").agg(F.min("afc").alias("_lo"), F.max("afc").alias("_hi"))
-    grid = ends.withColumn("step", pretty_step(F.col("_lo"), F.col("_hi"), n))
-    first, last = pretty_ends(F.col("_lo"), F.col("_hi"), F.col("step"), n)
+    grid = ends.withColumn("step", round_step(F.col("_lo"), F.col("_hi"), n))
+    first, last = covering_multiples(F.col("_lo"), F.col("_hi"), F.col("step"))
     grid = grid.select("locus", "step", first.alias("first"), last.alias("last"))
     fuzz = 1e-7
     place = F.ceil(F.col("afc") / F.col("step") - F.col("first") - fuzz)
@@ -109,27 +104,31 @@ def count_axis_limit(histogram: DataFrame, n: int = 5) -> DataFrame:
     ends = histogram.groupBy("locus").agg(
         F.min("n").cast("double").alias("lo"), F.max("n").cast("double").alias("hi")
     )
-    step = pretty_step(F.col("lo"), F.col("hi"), n)
-    _, last = pretty_ends(F.col("lo"), F.col("hi"), F.col("step"), n)
+    step = round_step(F.col("lo"), F.col("hi"), n)
+    _, last = covering_multiples(F.col("lo"), F.col("hi"), F.col("step"))
     return ends.withColumn("step", step).select("locus", (last * F.col("step")).alias("y_limit"))
 
 
 def histogram_30(variants: DataFrame, bins: int = 30) -> DataFrame:
     """Counts in ``bins`` equal intervals, the first centred on the minimum;
-    width = range / (bins - 1), closed on the right; empty ones count 0."""
-    values = folded(variants).select("locus", "afc").filter(F.col("afc").isNotNull())
+    width = range / (bins - 1), closed on the right; empty ones count 0.
+
+    Equal frequencies are counted once; what is left of a locus, one row per
+    distinct frequency, is placed beside the locus' ends and laid out as one
+    row of ``bins`` slots.
+    """
+    values = folded(variants).filter(F.col("afc").isNotNull()).groupBy("locus", "afc").agg(F.count("*").alias("n"))
     ends = values.groupBy("locus").agg(F.min("afc").alias("_lo"), F.max("afc").alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
-    grid = ends.select(
-        "locus", "_lo",
-        F.when(span > 0, span / (bins - 1)).otherwise(F.lit(0.1)).alias("width"),
-    )
-    place = F.ceil((F.col("afc") - F.col("_lo")) / F.col("width") + 0.5 - 1e-8)
-    grid = small_side(grid, "grid")
+    width = F.when(span > 0, span / (bins - 1)).otherwise(F.lit(0.1))
+    place = F.ceil((F.col("afc") - F.col("_lo")) / width + 0.5 - 1e-8)
     counts = (
-        values.join(grid, "locus")
+        values.join(ends, "locus")
         .groupBy("locus", F.least(F.greatest(place, F.lit(1)), F.lit(bins)).alias("bin"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
+        .groupBy("locus")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_counts"))
     )
-    every = grid.select("locus", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"))
-    return every.join(counts, ["locus", "bin"], "left").select("locus", "bin", F.coalesce("n", F.lit(0)).alias("n"))
+    every = F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))
+    slots = F.transform(every, lambda i: F.struct(i.alias("bin"), F.coalesce(F.col("_counts")[i], F.lit(0)).alias("n")))
+    return counts.select("locus", F.inline(slots))

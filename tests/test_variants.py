@@ -121,10 +121,10 @@ def test_quartiles_are_exact(spark):
         (3.0, 11.0, 5, 2.0, 12.0, 2.0),
     ],
 )
-def test_pretty(spark, lo, hi, n, first, last, step):
+def test_round_steps(spark, lo, hi, n, first, last, step):
     frame = spark.createDataFrame([(lo, hi)], "lo double, hi double")
-    frame = frame.withColumn("step", freq.pretty_step(F.col("lo"), F.col("hi"), n))
-    a, b = freq.pretty_ends(F.col("lo"), F.col("hi"), F.col("step"), n)
+    frame = frame.withColumn("step", freq.round_step(F.col("lo"), F.col("hi"), n))
+    a, b = freq.covering_multiples(F.col("lo"), F.col("hi"), F.col("step"))
     row = frame.select("step", (a * F.col("step")).alias("a"), (b * F.col("step")).alias("b")).first()
     assert (row.step, row.a, row.b) == pytest.approx((step, first, last))
 
