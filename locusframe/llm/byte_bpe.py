@@ -100,7 +100,8 @@ class PairEncoder:
 
 def loaded(name: str) -> tuple[PairEncoder, ChunkMemory]:
     """The worker's encoder of a rank file and its memory of chunks."""
-    cache, key = worker_cache(), f"ranks {name}"
+    key = f"ranks {name}"
+    cache = worker_cache(key)
     if key not in cache:
         with open(tokenizer_path(name), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}

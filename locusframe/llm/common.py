@@ -90,11 +90,18 @@ def get_file(uri: str) -> bytes:
         return source.read()
 
 
-def worker_cache() -> dict:
-    """What a Python worker keeps between tasks. Functions reach workers by
-    value, so their modules' own globals do not last."""
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps between tasks for ``owner``, a stage's memory.
+
+    Functions reach workers by value, so their modules' own globals do not
+    last. A worker holds the memory of one owner at a time: what another stage
+    left behind is dropped, so memories do not add up in long applications.
+    """
     name = "locusframe_worker_cache"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if kept.get("owner") != owner:
+        kept["owner"], kept["held"] = owner, {}
+    return kept["held"]
 
 
 def crc32(data) -> int:

@@ -84,7 +84,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _processor(name: str):
-    cache, key = worker_cache(), f"pieces {name}"
+    key = f"pieces {name}"
+    cache = worker_cache(key)
     if key not in cache:
         import sentencepiece
 

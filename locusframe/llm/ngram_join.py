@@ -70,7 +70,7 @@ class _WordHashes(dict):
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     """Sorted distinct tokens (unsigned 64-bit) of each text of a batch."""
-    hashes = worker_cache().setdefault("shingle words", _WordHashes())
+    hashes = worker_cache("shingle words").setdefault("hashes", _WordHashes())
     found = [text.lower().split() for text in texts]
     sizes = [len(x) for x in found]
     each = np.fromiter(map(hashes.__getitem__, chain.from_iterable(found)), np.uint64, sum(sizes))

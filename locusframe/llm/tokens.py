@@ -16,8 +16,9 @@ import regex
 
 from locusframe.llm.common import tokenizer_path, worker_cache
 
-#: Chunks kept by a worker (in two generations of half as many).
-MEMO_CHUNKS = 600_000
+#: Chunks kept by a worker (in two generations of half as many), some 200
+#: bytes each; the more, the fewer of them are encoded again.
+MEMO_CHUNKS = 1_600_000
 
 #: Split pattern of the byte-level vocabularies (fixed value of these files).
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -135,7 +136,8 @@ def library_encoder(name: str, lower: bool) -> Callable[[bytes], bytes]:
 
 def word_memory(name: str) -> ChunkMemory:
     """The worker's memory of a lower-casing word vocabulary; keys: ``words``."""
-    cache, key = worker_cache(), f"words {name}"
+    key = f"words {name}"
+    cache = worker_cache(key)
     if key not in cache:
         cache[key] = ChunkMemory(library_encoder(name, lower=True))
     return cache[key]
@@ -143,7 +145,8 @@ def word_memory(name: str) -> ChunkMemory:
 
 def byte_memory(name: str) -> ChunkMemory:
     """The worker's memory of a byte-level vocabulary; keys: ``spaced``."""
-    cache, key = worker_cache(), f"bytes {name}"
+    key = f"bytes {name}"
+    cache = worker_cache(key)
     if key not in cache:
         encode = library_encoder(name, lower=False)
         cache[key] = ChunkMemory(lambda key: encode(chunk_of(key)), tail_mark=b" ")

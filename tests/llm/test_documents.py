@@ -219,3 +219,34 @@ def test_char_model_restores_leetspeak(spark):
     model = toxicity.CharModel.counted(toxicity.char_counts(frame))
     for raw, meant in (("tr4sh", "trash"), ("1d10t", "idiot"), ("st.u.p.i.d", "stupid"), ("loooooser", "loser"), ("p@thetic", "pathetic"), ("trash###", "trash"), ("", "")):
         assert toxicity.restored_token(raw.encode(), model) == meant
+
+
+def test_toxicity_reads_batches_like_single_texts():
+    """Runs do not cross texts, whatever is read together; the gap test does
+    not change a reading by signs."""
+    rng = __import__("random").Random(3)
+    counts = toxicity.np.array([rng.randrange(50) for _ in range(toxicity.CLASSES**3)])
+    model = toxicity.CharModel.counted(counts)
+    known = {w: -3.0 for w in ("stupid", "idiot", "glass", "as", "so")}
+    odd = ["st up id", "$ c u m", "s. c. u. m", "a", "", "1 2 3 b 4 d", "id", "iot x", "d \u00e9 b i l e, \u0391\u03a3. word! wo_rd fooo... !!! ###"]
+    texts = [x.encode() for x in odd + [prose(i, 12) for i in range(30)]]
+    one = [toxicity.Lexicon(model, known, {"stupid"}).words(x.lower().split()) for x in texts]
+    many = toxicity.Lexicon(model, known, {"stupid"}).words_of([x.lower().split() for x in texts])
+    assert one == many
+    weights = {"stupid": 3.0, "idiot": 2.0, "scum": 1.0}
+    alone = [toxicity.measured([x], toxicity._Weights(model, weights, known))[0] for x in texts]
+    small = toxicity._Weights(model, weights, known, limit=5)
+    small.lexicon.limit = 5
+    assert toxicity.measured(texts, small) == alone == toxicity.measured(texts, toxicity._Weights(model, weights, known))
+    assert [len(x) for x in toxicity.token_batches(texts, 20)] != [len(texts)]
+
+
+def test_plain_core_is_what_restoring_gives():
+    model = toxicity.CharModel.counted(toxicity.np.ones(toxicity.CLASSES**3))
+    for raw in ("word", "word,", "(word)", "word!", "w.o.r.d", "'tis", "glass", "Stra\u00dfe.", "\u0391\u03a3.", "x2", "#tag", "a_b", "--", "", "\u0130ab"):
+        token = raw.encode()
+        plain = toxicity.plain_core(token)
+        word = toxicity._NOISY_END.sub("", raw.lower())
+        assert plain is None or (plain == word.strip(toxicity._EDGES) and not toxicity._SUSPECT.search(word))
+        assert plain is not None or raw not in ("word", "word,", "Stra\u00dfe.")
+        assert isinstance(toxicity.restored_token(token, model), str)

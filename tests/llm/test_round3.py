@@ -247,20 +247,24 @@ def brute_totals(parents, value):
     return total
 
 
-@pytest.mark.parametrize("shape", ["chain", "star", "random", "caterpillar", "forest"])
-def test_tree_contraction(spark, shape):
+def test_tree_contraction(spark):
+    """A chain, a star, a caterpillar, a random tree and small trees, as one
+    forest."""
     rng = random.Random(5)
-    n = 60
-    make = {
-        "chain": lambda i: i - 1,
-        "star": lambda i: 0,
-        "random": lambda i: rng.randrange(i),
-        "caterpillar": lambda i: i - 2 if i > 2 and i % 2 else max(i - 1 - (i % 2 == 0 and i > 2), 0),
-        "forest": lambda i: None if i % 30 == 0 else i - 1 - rng.randrange(min(2, i % 30)),
-    }[shape]
-    parents = {0: None} | {i: make(i) for i in range(1, n)}
-    value = {i: rng.randrange(9) for i in range(n)}
-    tree = spark.createDataFrame([(i, parents[i], value[i], 1) for i in range(n)], "id long, parent long, v long, one long")
+    shapes = [
+        lambda i: i - 1,
+        lambda i: 0,
+        lambda i: i - 2 if i > 2 and i % 2 else max(i - 1 - (i % 2 == 0 and i > 2), 0),
+        lambda i: rng.randrange(i),
+        lambda i: None if i % 30 == 0 else i - 1 - rng.randrange(min(2, i % 30)),
+    ]
+    parents = {}
+    for k, shape in enumerate(shapes):
+        for i in range(90):
+            up = shape(i) if i else None
+            parents[1000 * k + i] = None if up is None else 1000 * k + up
+    value = {i: rng.randrange(9) for i in parents}
+    tree = spark.createDataFrame([(i, parents[i], value[i], 1) for i in parents], "id long, parent long, v long, one long")
     got = {r.id: (r.v, r.one) for r in prefix_trie.subtree_totals(tree, ["v", "one"]).collect()}
-    sums, counts = brute_totals(parents, value), brute_totals(parents, dict.fromkeys(range(n), 1))
-    assert got == {i: (sums[i], counts[i]) for i in range(n)}
+    sums, counts = brute_totals(parents, value), brute_totals(parents, dict.fromkeys(parents, 1))
+    assert got == {i: (sums[i], counts[i]) for i in parents}
