@@ -79,7 +79,7 @@ def _frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) ->
     return chosen
 
 
-def compress(ids: np.ndarray, first: int, end_id: int, max_rules: int, batch: int = 4096, least: int = 16) -> Grammar:
+def compress(ids: np.ndarray, first: int, end_id: int, max_rules: int, batch: int = 6144, least: int = 16) -> Grammar:
     """Grammar of ``ids`` (unsigned 32-bit, all below ``first``): pairs are
     replaced until no pair is found ``least`` times or ``max_rules`` are used."""
     symbols = ids.astype(np.uint32)

@@ -79,7 +79,7 @@ class ChunkMemory(dict):
         packed = self._old.get(key)
         if packed is None:
             # Signs after a letter always start a piece of their own.
-            core = key.rstrip(_SIGNS)
+            core = key if key.isalpha() else key.rstrip(_SIGNS)
             if len(core) < len(key) and _ENDS_IN_LETTER.search(core):
                 packed = self[core] + self[key[len(core) :] + self._mark]
             else:
@@ -123,10 +123,12 @@ def library_encoder(name: str, lower: bool) -> Callable[[bytes], bytes]:
             return packed(tokenizer.encode(text, add_special_tokens=False).ids)
         if lower:
             text = text.lower()
+        # Letters alone, after one blank where blanks count, are one piece.
+        one = text.isalpha() if lower else text[:1] == " " and text[1:].isalpha()
         return packed(
             [
                 token.id
-                for piece in pieces(text)
+                for piece in ((text,) if one else pieces(text))
                 for token in merge(piece.encode().decode("latin-1").translate(alphabet))
             ]
         )
