@@ -38,11 +38,11 @@ def query(sql: str):
 
 
 def open_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six sites per region (150 rows): the parts of a nation by size modulo
+    """Six sites per region (150 rows): the parts of a nation by key modulo
     six."""
     part, nation = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
     return (
-        part.select((F.col("p_partkey") % 25).cast("int").alias("n_nationkey"), (F.col("p_size") % 6).alias("site"), "p_partkey")
+        part.select((F.col("p_partkey") % 25).cast("int").alias("n_nationkey"), (F.col("p_partkey") % 6).alias("site"), "p_partkey")
         .join(nation.select("n_nationkey", "n_name"), "n_nationkey")
         .groupBy(F.col("n_name").alias("locus"), F.col("n_nationkey").alias("k"), "site")
         .agg(F.min("p_partkey").alias("first"), F.count("*").alias("n_parts"))
@@ -101,7 +101,7 @@ def _pats(sites: str, order: str) -> str:
 
 
 _SITES_SQL = """SELECT locus, k, site, site * 100000000 + first AS pos FROM (
-      SELECT n_name AS locus, n_nationkey AS k, (p_size % 6)::INT AS site, min(p_partkey) AS first
+      SELECT n_name AS locus, n_nationkey AS k, (p_partkey % 6)::INT AS site, min(p_partkey) AS first
       FROM part JOIN nation ON p_partkey % 25 = n_nationkey GROUP BY ALL)"""
 
 _STEPS = 80
