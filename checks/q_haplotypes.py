@@ -15,6 +15,7 @@ from checks.views import SQL as VIEW_SQL
 from checks.views import (
     N_SITES,
     stored,
+    table,
     v_annotation,
     v_dosage,
     v_frequencies,
@@ -285,6 +286,29 @@ def haplotype_distance(spark, sf_dir):
     return rounded(rows.unionByName(columns), 3, "distance")
 
 
+_SUPPLIER_EFFECTS = """
+    WITH e AS (SELECT l_returnflag || l_linestatus AS locus, 'suppliers' AS dataset,
+                      's' || l_suppkey AS trait_name, 'H' || (month(l_shipdate)) AS haplo, avg(l_discount) AS estimate
+               FROM lineitem GROUP BY ALL),
+         w AS (SELECT locus, count(DISTINCT haplo) AS width FROM e GROUP BY locus HAVING count(DISTINCT haplo) > 1)"""
+
+
+@query(_SUPPLIER_EFFECTS + """
+    SELECT a.locus, a.dataset, a.trait_name AS first, b.trait_name AS second,
+           round(sqrt(sum((a.estimate - b.estimate) * (a.estimate - b.estimate)) * any_value(width) / count(*)), 6) AS distance
+    FROM e a JOIN e b ON a.locus = b.locus AND a.haplo = b.haplo AND a.trait_name < b.trait_name
+    JOIN w ON w.locus = a.locus GROUP BY ALL""")
+def trait_distance(spark, sf_dir):
+    """Distances of many traits: suppliers, with a mean per month as effect."""
+    effects = table(spark, sf_dir, "lineitem").groupBy(
+        F.concat("l_returnflag", "l_linestatus").alias("locus"),
+        F.lit("suppliers").alias("dataset"),
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("trait_name"),
+        F.concat(F.lit("H"), F.month("l_shipdate").cast("string")).alias("haplo"),
+    ).agg(F.avg("l_discount").alias("estimate"))
+    return rounded(results.trait_distance(effects), 6, "distance")
+
+
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.nest_by(
         _coefs(spark, sf_dir), ["locus", "dataset", "trait_name"], ["term", "estimate", "std_error"], "tidy"

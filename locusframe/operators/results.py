@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ MODEL = ["locus", "dataset"]
 REFERENCE = "Ref."
 RARE = "Hrare"
 
+# Traits of a block: a task computes the distances of two blocks at a time.
+TRAIT_BLOCK = 128
+
 # Non-haplotype terms as older result files name them (fixed pattern).
 LEGACY_TERM_PATTERN = "(Intercept)|PC|Sex|Age|rare"
 
@@ -119,6 +124,12 @@ def significant_results(joined: DataFrame) -> DataFrame:
     )
 
 
+def several_haplotypes(tidied: DataFrame) -> DataFrame:
+    """Rows of models with more than one haplotype."""
+    several = tidied.groupBy(*MODEL).agg((F.count_distinct("haplo") > 1).alias("_several")).filter("_several")
+    return tidied.join(broadcast_if_small(several.select(*MODEL)), MODEL, "left_semi")
+
+
 def effect_distance(tidied: DataFrame, item: str = "haplo", along: str = "trait_name") -> DataFrame:
     """Euclidean distance between every two rows of the effect matrix (or,
     with the arguments exchanged, every two columns).
@@ -126,12 +137,11 @@ def effect_distance(tidied: DataFrame, item: str = "haplo", along: str = "trait_
     A missing effect leaves its column out and the sum is scaled up in
     proportion. Matching is by equal (locus, dataset, ``along``), where a
     haplotype name occurs once and names number at most 1 / min_freq. Between
-    traits (``item="trait_name"``) all pairs of a model's traits result: ask
-    for that side only for models of few traits. A model with a single
-    haplotype has no distances on either side.
+    traits (``item="trait_name"``) the join grows with the square of a model's
+    traits: ``trait_distance`` is for many. A model with a single haplotype has
+    no distances on either side.
     """
-    several = tidied.groupBy(*MODEL).agg((F.count_distinct("haplo") > 1).alias("_several")).filter("_several")
-    tidied = tidied.join(broadcast_if_small(several.select(*MODEL)), MODEL, "left_semi")
+    tidied = several_haplotypes(tidied)
     cells = tidied.filter(F.col("estimate").isNotNull()).select(*MODEL, item, along, "estimate")
     width = tidied.groupBy(*MODEL).agg(F.count_distinct(along).alias("_width"))
     left = cells.withColumnsRenamed({item: "first", "estimate": "_a"})
@@ -147,3 +157,62 @@ def effect_distance(tidied: DataFrame, item: str = "haplo", along: str = "trait_
             F.sqrt(F.col("_sum") * F.col("_width") / F.col("_used")).alias("distance"),
         )
     )
+
+
+def trait_distance(tidied: DataFrame, block: int = TRAIT_BLOCK) -> DataFrame:
+    """``effect_distance`` between the traits of each model, for many traits.
+
+    A trait is one row with its effects (at most 1 / min_freq of them). Traits
+    are numbered and cut into blocks; a task gets two blocks and computes their
+    distances as one array. So a trait is copied once per block, not matched
+    row by row with every other trait, and a task holds 2 x ``block`` traits.
+    The result has a row per pair of traits of a model that share a haplotype
+    with effects in both; NaN effects give NaN. Null traits have no distances.
+    """
+    rows = several_haplotypes(tidied)
+    width = rows.groupBy(*MODEL).agg(F.count_distinct("haplo").alias("width"))
+    traits = (
+        rows.filter(F.col("estimate").isNotNull() & F.col("trait_name").isNotNull())
+        .groupBy(*MODEL, "trait_name")
+        .agg(F.collect_list("haplo").alias("haplos"), F.collect_list("estimate").alias("effects"))
+    )
+    model = Window.partitionBy(*MODEL)
+    number = F.row_number().over(model.orderBy("trait_name")) - 1
+    numbered = traits.withColumns({"number": number, "blocks": F.ceil(F.count("*").over(model) / block)})
+    own, other = F.floor(F.col("number") / block), F.col("other")
+    copies = (
+        numbered.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .withColumns({"low": F.least(own, other), "high": F.greatest(own, other), "own": own})
+        .join(width, MODEL)
+        .drop("blocks", "other")
+    )
+
+    def distances(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("number", ignore_index=True)
+        places = {name: i for i, name in enumerate(sorted({x for names in part.haplos for x in names}))}
+        effects = np.zeros((len(part), len(places)))
+        present = np.zeros(effects.shape, dtype=bool)
+        for i, (names, values) in enumerate(zip(part.haplos, part.effects)):
+            at = [places[x] for x in names]
+            effects[i, at], present[i, at] = values, True
+        left = np.flatnonzero(part.own == part.low[0])
+        right = np.flatnonzero(part.own == part.high[0])
+        found = []
+        for i in left:
+            second = right[right > i]
+            both = present[i] & present[second]
+            gaps = np.where(both, (effects[i] - effects[second]) ** 2, 0.0).sum(axis=1)
+            used = both.sum(axis=1)
+            some = used > 0
+            far = np.sqrt(gaps[some] * part.width[0] / used[some])
+            found.append(pd.DataFrame({"first": part.trait_name[i], "second": part.trait_name[second[some]].to_numpy(), "distance": far}))
+        out = pd.concat(found, ignore_index=True)
+        for place, name in enumerate(MODEL):
+            out.insert(place, name, part[name][0])
+        return out
+
+    kinds = {f.name: f.dataType.simpleString() for f in tidied.schema}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in MODEL) + ", first string, second string, distance double"
+    pairs = copies.groupBy(*MODEL, "low", "high").applyInPandas(distances, schema)
+    # Pandas returns NaN as null.
+    return pairs.withColumn("distance", F.coalesce("distance", F.lit(float("nan"))))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +76,28 @@ def test_distance_scales_missing_effects(spark):
     assert results.effect_distance(single).count() == 0
 
 
+@pytest.mark.parametrize("block", [3, 128])
+def test_trait_distance_equals_the_join(spark, block):
+    rng = random.Random(block)
+    rows = [
+        (locus, "d", f"t{t}", f"H{h}", rng.choice([None, rng.gauss(0, 1)]))
+        for locus, n in (("L", 11), ("M", 3), ("N", 1)) for t in range(n) for h in range(4) if rng.random() < 0.8
+    ]
+    # One haplotype only, a trait without effects, a null trait, NaN effects, two traits that share nothing.
+    rows += [("P", "d", f"t{t}", "H1", 1.0) for t in range(4)]
+    rows += [("Q", "d", "empty", "H1", None), ("Q", "d", "a", "H1", 1.0), ("Q", "d", "b", "H2", 2.0), ("Q", "d", None, "H1", 3.0)]
+    rows += [("R", "d", "a", "H1", float("nan")), ("R", "d", "b", "H1", 1.0), ("R", "d", "b", "H2", 1.0), ("R", "d", "c", "H2", 4.0)]
+    tidy = spark.createDataFrame(rows, "locus string, dataset string, trait_name string, haplo string, estimate double")
+
+    def found(frame):
+        return sorted((r.locus, r["first"], r["second"], repr(round(r.distance, 9))) for r in frame.collect())
+
+    want = found(results.effect_distance(tidy.filter("trait_name is not null"), "trait_name", "haplo"))
+    assert found(results.trait_distance(tidy, block)) == want and len(want) > 30
+    assert {x[0] for x in want} == {"L", "M", "R"}
+    assert results.trait_distance(tidy.limit(0), block).count() == 0
+
+
 def test_report_sentences(spark):
     row = ("L", "d", 13447, 169, 5.0, 13442.0, 100, 72, 12, 73, 13)
     counts = spark.createDataFrame(
