@@ -26,7 +26,9 @@ from locusframe.functions import genotype, keys, labels
 from locusframe.operators import annotate, freq, merge, reshape, variants
 from locusframe.operators.display import display_annotation
 from locusframe.plans.association import kept_sites, kept_variants, long_traits
+from locusframe.session import new_path
 from locusframe.sources import tables
+from locusframe.sources.lookup import store_lookup
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -227,7 +229,8 @@ _ANNOTATED = [
 ]
 
 
-def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def annotation_asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct variants, and a lookup that knows most of them."""
     v = v_variants(spark, sf_dir)
     key = keys.variant_key(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt"))
     asked = v.select("chrom", "pos", "ref", "alt", key.alias("variant")).distinct()
@@ -240,7 +243,19 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("chrom", "pos", allele.alias("allele"))
         .agg(F.min("id").alias("annotation"))
     )
-    return annotate.annotate_variants(asked, lookup)
+    return asked, lookup
+
+
+def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotate.annotate_variants(*annotation_asked(spark, sf_dir))
+
+
+@query(with_views("v_variants", extra=_ANNOTATED) + "SELECT variant, annotation, swapped FROM annotated")
+def annotate_stored_lookup(spark, sf_dir):
+    """The lookup stored by position, which the join leaves where it is."""
+    asked, lookup = annotation_asked(spark, sf_dir)
+    stored = store_lookup(lookup, new_path(spark, "annotation-lookup"), 32)
+    return annotate.annotate_variants(asked, stored).select("variant", "annotation", "swapped")
 
 
 @query(with_views("v_variants", extra=_ANNOTATED) + "SELECT variant, annotation, swapped FROM annotated")

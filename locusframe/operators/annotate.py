@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from locusframe.functions.keys import lookup_allele, parse_variant_key
 from locusframe.functions.labels import clean_consequence, default_blank, spaced, yes_no
@@ -20,19 +21,34 @@ def split_variant_keys(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def position_lookup(lookup: DataFrame) -> DataFrame:
+    """One row per (chrom, pos) with ``found``, the annotation of each allele.
+
+    ``lookup`` has chrom, pos, allele, annotation; rows with a null in any of
+    them answer nothing and are left out. Of several records of one allele the
+    smallest is taken, nested ones by their JSON text (maps have no order).
+    """
+    known = lookup.dropna(subset=["chrom", "pos", "allele", "annotation"])
+    nested = isinstance(lookup.schema["annotation"].dataType, (ArrayType, MapType, StructType))
+    rank = F.to_json("annotation") if nested else F.col("annotation")
+    alleles = known.groupBy("chrom", "pos", "allele").agg(F.min_by("annotation", rank).alias("annotation"))
+    return alleles.groupBy("chrom", "pos").agg(
+        F.map_from_entries(F.collect_list(F.struct("allele", "annotation"))).alias("found")
+    )
+
+
 def annotate_variants(variants: DataFrame, lookup: DataFrame) -> DataFrame:
     """``variants`` with the annotation record of each, and a swapped retry.
 
-    ``lookup`` has chrom, pos, allele, annotation. A variant is looked up
-    under its ALT allele and, failing that, with REF and ALT swapped. Every
-    row and column of ``variants`` stays. Of several records of one allele the
-    smallest is taken. The few alleles of a position are one row of the
-    lookup, so one join on (chrom, pos) serves both attempts and adds no rows.
+    ``lookup`` has chrom, pos, allele, annotation, or is what
+    ``position_lookup`` makes of such rows (see ``sources.lookup`` for storing
+    it). A variant is looked up under its ALT allele and, failing that, with REF
+    and ALT swapped. Every row and column of ``variants`` stays. The few alleles
+    of a position are one row, so one join on (chrom, pos) serves both attempts
+    and adds no rows.
     """
-    alleles = lookup.groupBy("chrom", "pos", "allele").agg(F.min("annotation").alias("annotation"))
-    by_place = alleles.groupBy("chrom", "pos").agg(
-        F.map_from_entries(F.collect_list(F.struct("allele", "annotation"))).alias("_found")
-    )
+    by_place = lookup if "found" in lookup.columns else position_lookup(lookup)
+    by_place = by_place.select("chrom", "pos", F.col("found").alias("_found"))
     direct = F.col("_found")[lookup_allele(F.col("ref"), F.col("alt"))]
     swapped = F.col("_found")[lookup_allele(F.col("alt"), F.col("ref"))]
     hit = direct.isNotNull() | swapped.isNotNull()

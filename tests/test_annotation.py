@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from locusframe.operators import annotate
 from locusframe.sinks import tables as sinks
 from locusframe.sources.annotation import ANNOTATION_DDL, SUMMARY_COLUMNS, scan_annotation_summary
+from locusframe.sources.lookup import open_lookup, store_lookup, table_name
 
 CODING = {
     "biotype": "protein_coding", "consequence_terms": ["missense_variant", "splice_region_variant"],
@@ -97,6 +98,53 @@ def test_lookup_retry_and_rejects(spark):
     assert (counts.n_annotated, counts.n_total) == (3, 4)
 
 
+LOOKUP = "chrom string, pos long, allele string, annotation string"
+
+
+def test_lookup_with_nulls_and_repeats(spark):
+    keys = spark.createDataFrame([("5", 1, "A", "T"), ("5", 2, "A", "T"), (None, 1, "A", "T"), ("5", 1, "A", "T")], "chrom string, pos long, ref string, alt string")
+    lookup = spark.createDataFrame(
+        [("5", 1, None, "no allele"), ("5", 1, "T", None), ("5", 1, "T", "b"), ("5", 1, "T", "a"), (None, 1, "T", "x"), ("5", 2, "A", None)], LOOKUP
+    )
+    got = sorted(map(tuple, annotate.annotate_variants(keys, lookup).collect()), key=str)
+    assert got == sorted([(None, 1, "A", "T", None, None), ("5", 2, "A", "T", None, None), *[("5", 1, "A", "T", "a", False)] * 2], key=str)
+    assert annotate.annotate_variants(keys, lookup.limit(0)).filter("annotation is null").count() == 4
+
+
+def test_lookup_of_documents(spark, documents):
+    """Annotations that hold maps."""
+    place = documents.select(F.split("variant", ":").alias("v"), "annotation")
+    lookup = place.select(F.col("v")[0].alias("chrom"), F.col("v")[1].cast("long").alias("pos"), F.col("v")[3].alias("allele"), "annotation")
+    keys, _ = annotate.split_variant_keys(documents.select("variant"))
+    got = annotate.annotate_variants(keys, lookup.unionAll(lookup))
+    assert got.count() == 7
+    assert annotate.summarize_annotations(got.drop("swapped")).filter("variant = '5:1:A:T'").first().gnomad_af == 0.3
+
+
+def test_stored_lookup_is_not_shuffled(spark, tmp_path):
+    lookup = spark.createDataFrame([(str(i % 22), i, a, f"{i}{a}") for i in range(400) for a in "AT"], LOOKUP)
+    keys = spark.createDataFrame([(str(i % 22), i, "G", "T") for i in range(0, 500, 3)], "chrom string, pos long, ref string, alt string")
+    path = str(tmp_path / "store")
+    stored = store_lookup(lookup, path, 4)
+    want = sorted(map(tuple, annotate.annotate_variants(keys, lookup).collect()), key=str)
+    for _ in range(2):
+        limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            joined = annotate.annotate_variants(keys, stored)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+            assert sorted(map(tuple, joined.collect()), key=str) == want
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        # A later session's catalog does not know the table yet.
+        spark.sql(f"DROP TABLE {table_name(path)}")
+        stored = open_lookup(spark, path)
+    # Stored again in place, with other rows and buckets.
+    again = store_lookup(lookup.limit(10), path, 2)
+    assert again.count() == 5 and open_lookup(spark, path + "/").count() == 5
+
+
 def test_percentages_round_half_even(spark):
     rows = [("L", "a", "g", 1), ("L", "b", "g", 3), ("L", "c", "g", 4), ("M", "a", "g", 2)]
     counts = spark.createDataFrame(rows, "locus string, annot string, gene string, count_snp long")
