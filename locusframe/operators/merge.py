@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from locusframe.operators.variants import (
     allele_count_band_filter,
     allele_count_derive,
-    sample_variant_counts,
+    locus_profile,
+    profile_counts,
+    profile_variants,
 )
 
 
@@ -35,17 +37,18 @@ def merged_counts(
     min_ac: float,
     trait_counts: dict[str, int],
     n_covariates: int | None,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
-    """Counts of the merged-data report per locus and dataset.
+    """Counts of the merged-data report per locus and dataset, read from the
+    ``locus_profile`` of the dosage rows (made here unless it is given).
 
     ``n_snps`` counts distinct CHROM:POS, ``n_kept`` distinct kept variants.
     ``legacy_*`` are one larger, as older reports count the id column too.
     """
-    counts = sample_variant_counts(dosage)
-    # Frequencies belong to variants: reduce to those before the band.
-    variants = dosage.select("locus", "chrom", "pos", "ref", "alt", "af").distinct()
+    profile = locus_profile(dosage) if profile is None else profile
+    counts = profile_counts(profile)
     kept = (
-        allele_count_band_filter(allele_count_derive(variants, counts), min_ac)
+        allele_count_band_filter(allele_count_derive(profile_variants(profile), counts), min_ac)
         .select("locus", "snp_id")
         .distinct()
         .groupBy("locus")

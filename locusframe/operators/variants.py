@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions.genotype import fold_frequency
 from locusframe.functions.keys import is_snp_id, position_key, snp_id
-from locusframe.session import small_side
+from locusframe.session import materialize, small_side
 
 BIN_WIDTH = 1_000_000
 
@@ -91,6 +91,34 @@ def sample_variant_counts(dosage: DataFrame) -> DataFrame:
     return sample_counts(dosage).join(site_counts(dosage), "locus")
 
 
+def locus_profile(dosage: DataFrame) -> DataFrame:
+    """Individuals and variants of every locus in one scan of the dosage rows:
+    one row per (locus, iid), and one per (locus, chrom, pos, ref, alt, af) with
+    a null ``iid``; ``is_sample`` tells them apart.
+
+    Both sets combine before the shuffle, so it carries a task's distinct rows.
+    The stored table has a row per individual and variant instead of one per
+    cell; counts, band and rejects are read from it.
+    """
+    variant = ["locus", "chrom", "pos", "ref", "alt", "af"]
+    sets = dosage.groupingSets([["locus", "iid"], variant], *dict.fromkeys(["locus", "iid", *variant]))
+    rows = sets.agg(F.grouping("iid").alias("_variant"))
+    return materialize(rows.select("iid", *variant, (F.col("_variant") == 0).alias("is_sample")), "locus-profile")
+
+
+def profile_counts(profile: DataFrame) -> DataFrame:
+    """n_sample and n_snps (distinct CHROM:POS) per locus."""
+    return profile.groupBy("locus").agg(
+        F.count("iid").alias("n_sample"),
+        F.count_distinct(F.when(~F.col("is_sample"), position_key(F.col("chrom"), F.col("pos")))).alias("n_snps"),
+    )
+
+
+def profile_variants(profile: DataFrame) -> DataFrame:
+    """Distinct variants with their frequencies."""
+    return profile.filter(~F.col("is_sample")).select("locus", "chrom", "pos", "ref", "alt", "af")
+
+
 def allele_count_derive(dosage: DataFrame, n_samples: DataFrame, ploidy_factor: int = 1) -> DataFrame:
     """Add snp_id, maf and ac = af * n_sample.
 

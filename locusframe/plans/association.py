@@ -23,7 +23,10 @@ from locusframe.operators.results import haplotype_dictionary, haplotype_right_j
 from locusframe.operators.variants import (
     allele_count_band_filter,
     allele_count_derive,
+    locus_profile,
     non_variant_select,
+    profile_counts,
+    profile_variants,
     sample_counts,
     variant_column_select,
 )
@@ -40,6 +43,7 @@ class Association:
     haplotypes: DataFrame
     dictionary: DataFrame
     results: DataFrame
+    profile: DataFrame
 
 
 def kept_variants(dosage: DataFrame, min_ac: float) -> DataFrame:
@@ -48,29 +52,37 @@ def kept_variants(dosage: DataFrame, min_ac: float) -> DataFrame:
     return allele_count_band_filter(allele_count_derive(dosage, counts), min_ac)
 
 
-def banded_variants(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
+def banded_variants(profile: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
     """Variants inside the allele count band, one row each.
 
     The band is a property of the variant, so it is decided on one row per
     variant: on ``frequencies`` (locus, chrom, pos, ref, alt, af) when that
-    table is at hand, else on the distinct variants of the dosage rows.
+    table is at hand, else on the variants of the profile.
     """
-    source = dosage if frequencies is None else frequencies
-    variants = source.select("locus", "chrom", "pos", "ref", "alt", "af").distinct()
-    return allele_count_band_filter(allele_count_derive(variants, sample_counts(dosage)), min_ac)
+    if frequencies is None:
+        variants = profile_variants(profile)
+    else:
+        variants = frequencies.select("locus", "chrom", "pos", "ref", "alt", "af").distinct()
+    return allele_count_band_filter(allele_count_derive(variants, profile_counts(profile)), min_ac)
 
 
-def kept_sites(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
+def kept_sites(
+    dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None, profile: DataFrame | None = None
+) -> DataFrame:
     """Indexed sites of the haplotypes: inside the band, with a genotype
     column name (numbered chromosome, plain alleles)."""
-    banded = banded_variants(dosage, min_ac, frequencies)
+    profile = locus_profile(dosage) if profile is None else profile
+    banded = banded_variants(profile, min_ac, frequencies)
     return materialize(site_dictionary(variant_column_select(banded, "snp_id")), "sites")
 
 
-def rejected_variants(dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None) -> DataFrame:
+def rejected_variants(
+    dosage: DataFrame, min_ac: float, frequencies: DataFrame | None = None, profile: DataFrame | None = None
+) -> DataFrame:
     """Variants inside the band whose name keeps them out of the haplotypes
     (such as those of chromosome X), counted per locus."""
-    banded = banded_variants(dosage, min_ac, frequencies)
+    profile = locus_profile(dosage) if profile is None else profile
+    banded = banded_variants(profile, min_ac, frequencies)
     return non_variant_select(banded, "snp_id").groupBy("locus").agg(F.count("*").alias("n_rejected"))
 
 
@@ -100,7 +112,8 @@ def run_association(
     With ``joint``, coefficients come from the joint fit of phase and
     regression; else the posteriors of the haplotype estimation stay fixed.
     """
-    sites = kept_sites(dosage, limits.min_ac, frequencies)
+    profile = locus_profile(dosage)
+    sites = kept_sites(dosage, limits.min_ac, frequencies, profile)
     genotypes = materialize(genotype_vectors(dosage, sites), "genotypes")
     responses = prepare_responses(long_traits(phenotypes), covariates)
     fit = haplotype_models(genotypes, responses, limits)
@@ -110,5 +123,5 @@ def run_association(
     dictionary = haplotype_dictionary(haplotypes)
     results = haplotype_right_join(coefficients, dictionary)
     return Association(
-        sites, genotypes, responses, fit, coefficients, haplotypes, dictionary, results
+        sites, genotypes, responses, fit, coefficients, haplotypes, dictionary, results, profile
     )

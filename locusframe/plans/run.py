@@ -22,6 +22,7 @@ from locusframe.plans.association import Association, rejected_variants, run_ass
 from locusframe.plans.report import report_sections, report_table, write_report
 from locusframe.session import materialize
 from locusframe.sinks import tables as sinks
+from locusframe.sources.lookup import open_lookup, store_lookup
 from locusframe.sources.quality import regions_without_variants, require_text_input
 from locusframe.sources.tables import (
     dataset_catalog,
@@ -95,7 +96,9 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     Keys: datasets, phenotype_files, covariates_file, path_loci, path_vcf,
     path_workspace, thresholds, joint (phase and regression fitted together;
     true unless set to false), annotation_lookup (Parquet with chrom, pos,
-    allele, annotation; variants are annotated where it is given), vcf_index
+    allele, annotation; variants are annotated where it is given),
+    annotation_store (place of that lookup stored by position, which later runs
+    read without shuffling it; made from annotation_lookup if missing), vcf_index
     (place of the slab index of a block-compressed VCF; made if missing).
     """
     out = str(config["path_workspace"]).rstrip("/")
@@ -113,6 +116,7 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
         limits.min_ac,
         {name: len(value_columns(table)) for name, table in phenotypes.items()},
         None if covariates is None else len(value_columns(covariates)),
+        run.profile,
     )
     sinks.export_variant_keys(extracted.frequencies, f"{out}/keys")
     sinks.write_summary_text(summary_text(counts), f"{out}/summary")
@@ -122,10 +126,10 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     for name, table in phenotypes.items():
         wide = genotype_phenotype_join(run.genotypes, table.withColumn("dataset", F.lit(name)))
         sinks.write_merged(covariate_join(wide, covariates), f"{out}/merged/{name}")
-    lookup, documents = optional_path(config.get("annotation_lookup")), None
+    lookup, documents = _annotations(spark, config), None
     if lookup is not None:
         keys = extracted.frequencies.select("locus", variant_key(*map(F.col, ("chrom", "pos", "ref", "alt"))).alias("variant")).distinct()
-        annotated, rejects = annotate_keys(keys, spark.read.parquet(lookup))
+        annotated, rejects = annotate_keys(keys, lookup)
         annotated.write.parquet(f"{out}/annotation/variants")
         rejects.write.parquet(f"{out}/annotation/rejects")
         documents = spark.read.schema(annotated.schema).parquet(f"{out}/annotation/variants").filter(F.col("annotation").isNotNull())
@@ -133,6 +137,19 @@ def run_config(spark: SparkSession, config: Mapping[str, object]) -> Association
     return run
 
 
+def _annotations(spark: SparkSession, config: Mapping[str, object]) -> DataFrame | None:
+    """The lookup that the configuration names, stored by position if it says so."""
+    rows, store = optional_path(config.get("annotation_lookup")), optional_path(config.get("annotation_store"))
+    if store is None:
+        return None if rows is None else spark.read.parquet(rows)
+    try:
+        return open_lookup(spark, store)
+    except AnalysisException:
+        if rows is None:
+            raise
+        return store_lookup(spark.read.parquet(rows), store)
+
+
 def _sections(
     run: Association, extracted: Extraction, counts: DataFrame, documents: DataFrame | None, limits: Thresholds
 ) -> dict[str, DataFrame]:
@@ -144,5 +161,5 @@ def _sections(
     else:
         annotation = display_annotation(summarize_annotations(documents))
     display = materialize(display_table(run.haplotypes, run.sites, annotation, extracted.frequencies), "display")
-    rejected = rejected_variants(extracted.dosage, limits.min_ac, extracted.frequencies)
+    rejected = rejected_variants(extracted.dosage, limits.min_ac, extracted.frequencies, run.profile)
     return report_sections(run, extracted.frequencies, counts, documents, display, rejected)

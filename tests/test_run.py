@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 from pyspark.sql import functions as F
 
 from locusframe.plans.report import read_report, write_report
 from locusframe.plans.run import extract_regions, read_phenotypes, run_config
+from locusframe.sources.annotation import ANNOTATION_DDL
 from locusframe.sources.tables import scan_regions
 
 
@@ -80,6 +82,28 @@ def test_run(spark, tmp_path):
     assert {len(r.pattern) for r in run.genotypes.collect()} == {3}
 
 
+def test_run_with_annotations(spark, tmp_path):
+    """The lookup is stored once and serves the next run without its source."""
+    files(tmp_path)
+    record = {"most_severe_consequence": "missense_variant", "input_ref_allele": "A", "input_alt_allele": "G",
+              "colocated_variants": [{"id": "rs100", "frequencies": {"G": {"gnomadg": 0.25}}}]}
+    text = json.dumps({"variant": "22:100:A:G", "annotation": [record]})
+    rows = spark.createDataFrame([(100, "G"), (100, "G"), (200, "G"), (100, None)], "pos long, allele string").withColumn("text", F.lit(text))
+    rows.select(F.lit("22").alias("chrom"), "pos", "allele", F.from_json("text", ANNOTATION_DDL)["annotation"].alias("annotation")).write.parquet(f"{tmp_path}/lookup")
+    config = {
+        "datasets": "clinical", "phenotype_files": f"{tmp_path}/p.tsv", "path_loci": f"{tmp_path}/r.txt", "path_vcf": f"{tmp_path}/a.vcf",
+        "thresholds": {"min_freq": "0.05", "min_ac": 5}, "joint": "false", "annotation_store": f"{tmp_path}/store",
+    }
+    for place, more in (("one", {"annotation_lookup": f"{tmp_path}/lookup"}), ("two", {})):
+        run_config(spark, {**config, **more, "path_workspace": f"{tmp_path}/{place}"})
+        got = spark.read.parquet(f"{tmp_path}/{place}/annotation/variants")
+        hits = {(r.locus, r.variant, r.swapped) for r in got.filter("annotation is not null").collect()}
+        assert hits == {("ONE", "22:100:A:G", False), ("ONE", "22:200:G:A", True), ("TWO", "22:200:G:A", True)}
+        assert got.count() == 6
+        report = read_report(spark, f"{tmp_path}/{place}/report")
+        assert report.filter("section = 'annotation'").count() > 0
+
+
 def test_empty_regions_are_reported(spark, tmp_path):
     files(tmp_path)
     regions = scan_regions(spark, f"{tmp_path}/r.txt")

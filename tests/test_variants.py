@@ -136,3 +136,20 @@ def test_histogram_edges(spark):
     assert [round(r.end, 3) for r in rows] == [0.1, 0.2, 0.3, 0.4, 0.5]
     assert [r.n for r in rows] == [4, 1, 0, 1, 1]
     assert sum(r.n for r in freq.histogram_30(frame).collect()) == len(values)
+
+
+def test_locus_profile(spark):
+    """Counts of one scan equal those of separate distincts, with nulls and
+    repeated rows; a variant with two frequencies stays two rows."""
+    rows = [
+        ("L", f"i{i}", "5", pos, "A", alt, af)
+        for i in range(4) for pos, alt, af in ((1, "T", 0.2), (1, "C", 0.3), (2, "T", None), (3, "G", 0.5)) for _ in range(2)
+    ]
+    rows += [("L", "i0", "5", 3, "A", "G", 0.6), ("L", None, "5", 9, "A", "G", 0.6), ("M", "i0", None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "locus string, iid string, chrom string, pos long, ref string, alt string, af double")
+    profile = variants.locus_profile(frame.withColumn("dosage", F.lit(1.0)))
+    got = {tuple(r) for r in variants.profile_counts(profile).collect()}
+    assert got == {tuple(r) for r in variants.sample_variant_counts(frame).collect()} and len(got) == 2
+    want = sorted(map(tuple, frame.drop("iid").distinct().collect()), key=str)
+    assert sorted(map(tuple, variants.profile_variants(profile).collect()), key=str) == want
+    assert variants.locus_profile(frame.limit(0)).count() == 0
