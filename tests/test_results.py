@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusframe.operators import display, merge, reshape, results
+from locusframe.session import materialize
 
 HAPS = "locus string, dataset string, trait_name string, hap_pos int, haplotype string, alleles string"
 
@@ -146,3 +147,18 @@ def test_display_chain(spark):
     # The first site has no common haplotype with a different code.
     ranks = {r.snp_label: r.snp_rank for r in table.collect()}
     assert ranks == {"chr5:10_A_G": 1, "chr5:20_C_TT": 2}
+
+
+def test_trait_distance_copies_no_trait_on_disk(spark, monkeypatch):
+    rows = [("L", "d", f"t{t:03d}", f"H{h}", float(t * h)) for t in range(60) for h in range(3)] + [("L", "d", "t000", None, 1.0)]
+    tidy = spark.createDataFrame(rows, "locus string, dataset string, trait_name string, haplo string, estimate double")
+    kept = []
+    monkeypatch.setattr(results, "materialize", lambda df, label: kept.append(materialize(df, label)) or kept[-1])
+    found = results.trait_distance(tidy, 4, lot_bytes=2_000, task_pairs=10)
+    plan = found._jdf.queryExecution().toString()
+    # Blocks meet through broadcasts of several lots, not through a shuffle of copies.
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("Union") > 0
+    assert kept[-1].agg({"block": "count"}).first()[0] < 60 // 4 + 20
+    assert found.count() == 60 * 59 // 2
+    want = {(r["first"], r["second"]): round(r.distance, 9) for r in results.effect_distance(tidy, "trait_name", "haplo").collect()}
+    assert {(r["first"], r["second"]): round(r.distance, 9) for r in found.collect()} == want
