@@ -16,9 +16,8 @@ Restored words are scored by their log odds between toxic and clean labelled
 texts, for the word and its first four to six letters; a logistic model over
 the words found in a text (how many, how strong, how dense) gives the score.
 
-Labels are learned from at most about ``LABELLED`` rows of the learning part,
-taken by a hash of the id; one half of them weighs words, the other fits the
-logistic model.
+Labels are learned from all rows of the learning part: one half of them, by a
+hash of the id, weighs words, the other fits the logistic model.
 
 Defined results: a null text is empty; empty texts, and all texts without a
 learned label of each kind, get the share of toxic rows (0 without any label);
@@ -45,9 +44,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from locusframe.llm.common import arrow_stage, crc_bucket, stored, table, utf8_or_empty, worker_cache
+from locusframe.session import broadcast_if_small
 
-#: Labelled documents the model is learned from, about.
-LABELLED = 20_000
+#: Least share of the texts it is learned from that a word of the lexicon is in:
+#: the lexicon stays bounded however many texts there are.
+WORD_SHARE = 4e-4
 #: Most weighted words and word starts of a model.
 MAX_FEATURES = 20_000
 #: Toxic texts a feature must be in, and its least log odds (lower bound).
@@ -616,14 +617,37 @@ def measured(texts: list[bytes], weight_of: _Weights) -> list[list[float]]:
     return [row for tokens in token_batches(texts) for row in weight_of.measured(tokens)]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Ridge logistic regression by Newton steps (first column: constant)."""
-    beta, penalty = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
+def _newton_sums(rows: DataFrame, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over ``rows`` (x, toxic) of slopes and curvatures at ``beta``; each
+    task adds up its own rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(beta)
+        sums = np.zeros(size + size * size)
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array(batch.column(0).to_pylist())
+                p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+                sums[:size] += x.T @ (batch.column(1).to_numpy() - p)
+                sums[size:] += ((x * (p * (1 - p))[:, None]).T @ x).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array(sums)], names=["i", "s"])
+
+    added = rows.mapInArrow(run, "i int, s double").groupBy("i").agg(F.sum("s").alias("s")).collect()
+    sums = np.zeros(len(beta) + len(beta) ** 2)
+    for r in added:
+        sums[r.i] = r.s
+    return sums[: len(beta)], sums[len(beta) :].reshape(len(beta), -1)
+
+
+def _logistic(rows: DataFrame, ridge: float = 1.0) -> np.ndarray:
+    """Ridge logistic regression of all stored ``rows`` (x, toxic) by Newton
+    steps (first column: constant). Only sums leave the tasks."""
+    size = len(_seen([], 0))
+    beta, penalty = np.zeros(size), ridge * np.eye(size)
     penalty[0, 0] = 1e-6
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (y - p) - penalty @ beta
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, slope)
+        slope, curve = _newton_sums(rows, beta)
+        step = np.linalg.solve(curve + penalty, slope - penalty @ beta)
         beta = beta + step
         if np.abs(step).max() < 1e-8:
             break
@@ -635,12 +659,9 @@ def learned(docs: DataFrame, labels: DataFrame, chars: CharModel) -> Model | flo
     labels, the share of toxic ones."""
     spark = docs.sparkSession
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    count = marks.count()
-    share = min(1.0, LABELLED / max(1, count))
-    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    marks = marks.where(dealt < int(share * (1 << 30))).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)))
-    # At most about LABELLED rows, so that they can be broadcast.
-    texts = stored(docs.join(F.broadcast(marks), "doc_id").select("text", "toxic", "half"), "labelled")
+    halves = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))
+    marks = stored(marks.withColumn("half", halves), "marks")
+    texts = stored(docs.join(broadcast_if_small(marks), "doc_id").select("text", "toxic", "half"), "labelled")
     # Broadcasts hold plain objects: workers may lack this package.
     logp = spark.sparkContext.broadcast(chars.logp)
 
@@ -690,7 +711,7 @@ def learned(docs: DataFrame, labels: DataFrame, chars: CharModel) -> Model | flo
     weights = {r.feature: r.odds for r in chosen.collect()}
     # Word starts end in '-', words never do.
     seen = counted.where("feature <> '' and feature not like '%-'").select("feature", (F.col("toxic") + F.col("clean")).alias("n"))
-    seen = seen.where(f"n >= {LEAST_TEXTS}").collect()
+    seen = seen.where(F.col("n") >= max(LEAST_TEXTS, WORD_SHARE * (sizes.toxic + sizes.clean))).collect()
     total = sum(r.n for r in seen)
     known = {r.feature: math.log(r.n / total) for r in seen}
 
@@ -701,11 +722,11 @@ def learned(docs: DataFrame, labels: DataFrame, chars: CharModel) -> Model | flo
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
     second = arrow_stage(texts.where("half = 1").select("text", F.col("toxic").cast("int")), measure, "x array<double>, toxic int")
-    rows = second.collect()
-    y = np.array([r.toxic for r in rows], dtype=np.float64)
-    if not len(y) or y.min() == y.max():
+    second = stored(second, "measured")
+    kinds = second.agg(F.count("*").alias("n"), F.min("toxic").alias("low"), F.max("toxic").alias("high")).first()
+    if not kinds.n or kinds.low == kinds.high:
         return float(sizes.toxic / (sizes.toxic + sizes.clean))
-    return Model(chars, weights, _logistic(np.array([r.x for r in rows]), y).tolist(), known)
+    return Model(chars, weights, _logistic(second).tolist(), known)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, score: str = "score", predicted: str = "predicted") -> DataFrame:
