@@ -19,7 +19,7 @@ from locusframe.operators import haplotypes, reshape
 from locusframe.operators.glm import haplotype_models, prepare_responses
 from locusframe.operators.joint import fit_joint
 from locusframe.plans.association import long_traits
-from locusframe.session import materialize
+from locusframe.session import materialize, spread
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -58,7 +58,7 @@ def open_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """locus, iid, pattern of every customer at every region."""
 
     def build() -> DataFrame:
-        people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        people = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), width=150)
         key, home, k = F.col("c_custkey"), F.col("c_nationkey"), F.col("k")
         # Sites 0-2 in the lower bits, 3-5 in the upper ones.
         one = _half((key * 7 + 5 * k + 3) % 16, (0, 6, 5)) + 8 * _half((F.floor(key / 16) + home + k) % 16, (0, 3, 4))
@@ -66,15 +66,16 @@ def open_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         bit = F.pow(F.lit(2), F.col("site"))
         g = F.floor(one / bit) % 2 + F.floor(two / bit) % 2
         absent = (key + 7 * F.col("site") + k) % 29 == 0
+        places = materialize(open_sites(spark, sf_dir), "open-places")
         cells = people.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(24)))).withColumn("site", F.explode(F.sequence(F.lit(0), F.lit(5))))
-        rows = cells.join(F.broadcast(open_sites(spark, sf_dir)), ["k", "site"]).select(
+        rows = cells.join(F.broadcast(places), ["k", "site"]).select(
             "locus", key.cast("string").alias("iid"), F.lit("1").alias("chrom"), "pos", F.lit("A").alias("ref"), F.lit("C").alias("alt"),
             F.lit(0.5).alias("af"), F.concat(F.lit("s"), F.col("site").cast("string")).alias("snp_id"),
             F.when(~absent, g.cast("double")).alias("dosage"),
         )
-        dosage = materialize(rows, "open-dosage")
-        sites = materialize(reshape.site_dictionary(dosage.select("locus", "chrom", "pos", "ref", "alt", "snp_id").distinct()), "open-sites")
-        return materialize(reshape.genotype_vectors(dosage, sites), "open-vectors")
+        # Not stored in between: few tasks would read the packed cells again.
+        sites = materialize(reshape.site_dictionary(rows.select("locus", "chrom", "pos", "ref", "alt", "snp_id").distinct()), "open-sites")
+        return materialize(reshape.genotype_vectors(rows, sites), "open-vectors")
 
     return stored(spark, sf_dir, "open-vectors", build)
 
