@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import q_phase, views
-from locusframe.operators import reshape
+from locusframe.operators import glm, reshape
 from locusframe.session import broadcast_if_small, spread, tasks_for
 
 
@@ -47,3 +47,12 @@ def test_only_small_tables_are_broadcast(spark):
     hinted = lambda n: "ResolvedHint" in broadcast_if_small(spark.range(n))._jdf.queryExecution().analyzed().toString()
     # 8 bytes a row: 0.8 MB, and 16 MB.
     assert hinted(100_000) and not hinted(2_000_000)
+
+
+def test_many_individuals_are_not_broadcast(spark):
+    people = spark.range(50).selectExpr("string(id) AS iid", "double(id) AS y")
+    genotypes = spark.range(50).selectExpr("'L' AS locus", "string(id) AS iid", "'01' AS pattern")
+    few, many = glm._join_subjects(genotypes, people), glm._join_subjects(genotypes, people, most=10)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(few) and "Broadcast" not in plan(many)
+    assert sorted(few.collect()) == sorted(many.collect()) and many.count() == 50
