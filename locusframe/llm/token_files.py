@@ -36,7 +36,9 @@ from locusframe.llm.tokens import packed, word_memory, words
 MANIFEST = "part int, shard int, uri string, n_docs long, n_tokens long"
 STEP = 1024
 _HEAD = "<4s4I2Q"
-_BUCKETS = 1 << 20
+#: Slots of a round's pairs, so that a pair is looked up at once.
+_SLOT_BITS = 20
+_SLOTS = 1 << _SLOT_BITS
 
 
 class Grammar(NamedTuple):
@@ -46,25 +48,48 @@ class Grammar(NamedTuple):
     symbols: np.ndarray
 
 
-def _frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) -> list[tuple[int, int]]:
+def _pairs(symbols: np.ndarray, last: int) -> np.ndarray:
+    """Neighbours as one number each, of 32 bits if all symbols (up to ``last``)
+    fit in 16: these are sorted in half the time."""
+    wide = np.dtype(np.uint32 if last < 1 << 16 else np.uint64)
+    pairs = symbols[:-1].astype(wide)
+    pairs <<= wide.type(4 * wide.itemsize)
+    pairs |= symbols[1:]
+    return pairs
+
+
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    """Place of each pair in a table of ``_SLOTS``."""
+    bits = 8 * pairs.itemsize
+    return (pairs * pairs.dtype.type(0x9E3779B97F4A7C15 >> 64 - bits)) >> pairs.dtype.type(bits - _SLOT_BITS)
+
+
+def _frequent_pairs(
+    pairs: np.ndarray, end_id: int, least: int, most: int
+) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
     """Pairs found ``least`` times or more, most frequent first, such that no
-    symbol is the left of one chosen pair and the right of another."""
-    left, right = symbols[:-1], symbols[1:]
-    bucket = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(12)
-    counts = np.bincount(bucket, minlength=_BUCKETS)
-    floor = least
-    if np.count_nonzero(counts >= least) > 4 * most:
-        floor = max(least, int(np.partition(counts, -4 * most)[-4 * most]))
-    hot = (counts >= floor)[bucket] & (left != end_id) & (right != end_id)
-    keys, found = np.unique(
-        left[hot].astype(np.uint64) << np.uint64(32) | right[hot].astype(np.uint64), return_counts=True
-    )
-    keep = found >= least
-    keys, found = keys[keep], found[keep]
+    symbol is the left of one chosen pair and the right of another and no two
+    have one slot; what their slots hold (their number from 1); and the slots
+    of all pairs found so often."""
+    half = 4 * pairs.itemsize
+    keys = np.sort(pairs)
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    found = np.diff(start, append=len(keys))
+    often = np.flatnonzero(found >= least)
+    keys, found = keys[start[often]], found[often]
+    inside = (keys >> keys.dtype.type(half) != end_id) & (keys & keys.dtype.type((1 << half) - 1) != end_id)
+    keys, found = keys[inside], found[inside]
+    hot = np.zeros(_SLOTS, bool)
+    hot[_slots(keys)] = True
+    keys = keys[np.argsort(-found, kind="stable")[: 4 * most]]
+    slot_of = np.zeros(_SLOTS, np.uint16 if most < 1 << 16 else np.uint32)
     role: dict[int, str] = {}
+    taken: set[int] = set()
     chosen = []
-    for key in keys[np.argsort(-found, kind="stable")].tolist():
-        a, b = key >> 32, key & 0xFFFFFFFF
+    for key, slot in zip(keys.tolist(), _slots(keys).tolist(), strict=True):
+        a, b = key >> half, key & (1 << half) - 1
+        if slot in taken:
+            continue
         if a == b:
             if a in role:
                 continue
@@ -74,9 +99,11 @@ def _frequent_pairs(symbols: np.ndarray, end_id: int, least: int, most: int) ->
         else:
             role[a], role[b] = "left", "right"
         chosen.append((a, b))
+        taken.add(slot)
+        slot_of[slot] = len(chosen)
         if len(chosen) == most:
             break
-    return chosen
+    return chosen, slot_of, hot
 
 
 def compress(ids: np.ndarray, first: int, end_id: int, max_rules: int, batch: int = 6144, least: int = 16) -> Grammar:
@@ -85,31 +112,32 @@ def compress(ids: np.ndarray, first: int, end_id: int, max_rules: int, batch: in
     symbols = ids.astype(np.uint32)
     rules: list[tuple[int, int]] = []
     lengths: list[int] = []
+    fresh, hot = 0, np.ones(_SLOTS, bool)
     while True:
         room = min(batch, max_rules - len(rules))
         if room <= 0 or len(symbols) < 2:
             break
-        chosen = _frequent_pairs(symbols, end_id, least, room)
+        pairs = _pairs(symbols, first + max_rules - 1)
+        slots = _slots(pairs)
+        # Replacing makes a pair of old symbols rarer, so only those that were
+        # frequent before and pairs with a new symbol are counted.
+        new = symbols >= fresh
+        chosen, slot_of, hot = _frequent_pairs(pairs[hot[slots] | new[:-1] | new[1:]], end_id, least, room)
         if not chosen:
             break
-        named = {a << 32 | b: first + len(rules) + i for i, (a, b) in enumerate(chosen)}
-        keys = np.array(sorted(named), dtype=np.uint64)
-        names = np.array([named[k] for k in sorted(named)], dtype=np.uint32)
-        is_left = np.zeros(first + len(rules), bool)
-        is_right = is_left.copy()
-        is_left[[a for a, _ in chosen]] = True
-        is_right[[b for _, b in chosen]] = True
-        at = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
-        found = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1].astype(np.uint64)
-        place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-        hit = keys[place] == found
-        at, place = at[hit], place[hit]
+        fresh = first + len(rules)
+        half = pairs.dtype.type(4 * pairs.itemsize)
+        named = np.array([(0, 0), *chosen], dtype=pairs.dtype)
+        named = named[:, 0] << half | named[:, 1]
+        place = slot_of[slots]
+        at = np.flatnonzero(place)
+        at = at[named[place[at]] == pairs[at]]
         # In a run of one symbol every second pair is taken.
         starts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        run_start = np.repeat(at[starts], np.diff(np.append(starts, len(at))))
-        even = (at - run_start) % 2 == 0
-        at, place = at[even], place[even]
-        symbols[at] = names[place]
+        if len(starts) < len(at):
+            run_start = np.repeat(at[starts], np.diff(np.append(starts, len(at))))
+            at = at[(at - run_start) % 2 == 0]
+        symbols[at] = place[at].astype(np.uint32) + np.uint32(first + len(rules) - 1)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]
