@@ -11,7 +11,10 @@ one class from the start; then every class is verified against the smallest
 document that shares its token of the smallest hash (a star per token, for
 each order). What is not connected by then is joined by blocks: documents with
 one such token form blocks of bounded size, pairs of blocks that share a prefix token are
-searched in a task each, and only links leave it.
+searched in a task each, and only pairs of documents leave it. Blocks hold no
+texts but prefixes and parity bits (``parity_bits``), which tell most sets that
+differ too much; texts are read for the pairs that remain, first one for each
+document and other component, then those still between two components.
 
 A token is the 64-bit hash of a shingle; sets are compared by these.
 
@@ -166,10 +169,29 @@ def prefix(tokens: np.ndarray, seed: int, common: np.ndarray, percent: int) -> n
     return tokens[np.argpartition(_ranks(tokens, seed, common), size - 1)[:size]]
 
 
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """A bit for each of 2**k places (64 at least, as many as tokens or up to
+    twice as many): 1 if an odd number of tokens fall there. Bits of two sets
+    differ in no more places than the sets have tokens apart."""
+    places = max(64, 1 << (len(tokens) - 1).bit_length())
+    counts = np.bincount((tokens & np.uint64(places - 1)).view(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def bits_apart(x: int, x_places: int, y: int, y_places: int) -> int:
+    """Places in which parity bits differ; the larger ones are folded."""
+    if x_places < y_places:
+        x, x_places, y, y_places = y, y_places, x, x_places
+    while x_places > y_places:
+        x_places //= 2
+        x = (x >> x_places) ^ (x & (1 << x_places) - 1)
+    return (x ^ y).bit_count()
+
+
 def digests(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
     """Stored: doc_id, n_shingles, set_id (digest of the set), the prefix of
-    the first order, and the token of the smallest hash of every order (where
-    copies agree even if what they share is frequent)."""
+    the first order, the token of the smallest hash of every order (where
+    copies agree even if what they share is frequent), and the parity bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -182,21 +204,24 @@ def digests(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
                 [xxhash.xxh3_128_hexdigest(x.tobytes()) if len(x) else None for x in sets],
                 [_as_long(prefix(x, ORDERS[0], common, percent)) for x in sets],
                 [_as_long(np.array([x[np.argmin(_ranks(x, s, none))] for s in ORDERS if len(x)], np.uint64)) for x in sets],
+                [parity_bits(x) if len(x) else None for x in sets],
             ]
-            types = pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())
+            types = pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
-                names=["doc_id", "n_shingles", "set_id", "prefix", "firsts"],
+                names=["doc_id", "n_shingles", "set_id", "prefix", "firsts", "bits"],
             )
 
-    schema = "doc_id long, n_shingles long, set_id string, prefix array<long>, firsts array<long>"
+    schema = "doc_id long, n_shingles long, set_id string, prefix array<long>, firsts array<long>, bits binary"
     return stored(arrow_stage(docs.select("doc_id", "text"), run, schema), "shingle-digests")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, frequent=None) -> DataFrame:
     """Stored pairs (a, b) of documents whose sets are similar enough.
 
-    Only the texts of documents in a pair go on from the table.
+    Only the texts of documents in a pair go on from the table. With
+    ``frequent``, sets must share a prefix token under every order before they
+    are compared.
     """
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted-documents")
     texts = stored(packed_texts(docs.join(broadcast_if_small(wanted), "doc_id", "left_semi")), "wanted-texts")
@@ -210,6 +235,9 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
             left, right = (shingle_sets([zlib.decompress(x) for x in batch.column(k).to_pylist()], n) for k in (2, 3))
             near = []
             for x, y in zip(left, right, strict=True):
+                if frequent is not None and not _prefixes_meet(x, y, frequent.value, percent):
+                    near.append(False)
+                    continue
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 near.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
@@ -219,9 +247,12 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     return links
 
 
-def _near(x: set, y: set, percent: int) -> bool:
-    shared = len(x & y)
-    return 100 * shared >= percent * (len(x) + len(y) - shared)
+def _prefixes_meet(x: np.ndarray, y: np.ndarray, common: np.ndarray, percent: int) -> bool:
+    """True if the prefixes of two sets share a token under every order."""
+    return all(
+        len(np.intersect1d(prefix(x, seed, common, percent), prefix(y, seed, common, percent), assume_unique=True))
+        for seed in ORDERS
+    )
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -235,68 +266,86 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return arrow_stage(docs.select("doc_id", "text"), run, "doc_id long, text binary")
 
 
-def block_links(members: DataFrame, n: int, percent: int, frequent) -> DataFrame:
-    """Links (a, b) within groups of rows (centre, part: the group; side;
-    doc_id; root; packed text): between its sides or, in part -1, all of them.
+def block_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents (a, b, their roots, apart) that may be similar, within
+    groups of rows (centre, part: the group; side; doc_id; root; n_shingles;
+    prefix; bits): between its sides or, in part -1, all of them.
 
-    A group has a bounded number of documents, so a task holds few texts. Pairs
-    of one root are passed over; others must share a prefix token under every
-    order before they are verified.
+    A group has a bounded number of documents, so a task holds few rows. Pairs
+    of one root are passed over; others must share a prefix token and differ in
+    few parity bits.
     """
 
-    def searched(rows: list[dict]) -> list[tuple[int, int]]:
-        sets = shingle_sets([zlib.decompress(r["text"]) for r in rows], n)
-        kept: dict[tuple[int, int], set] = {}
-
-        def tokens(i: int, order: int) -> set:
-            """Prefix of a document under an order, or (-1) all its tokens."""
-            if (i, order) not in kept:
-                part = sets[i] if order < 0 else prefix(sets[i], ORDERS[order], frequent.value, percent)
-                kept[i, order] = set(part.tolist())
-            return kept[i, order]
-
+    def searched(rows: list[dict]) -> Iterator[tuple]:
+        bits = [int.from_bytes(r["bits"], "little") for r in rows]
+        places = [8 * len(r["bits"]) for r in rows]
         holders: dict[int, list[int]] = {}
-        found = []
         for i, row in enumerate(rows):
-            size, alone = len(sets[i]), row["part"] < 0
+            size, root, alone = row["n_shingles"], row["root"], row["part"] < 0
             tried: set[int] = set()
             # Side 0 comes first: its documents are only entered, the others
             # only looked up, unless the block is searched by itself.
-            for token in tokens(i, 0):
+            for token in row["prefix"]:
                 if alone or row["side"]:
                     tried.update(holders.get(token, ()))
                 if alone or not row["side"]:
                     holders.setdefault(token, []).append(i)
             for j in tried:
                 other = rows[j]
+                both = size + other["n_shingles"]
                 if (
-                    other["root"] != row["root"]
-                    and 100 * size >= percent * len(sets[j])
-                    and 100 * len(sets[j]) >= percent * size
-                    and all(not tokens(i, k).isdisjoint(tokens(j, k)) for k in range(1, len(ORDERS)))
-                    and _near(tokens(i, -1), tokens(j, -1), percent)
+                    other["root"] != root
+                    and 100 * size >= percent * other["n_shingles"]
+                    and 100 * other["n_shingles"] >= percent * size
                 ):
-                    found.append((row["doc_id"], other["doc_id"]))
-        return found
+                    apart = bits_apart(bits[i], places[i], bits[j], places[j])
+                    # Similar sets have no more tokens apart than this.
+                    if (100 + percent) * apart <= (100 - percent) * both:
+                        yield row["doc_id"], other["doc_id"], root, other["root"], apart
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*found, strict=True) if found else ((),) * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int64()) for x in columns], names=["a", "b", "a_root", "b_root", "apart"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[dict] = []
-        links: list[tuple[int, int]] = []
         for batch in batches:
+            found: list[tuple] = []
             for row in batch.to_pylist():
                 if group and (row["centre"], row["part"]) != (group[0]["centre"], group[0]["part"]):
-                    links += searched(group)
+                    found += searched(group)
                     group = []
                 group.append(row)
-            a, b = zip(*links, strict=True) if links else ((), ())
-            links = []
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            yield batch_of(found)
         if group:
-            a, b = zip(*found, strict=True) if (found := searched(group)) else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            yield batch_of(list(searched(group)))
 
     spread = members.repartition("centre", "part").sortWithinPartitions("centre", "part", "side")
-    return arrow_stage(spread, run, "a long, b long")
+    return arrow_stage(spread, run, "a long, b long, a_root long, b_root long, apart long")
+
+
+def linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
+    """Links (a, b) among stored ``pairs`` (of ``block_pairs``) that connect
+    all that any of them connects.
+
+    The closest pair of each document and other root is verified first; the
+    rest only where its two roots are not connected by then, so large groups
+    of similar documents do not have all their pairs compared.
+    """
+    first = pairs.groupBy("a", "b_root").agg(F.min(F.struct("apart", "b")).alias("least"))
+    first = stored(first.select("a", F.col("least.b").alias("b")), "first-pairs")
+    near = verified(first, docs, n, percent, frequent)
+    others = pairs.select("a", "b", "a_root", "b_root").distinct().join(first, ["a", "b"], "left_anti")
+    met = near.join(pairs, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct()
+    tops = stored(components(met), "tops")
+    for side in ("a_root", "b_root"):
+        top = tops.select(F.col("node").alias(side), F.col("root").alias(f"{side}_top"))
+        others = others.join(broadcast_if_small(top), side, "left")
+    rest = others.where(F.coalesce("a_root_top", "a_root") != F.coalesce("b_root_top", "b_root")).select("a", "b")
+    rest = stored(rest.distinct(), "other-pairs")
+    return near if rest.isEmpty() else near.union(verified(rest, docs, n, percent, frequent))
 
 
 def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
@@ -384,12 +433,15 @@ def classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     middle = around.select("centre", "part").distinct().select("centre", "part", F.col("centre").alias("block"), F.lit(0))
     alone = pairs.where("left = right").select("left", F.lit(-1).cast("long"), "left", F.lit(0))
     sides = stored(around.union(middle).union(alone), "group-sides")
-    wanted = stored(rooted.join(sides.select("block").distinct(), "block", "left_semi").select("doc_id"), "wanted-documents")
-    texts = packed_texts(docs.join(broadcast_if_small(wanted), "doc_id", "left_semi"))
-    texts = stored(texts.join(broadcast_if_small(rooted), "doc_id").select("doc_id", "root", "block", "text"), "wanted-texts")
-    members = texts.join(broadcast_if_small(sides), "block").select("centre", "part", "side", "doc_id", "root", "text")
-    more = stored(block_links(members, n, percent, frequent), "more-links")
-    discard(texts, mixed, pairs, wanted, around, sides)
+    # Ids meet their groups first, so that sketches move as little as possible.
+    placed = rooted.join(broadcast_if_small(sides), "block").select("doc_id", "root", "centre", "part", "side")
+    placed = stored(placed, "group-members")
+    # Halves of tokens do to find pairs: what they add is told apart later.
+    halves = F.transform("prefix", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix")
+    members = known.select("doc_id", "n_shingles", halves, "bits").join(broadcast_if_small(placed), "doc_id")
+    similar = stored(block_pairs(members, percent), "similar-pairs")
+    discard(mixed, pairs, around, sides, placed)
+    more = linked(similar, docs, n, percent, frequent)
     joined = components(near.union(more))
 
     by_set = heads.join(joined.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
