@@ -4,11 +4,27 @@ import random
 
 import numpy as np
 
-from locusframe.llm import ngram_join
+from locusframe.llm import ngram_join, tokens
 from tests.llm.helpers import docs, prose
 from tests.llm.test_documents import brute_classes
 
 
+def test_new_words_with_signs_take_one_place():
+    """A word seen for the first time with signs after it is kept without them."""
+    encoded = []
+    memory = tokens.ChunkMemory(lambda key: encoded.append(key) or tokens.packed(list(key)))
+    words = [b"word%d" % i + b"abc" for i in range(1000)]
+    for _ in range(3):
+        for word in words:
+            assert memory.pack([word + b","]) == tokens.packed(list(word + b","))
+        if len(encoded) == 1001:
+            assert len(memory) in (1001, 2001)
+    assert len(encoded) == 1001 and len(memory) == 2001
+    fresh = tokens.ChunkMemory(lambda key: tokens.packed(list(key)))
+    fresh.pack([word + b"." for word in words])
+    assert len(fresh) == 1001
+
+
 def test_parity_bits_never_differ_more_than_the_sets():
     rng = np.random.default_rng(1)
     for size in (1, 2, 63, 64, 65, 500, 1025):
