@@ -171,15 +171,19 @@ class CharModel:
             for x, y, n in zip(cores, cores[1:], signs, strict=False)
         ]
         nothing, logp, readings_of, single, again = (-math.inf, None), self.view, self.readings_of, self._single, self._again
-        leet = [sum(c in LEET for c in x) for x in cores]
+        leet = [0 if x.isalpha() else sum(c in LEET for c in x) for x in cores]
         signed = any(leet)
         plain = [[x.translate(t) if n else x for t in _READINGS] for x, n in zip(cores, leet, strict=True)] if signed else []
         arcs: list[tuple[float, tuple | None]] = [nothing] * (len(cores) + 1)
 
         def closed(k: int) -> tuple[float, tuple | None]:
             """The best value with a border after core k - 1."""
-            ends = [(v + logp[state * CLASSES], cut) for state, (v, cut) in ways.items()]
-            return max([*ends, arcs[k]], key=lambda x: x[0])
+            best, at = -math.inf, None
+            for state, (v, cut) in ways.items():
+                v += logp[state * CLASSES]
+                if v > best:
+                    best, at = v, cut
+            return arcs[k] if arcs[k][0] > best else (best, at)
 
         # State: the last two classes as one number. Value: log probability and
         # the gaps that are borders (linked list).
@@ -190,7 +194,7 @@ class CharModel:
                 split = closed(k)
                 ways = {state: (v + gaps[k - 1], cut) for state, (v, cut) in ways.items()}
                 ways[0] = border = split[0], (k, split[1])
-            whole, cost, marks, other = "", border[0], 0, [""] * len(_READINGS)
+            whole, cost, marks, other = "", border[0], 0, [""] * len(_READINGS) if signed else []
             for j in range(k, len(cores)):
                 whole += cores[j]
                 if len(whole) > longest:
@@ -227,6 +231,15 @@ class CharModel:
                 readings = (again if sign == before else single).get(sign) or readings_of(sign, sign == before)
                 i += 1
                 further: dict[int, tuple[float, tuple | None]] = {}
+                if len(readings) == 1:
+                    c = readings[0][0]
+                    for state, (v, cut) in ways.items():
+                        v += logp[state * CLASSES + c]
+                        state = state % CLASSES * CLASSES + c
+                        if state not in further or v > further[state][0]:
+                            further[state] = v, cut
+                    ways, before = further, sign
+                    continue
                 for state, (v, cut) in ways.items():
                     at, after = state * CLASSES, state % CLASSES * CLASSES
                     for c, cost in readings:
@@ -283,8 +296,11 @@ def plain_core(token: bytes) -> str | None:
 def restored_token(token: bytes, model: CharModel) -> str:
     """A lower-cased token without edge signs, decoded if it looks disguised."""
     plain = plain_core(token)
-    if plain is not None:
-        return plain
+    return decoded_token(token, model) if plain is None else plain
+
+
+def decoded_token(token: bytes, model: CharModel) -> str:
+    """The same for a token without a ``plain_core``."""
     word = _NOISY_END.sub("", token.decode("utf-8", "replace").lower())
     core = word.strip(_EDGES)
     if _SUSPECT.search(word):
@@ -318,19 +334,30 @@ class Lexicon(dict):
         self.runs: dict[tuple[bytes, ...], list[bytes]] = {}
         self.run_bytes = 0
         self.restored: dict[bytes, str] = {}
+        # How often each number was read, halved whenever numbers start anew.
+        self.often = np.empty(0, np.int64)
 
-    def forget(self) -> bool:
-        """Called between batches only: numbers stay valid within one. True if
-        the numbers start anew."""
+    def forget(self) -> list[int] | None:
+        """Called between batches only: numbers stay valid within one. If the
+        numbers start anew, the old numbers of the tokens kept: those that were
+        read more than once, at most half of the limit."""
         if self.run_bytes > MEMO_RUN_BYTES:
             self.runs.clear()
             self.run_bytes = 0
         if len(self) <= self.limit:
-            return False
-        for held in (self, self.raw, self.cores, self.restored):
-            held.clear()
-        self.of = array("i")
-        return True
+            return None
+        most = self.limit // 2
+        kept = np.flatnonzero(self.often > 1)
+        if len(kept) > most:
+            kept = np.sort(kept[np.argpartition(-self.often[kept], most)[:most]])
+        self.often = self.often[kept] // 2
+        self.of = array("i", np.frombuffer(self.of, np.int32).reshape(-1, 10)[kept].tobytes())
+        kept = kept.tolist()
+        self.raw, self.cores = [self.raw[i] for i in kept], [self.cores[i] for i in kept]
+        self.restored = {x: self.restored[x] for x in self.raw if x in self.restored}
+        self.clear()
+        self.update(zip(self.raw, range(len(kept)), strict=True))
+        return kept
 
     def __missing__(self, token: bytes) -> int:
         at = len(self)
@@ -407,6 +434,9 @@ class Lexicon(dict):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         starts = np.concatenate([[0], np.cumsum(sizes)])
         ids = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(texts)), np.int64, int(starts[-1]))
+        read = np.bincount(ids, minlength=len(self))
+        read[: len(self.often)] += self.often
+        self.often = read
         of = np.frombuffer(self.of, np.int32).reshape(-1, 10)[ids]
         at = np.flatnonzero(of[:, 6])
         if len(at) < 2:
@@ -529,7 +559,7 @@ class _Weights(dict):
         # Every feature of four letters or more starts with a word's first four.
         self.heads = {x[:4] for x in weights}
         self.lexicon = Lexicon(chars, known, weights.keys())
-        self.by_number: list[float] = []
+        self.by_number = array("d")
 
     def of_word(self, word: str) -> float:
         """The largest weight of the ``features`` of a word."""
@@ -545,7 +575,7 @@ class _Weights(dict):
         if core is not None:
             return self.of_word(core) if core[:4] in self.heads else 0.0
         restored = self.lexicon.restored
-        core = restored[token] if token in restored else restored_token(token, self.chars)
+        core = restored[token] if token in restored else decoded_token(token, self.chars)
         value = self.of_word(core)
         if _DOUBLED.search(core):
             value = max(value, *map(self.of_word, undoubled(core, self.chars)))
@@ -560,11 +590,12 @@ class _Weights(dict):
     def measured(self, texts: list[list[bytes]]) -> list[list[float]]:
         """What the logistic model sees of some texts' tokens."""
         lexicon = self.lexicon
-        if lexicon.forget():
-            self.by_number.clear()
+        kept = lexicon.forget()
+        if kept is not None:
+            self.by_number = array("d", np.frombuffer(self.by_number)[kept].tobytes())
         ids, starts, runs = lexicon.read(texts)
-        self.by_number += map(self.value, lexicon.raw[len(self.by_number) :])
-        weights = np.array(self.by_number)[ids] if len(ids) else np.empty(0)
+        self.by_number.extend(map(self.value, lexicon.raw[len(self.by_number) :]))
+        weights = np.frombuffer(self.by_number)[ids] if len(ids) else np.empty(0)
         heavy = np.flatnonzero(weights)
         bounds = np.searchsorted(heavy, starts).tolist()
         rows = []

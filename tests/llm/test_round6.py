@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from locusframe.llm import ngram_join, tokens
+from locusframe.llm import ngram_join, tokens, toxicity
 from tests.llm.helpers import docs, prose
 from tests.llm.test_documents import brute_classes
 
@@ -89,3 +89,23 @@ def test_second_round_verifies_what_the_first_left(spark):
     )
     found = ngram_join.linked(pairs, frame, 3, 90, frequent).collect()
     assert [(r.a, r.b) for r in found] == [(1, 3)]
+
+
+def test_frequent_tokens_are_kept_when_others_are_forgotten():
+    """Numbers start anew with the tokens read more than once; what a text
+    measures stays the same."""
+    model = toxicity.CharModel.counted(np.ones(toxicity.CLASSES**3, np.int64))
+    weights = {"nasty": 2.0, "w7": 1.0, "stupid": 3.0}
+    small, large = (toxicity._Weights(model, weights, {"stupid": -3.0}, limit) for limit in (50, 10**6))
+    small.lexicon.limit = 50
+    common = b"nasty words st upid n@sty aagain, common".split()
+    for k in range(20):
+        texts = [common + [b"w%d" % (40 * k + i) for i in range(40)], common[::-1]]
+        assert small.measured(texts) == large.measured(texts)
+        assert len(small.by_number) == len(small.lexicon) == len(small.lexicon.raw)
+    learned = []
+    small.value = lambda token: learned.append(token) or 0.0
+    kept = small.lexicon.raw[:]
+    small.measured([common])
+    assert not set(common) & {x for x in learned if x in small.lexicon}
+    assert set(common) <= set(kept)
