@@ -33,7 +33,7 @@ import math
 import re
 import uuid
 from array import array
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -73,7 +73,8 @@ _LETTERS = [chr(c) for c in range(0x61, 0x180) if chr(c).isalpha() and chr(c).is
 CLASSES = 2 + len(_LETTERS)
 _CLASS = {c: 2 + i for i, c in enumerate(_LETTERS)}
 _EDGES = ".,;:?!\"'()[]{}#%&*<>«»…-_$|"
-_NOISY_END = re.compile(r"([#%&*$!?|.])\1+$")
+_NOISY = "#%&*$!?|."
+_NOISY_END = re.compile(rf"([{_NOISY}])\1+$")
 _DOUBLED = re.compile(r"([^\W\d_])\1")
 _SUSPECT = re.compile(r"[^\W\d_][^\w\s]+[^\W_]|[\d@$!|+€(][^\W\d_]|[^\W\d_][\d@$!|+€(]|_|([^\W\d_])\1\1")
 #: Edge signs that are no letters, and signs of a number beside no letter.
@@ -85,6 +86,12 @@ _SAFE = ".,;:?\"')]}>%&*#-"
 #: Tokens of texts that are read together, tokens a worker remembers, bytes of
 #: remembered runs and of the longest one.
 BATCH_TOKENS, MEMO_TOKENS, MEMO_RUN_BYTES, LONGEST_RUN = 100_000, 300_000, 16_000_000, 4_096
+#: Cores whose way through the lattice a character model remembers.
+MEMO_CORES = 50_000
+
+#: What a lexicon holds of each token, and how its weight is found: from its
+#: core, from that and its words without doubled letters, or by decoding it.
+_COLUMNS, PLAIN, DOUBLED, DECODED = 11, 0, 1, 2
 
 
 def _class_table() -> np.ndarray:
@@ -98,6 +105,10 @@ def _class_table() -> np.ndarray:
     return classes
 
 
+#: Class of each small letter, 1 for anything else.
+_SMALL = np.array([_CLASS.get(chr(code), 1) for code in range(0x181)], np.int32)
+
+
 class CharModel:
     """Interpolated trigram model over character classes (flat log table)."""
 
@@ -108,6 +119,7 @@ class CharModel:
         # Readings of signs, at first and where they repeat the sign before.
         self._single: dict[str, list[tuple[int, float]]] = {}
         self._again: dict[str, list[tuple[int, float]]] = {}
+        self._straight: dict[str, tuple[int, int, float, int] | None] = {}
 
     @classmethod
     def counted(cls, trigrams: np.ndarray) -> CharModel:
@@ -161,20 +173,45 @@ class CharModel:
             ways, before = further, sign
         return max((logp + self.step(a, b, 0), text) for (a, b), (logp, text) in ways.items())[1]
 
-    def joined(self, cores: list[str], signs: list[int], known: dict[str, float], longest: int) -> list[list[int]]:
+    def straight(self, core: str) -> tuple[int, int, float, int] | None:
+        """Of a core of two signs or more that has one reading (unless its first
+        sign repeats the one before it): the first two classes, the log
+        probability of the others after them, and the last two as one number;
+        of others None."""
+        found = None
+        if len(core) > 1 and not any(map(str.__eq__, core, core[1:])):
+            readings = [self._single.get(sign) or self.readings_of(sign, False) for sign in core]
+            if all(len(x) == 1 for x in readings):
+                classes = [x[0][0] for x in readings]
+                state, logp = classes[0] * CLASSES + classes[1], 0.0
+                for c in classes[2:]:
+                    logp += self.view[state * CLASSES + c]
+                    state = state % CLASSES * CLASSES + c
+                found = classes[0], classes[1], logp, state
+        if len(self._straight) >= MEMO_CORES:
+            self._straight.clear()
+        self._straight[core] = found
+        return found
+
+    def joined(self, cores: list[str], signs: list[int], known: dict[str, float], ordered: list[str]) -> list[list[int]]:
         """Numbers of the ``cores`` (small letters, no edge signs) that form
         each word of the best reading; ``signs[k]`` edge signs stand between
         core k and the next. A space is a border, or it and the signs beside it
-        are dropped. A word costs its signs or, if ``known``, what that gives."""
+        are dropped. A word costs its signs or, if ``known``, what that gives;
+        ``ordered``: the known words in order."""
         gaps = [
             (SPACED_COST if len(x) == len(y) == 1 else SPACE_COST) + DROP_COST * n
             for x, y, n in zip(cores, cores[1:], signs, strict=False)
         ]
         nothing, logp, readings_of, single, again = (-math.inf, None), self.view, self.readings_of, self._single, self._again
-        leet = [0 if x.isalpha() else sum(c in LEET for c in x) for x in cores]
-        signed = any(leet)
-        plain = [[x.translate(t) if n else x for t in _READINGS] for x, n in zip(cores, leet, strict=True)] if signed else []
+        leet = [0 if x.isalpha() else sum(map(LEET.__contains__, x)) for x in cores]
         arcs: list[tuple[float, tuple | None]] = [nothing] * (len(cores) + 1)
+        straight, n_known = self._straight, len(ordered)
+
+        def begins(part: str) -> bool:
+            """Whether a longer known word begins with ``part``."""
+            at = bisect_right(ordered, part)
+            return at < n_known and ordered[at].startswith(part)
 
         def closed(k: int) -> tuple[float, tuple | None]:
             """The best value with a border after core k - 1."""
@@ -194,23 +231,40 @@ class CharModel:
                 split = closed(k)
                 ways = {state: (v + gaps[k - 1], cut) for state, (v, cut) in ways.items()}
                 ways[0] = border = split[0], (k, split[1])
-            whole, cost, marks, other = "", border[0], 0, [""] * len(_READINGS) if signed else []
-            for j in range(k, len(cores)):
-                whole += cores[j]
-                if len(whole) > longest:
-                    break
-                value = known.get(whole)
-                if signed:
+            # ``other``: the readings of ``whole``, once it has a sign with any.
+            whole, cost, marks, other = "", border[0], 0, []
+            for j in range(k, len(cores) if known else k):
+                part = cores[j]
+                if leet[j]:
                     marks += leet[j]
-                    other = [x + y for x, y in zip(other, plain[j], strict=True)]
-                    if value is None and marks:
-                        # Words with several readings of one sign are left to the signs.
-                        value = max((known[x] for x in other if x in known), default=None)
-                        if value is not None:
-                            value += LEET_COST * marks
+                    other = [x + part.translate(t) for x, t in zip(other or [whole] * len(_READINGS), _READINGS, strict=True)]
+                elif other:
+                    other = [x + part for x in other]
+                whole += part
+                value = known.get(whole)
+                if value is None and marks:
+                    # Words with several readings of one sign are left to the signs.
+                    for x in other:
+                        if x in known and (value is None or known[x] > value):
+                            value = known[x]
+                    if value is not None:
+                        value += LEET_COST * marks
                 if value is not None and cost + value > arcs[j + 1][0]:
                     arcs[j + 1] = cost + value, border[1]
-                cost += gaps[j] if j < len(gaps) else 0.0
+                if j == len(gaps) or not (begins(whole) or other and any(map(begins, other))):
+                    break
+                cost += gaps[j]
+            if core[0] != before and (way := straight[core] if core in straight else self.straight(core)):
+                # Two signs of one reading each lead all ways to one state.
+                c, d, rest, state = way
+                best, at = nothing
+                for x, (v, cut) in ways.items():
+                    v += logp[x * CLASSES + c]
+                    v += logp[(x % CLASSES * CLASSES + c) * CLASSES + d]
+                    if v > best:
+                        best, at = v, cut
+                ways, before = {state: (best + rest, at)}, core[-1]
+                continue
             i, size = 0, len(core)
             while i < size:
                 if len(ways) == 1:
@@ -317,7 +371,7 @@ class Lexicon(dict):
     def __init__(self, chars: CharModel, known=None, weighed=frozenset(), limit: int = MEMO_TOKENS):
         super().__init__()
         self.chars, self.known, self.weighed, self.limit = chars, known or {}, weighed, limit
-        self.longest = max(map(len, self.known), default=0)
+        self.ordered = sorted(self.known)
         # Sides of known words that are read, so that few gaps are looked up.
         self.heads, self.tails = set(), set()
         for word in self.known:
@@ -327,7 +381,8 @@ class Lexicon(dict):
                     self.tails.add(word[cut:])
         # Classes of the last two and first two letters, signs before and after
         # the core, 0 for no core, 1 for one sign, 2 for more; 1 for an edge
-        # that may be read as a letter; 1 for a head and for a tail.
+        # that may be read as a letter; 1 for a head and for a tail; how its
+        # weight is found.
         self.of = array("i")
         self.raw: list[bytes] = []
         self.cores: list[str] = []
@@ -351,7 +406,7 @@ class Lexicon(dict):
         if len(kept) > most:
             kept = np.sort(kept[np.argpartition(-self.often[kept], most)[:most]])
         self.often = self.often[kept] // 2
-        self.of = array("i", np.frombuffer(self.of, np.int32).reshape(-1, 10)[kept].tobytes())
+        self.of = array("i", np.frombuffer(self.of, np.int32).reshape(-1, _COLUMNS)[kept].tobytes())
         kept = kept.tolist()
         self.raw, self.cores = [self.raw[i] for i in kept], [self.cores[i] for i in kept]
         self.restored = {x: self.restored[x] for x in self.raw if x in self.restored}
@@ -360,22 +415,59 @@ class Lexicon(dict):
         return kept
 
     def __missing__(self, token: bytes) -> int:
-        at = len(self)
-        if token.isalpha():  # small ASCII letters have no edges or signs
-            core = token.decode()
-            many = len(core) > 1
-            ends = [_CLASS[c] for c in (core[-2:] + core[:2])] if many else [0, _CLASS[core], _CLASS[core], 0]
-            row = [*ends, 0, 0, 2 if many else 1, 0]
-        else:
-            core, row = self._signed(token)
-        self.of.extend([*row, core in self.heads, core in self.tails])
+        at = self[token] = len(self)
         self.raw.append(token)
-        self.cores.append(core)
-        self[token] = at
         return at
 
+    def learn(self) -> None:
+        """Cores and rows of the tokens that got a number since the last call."""
+        new = self.raw[len(self.cores) :]
+        if not new:
+            return
+        # No token holds a line feed.
+        words = b"\n".join(new).decode("utf-8", "replace").lower().split("\n")
+        cores, low, high, signed = words[:], [0] * len(new), [0] * len(new), []
+        for k, word in enumerate(words):
+            if word.isalpha():
+                continue
+            if word[-2:-1] == word[-1:] and word[-1:] in _NOISY:
+                word = word.rstrip(word[-1:])
+            core = word.strip(_PLAIN_EDGES)
+            if core.isalpha() and "_" not in word:
+                cores[k], low[k] = core, word.index(core)
+                high[k] = len(word) - low[k] - len(core)
+            else:
+                signed.append(k)
+                cores[k] = ""
+        sizes = np.fromiter(map(len, cores), np.int64, len(new))
+        codes = np.frombuffer("\n".join([*cores, ""]).encode("utf-32-le"), "<u4")
+        first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+        last, many = first + sizes - 1, sizes > 1
+        twice = (codes[1:] == codes[:-1]) & (codes[1:] != 10)
+        kinds = np.full(len(new), PLAIN)
+        for kind, found in ((DOUBLED, twice), (DECODED, twice[1:] & twice[:-1])):
+            kinds[np.searchsorted(first, np.flatnonzero(found), "right") - 1] = kind
+        signed += [k for k in np.flatnonzero(kinds == DECODED).tolist() if not new[k].isalpha()]
+        kinds[signed] = DECODED
+        classes = _SMALL[np.minimum(codes, len(_SMALL) - 1)]
+        rows = np.zeros((len(new), _COLUMNS), np.int32)
+        rows[:, 0], rows[:, 1] = np.where(many, classes[last - 1], 0), classes[last]
+        rows[:, 2], rows[:, 3] = classes[first], np.where(many, classes[np.minimum(first + 1, len(codes) - 1)], 0)
+        rows[:, 4], rows[:, 5], rows[:, 6], rows[:, 10] = low, high, 1 + many, kinds
+        for k in signed:
+            cores[k], rows[k, :8] = self._signed(new[k])
+        if self.heads:
+            rows[:, 8] = [x in self.heads for x in cores]
+            rows[:, 9] = [x in self.tails for x in cores]
+        self.of.frombytes(rows.tobytes())
+        self.cores += cores
+
+    def kind(self, at: int) -> int:
+        """How the weight of a token is found."""
+        return self.of[at * _COLUMNS + 10]
+
     def _signed(self, token: bytes) -> tuple[str, list[int]]:
-        """Core and what is kept of a token with signs or other letters."""
+        """Core and what is kept of a token with signs or repeated letters."""
         word = token.decode("utf-8", "replace").lower()
         if word[-2:-1] == word[-1:]:
             word = _NOISY_END.sub("", word)
@@ -434,16 +526,17 @@ class Lexicon(dict):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         starts = np.concatenate([[0], np.cumsum(sizes)])
         ids = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(texts)), np.int64, int(starts[-1]))
+        self.learn()
         read = np.bincount(ids, minlength=len(self))
         read[: len(self.often)] += self.often
         self.often = read
-        of = np.frombuffer(self.of, np.int32).reshape(-1, 10)[ids]
+        of = np.frombuffer(self.of, np.int32).reshape(-1, _COLUMNS)[ids]
         at = np.flatnonzero(of[:, 6])
         if len(at) < 2:
             return ids, starts, {}
         signs = np.cumsum(of[:, 4] + of[:, 5], dtype=np.int64)[at]
         text = np.repeat(np.arange(len(texts)), sizes)[at]
-        x2, x1, y1, y2, _, high, kind, wild, head, tail = of[at].T.astype(np.int64)
+        x2, x1, y1, y2, _, high, kind, wild, head, tail, _ = of[at].T.astype(np.int64)
         signs = signs[1:] - signs[:-1] + high[:-1] - high[1:]
         same = text[1:] == text[:-1]
         lp, one = self.chars.logp, kind == 1
@@ -492,7 +585,7 @@ class Lexicon(dict):
     def _read(self, tokens: tuple[bytes, ...], at: np.ndarray, ids: np.ndarray, signs: np.ndarray) -> list[bytes]:
         cores = [self.cores[i] for i in ids]
         out: list[bytes] = []
-        for word in self.chars.joined(cores, signs.tolist(), self.known, self.longest):
+        for word in self.chars.joined(cores, signs.tolist(), self.known, self.ordered):
             out.append(tokens[at[word[0]]] if len(word) == 1 else "".join(cores[k] for k in word).encode())
         return out
 
@@ -517,7 +610,7 @@ def restore_texts(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 def features(word: str) -> list[str]:
     """A word and its first letters."""
-    return [word, *(f"{word[:k]}-" for k in _STARTS if len(word) >= k)] if word else []
+    return [word, *[word[:k] + "-" for k in _STARTS if len(word) >= k]] if word else []
 
 
 def token_features(token: bytes, model: CharModel, restored: dict[bytes, str]) -> list[str]:
@@ -541,6 +634,63 @@ def undoubled(core: str, model: CharModel) -> list[str]:
     return sorted(found - {core})
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Distinct keys in order (sorted in place: faster here than by hashes)."""
+    keys.sort()
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+class FeatureCounts(dict):
+    """Clean and toxic texts that each feature is in, the empty one for all
+    texts; the dictionary has the number of each word met (raw tokens)."""
+
+    def __init__(self, chars: CharModel):
+        super().__init__()
+        self.chars, self.lexicon = chars, Lexicon(chars)
+        self.names: dict[str, int] = {"": 0}
+        self.new: list[bytes] = []
+        # Numbers of the features of all words, and where those of each begin.
+        self.features, self.starts = array("q"), array("q", [0])
+        self.counts = np.zeros((2, 1), np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self)
+        self.new.append(word)
+        return at
+
+    def learn(self) -> None:
+        """Features of the words that got a number since the last call."""
+        lexicon, names = self.lexicon, self.names
+        for word in self.new:
+            at = lexicon.get(word)
+            if at is not None and lexicon.kind(at) == PLAIN:
+                found = features(lexicon.cores[at])
+            else:
+                found = token_features(word, self.chars, lexicon.restored)
+            self.features.extend([names.setdefault(x, len(names)) for x in found])
+            self.starts.append(len(self.features))
+        self.new.clear()
+
+    def add(self, texts: list[list[bytes]], toxic: list[int]) -> None:
+        """Count some texts (tokens), each once for a feature."""
+        texts = self.lexicon.words_of(texts)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        words = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+        self.learn()
+        text, words = np.divmod(_distinct(np.repeat(np.arange(len(texts)), sizes) * len(self) + words), max(1, len(self)))
+        starts = np.frombuffer(self.starts, np.int64)
+        low, sizes = starts[words], starts[words + 1] - starts[words]
+        at = np.arange(sizes.sum()) + np.repeat(low - np.cumsum(sizes) + sizes, sizes)
+        n = len(self.names)
+        found = np.frombuffer(self.features, np.int64)[at] if len(at) else at
+        text, found = np.divmod(_distinct(np.repeat(text, sizes) * n + found), n)
+        kind = np.array(toxic, np.int64)
+        counts = np.bincount(kind[text] * n + found, minlength=2 * n).reshape(2, n)
+        counts[:, : self.counts.shape[1]] += self.counts
+        counts[:, 0] += np.bincount(kind, minlength=2)
+        self.counts = counts
+
+
 class Model(NamedTuple):
     chars: CharModel
     weights: dict[str, float]
@@ -563,6 +713,8 @@ class _Weights(dict):
 
     def of_word(self, word: str) -> float:
         """The largest weight of the ``features`` of a word."""
+        if word[:4] not in self.heads:
+            return 0.0
         get, start = self.weights.get, self.starts.get
         if len(word) < _STARTS[0]:
             return get(word, 0.0)
@@ -573,13 +725,33 @@ class _Weights(dict):
         """The largest weight of the ``token_features`` of a token."""
         core = plain_core(token)
         if core is not None:
-            return self.of_word(core) if core[:4] in self.heads else 0.0
+            return self.of_word(core)
         restored = self.lexicon.restored
         core = restored[token] if token in restored else decoded_token(token, self.chars)
-        value = self.of_word(core)
-        if _DOUBLED.search(core):
-            value = max(value, *map(self.of_word, undoubled(core, self.chars)))
-        return value
+        return self.of_doubled(core) if _DOUBLED.search(core) else self.of_word(core)
+
+    def of_doubled(self, core: str) -> float:
+        """The largest weight of a core with doubled letters and of its words
+        without them."""
+        if core[:4] not in self.heads:
+            doubled = [x.start() for x in _DOUBLED.finditer(core)]
+            # One letter of the fourth and fifth gone leaves the first four.
+            if len(doubled) < 3 and doubled[0] > 2:
+                return 0.0
+        return max(self.of_word(core), *map(self.of_word, undoubled(core, self.chars)))
+
+    def learn(self) -> None:
+        """Weights of the lexicon's tokens that have none yet."""
+        lexicon, done, heads = self.lexicon, len(self.by_number), self.heads
+        kinds = np.frombuffer(lexicon.of, np.int32).reshape(-1, _COLUMNS)[done:, 10].tolist()
+        cores = lexicon.cores[done:]
+        values = [self.of_word(x) if x[:4] in heads else 0.0 for x in cores]
+        for k, kind in enumerate(kinds):
+            if kind == DOUBLED:
+                values[k] = self.of_doubled(cores[k])
+            elif kind == DECODED:
+                values[k] = self.value(lexicon.raw[done + k])
+        self.by_number.extend(values)
 
     def __missing__(self, token: bytes) -> float:
         if len(self) >= self.limit:
@@ -594,7 +766,7 @@ class _Weights(dict):
         if kept is not None:
             self.by_number = array("d", np.frombuffer(self.by_number)[kept].tobytes())
         ids, starts, runs = lexicon.read(texts)
-        self.by_number.extend(map(self.value, lexicon.raw[len(self.by_number) :]))
+        self.learn()
         weights = np.frombuffer(self.by_number)[ids] if len(ids) else np.empty(0)
         heavy = np.flatnonzero(weights)
         bounds = np.searchsorted(heavy, starts).tolist()
@@ -697,26 +869,16 @@ def learned(docs: DataFrame, labels: DataFrame, chars: CharModel) -> Model | flo
     logp = spark.sparkContext.broadcast(chars.logp)
 
     def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        model = CharModel(logp.value)
-        lexicon = Lexicon(model)
-        known: dict[bytes, list[str]] = {}
-
-        def of(token: bytes) -> list[str]:
-            if token not in known:
-                known[token] = token_features(token, model, lexicon.restored)
-            return known[token]
-
+        held = FeatureCounts(CharModel(logp.value))
         for batch in batches:
             marks = iter(batch.column(1).to_pylist())
             for texts in token_batches(batch.column(0).to_pylist()):
-                for words in lexicon.words_of(texts):
-                    held[1 if next(marks) else 0].update({x for t in set(words) for x in of(t)} | {""})
-        names = list(held[0].keys() | held[1].keys())
-        for low in range(0, len(names), 50_000):
-            part = names[low : low + 50_000]
+                held.add(texts, [1 if next(marks) else 0 for _ in texts])
+        names = list(held.names)
+        for low in range(0, len(names) if held.counts[:, 0].any() else 0, 50_000):
+            part = slice(low, low + 50_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string())] + [pa.array([held[k][x] for x in part], pa.int64()) for k in (1, 0)],
+                [pa.array(names[part], pa.string())] + [pa.array(held.counts[k, part], pa.int64()) for k in (1, 0)],
                 names=["feature", "toxic", "clean"],
             )
 
@@ -746,8 +908,13 @@ def learned(docs: DataFrame, labels: DataFrame, chars: CharModel) -> Model | flo
     total = sum(r.n for r in seen)
     known = {r.feature: math.log(r.n / total) for r in seen}
 
+    key = uuid.uuid4().hex
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight_of = _Weights(CharModel(logp.value), weights, known)
+        cache = worker_cache(f"measure {key}")
+        if "weights" not in cache:
+            cache["weights"] = _Weights(CharModel(logp.value), weights, known)
+        weight_of = cache["weights"]
         for batch in batches:
             rows = measured(batch.column(0).to_pylist(), weight_of)
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
